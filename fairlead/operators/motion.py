@@ -44,26 +44,29 @@ def with_previous(
     order += tie_breakers(points, cfg, [*VESSEL, *order])
     by_chunk = Window.partitionBy(*VESSEL, "chunk").orderBy(*order)
     by_vessel = Window.partitionBy(*VESSEL).orderBy(*order)
-    here = F.struct(
-        F.col("ts").alias("ts"), F.col(tail[0]).alias("lat"), F.col(tail[1]).alias("lon")
-    )
-
-    chunked = points.withColumn("chunk", bucket(F.col("ts"), cfg.track_chunk_sec)).withColumns(
+    # Carrying the position as one column keeps both passes on the same columns
+    # of the shuffle, which lets Spark run it once.
+    here = F.struct("ts", F.col(tail[0]).alias("lat"), F.col(tail[1]).alias("lon"))
+    kept = [c for c in points.columns if c in ("latitude", "longitude") or c not in tail]
+
+    chunked = points.select(
+        *kept, here.alias("here"), bucket(F.col("ts"), cfg.track_chunk_sec).alias("chunk")
+    ).withColumns(
         {
-            "prev": F.lag(here).over(by_chunk),
+            "prev": F.lag("here").over(by_chunk),
             "chunk_end": F.lead(F.lit(True)).over(by_chunk).isNull(),
         }
     )
     inner = chunked.where(F.col("prev").isNotNull())
     edges = chunked.where(F.col("prev").isNull() | F.col("chunk_end"))
     opening = (
-        edges.withColumn("carried", F.lag(here).over(by_vessel))
+        edges.withColumn("carried", F.lag("here").over(by_vessel))
         .where(F.col("prev").isNull())
         .withColumn("prev", F.col("carried"))
         .drop("carried")
     )
     return inner.unionByName(opening).select(
-        *points.columns,
+        *kept,
         F.col("prev.ts").alias("prev_ts"),
         F.col("prev.lat").alias("prev_latitude"),
         F.col("prev.lon").alias("prev_longitude"),

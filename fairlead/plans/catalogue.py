@@ -173,7 +173,7 @@ def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def interpolated_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_positions(spark, sf_dir), lat_a=7, lon_a=7, lat_b=7, lon_b=7)
+    return _positions(spark, sf_dir)
 
 
 def encounter_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:

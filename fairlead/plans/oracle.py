@@ -322,9 +322,7 @@ def oracle_sql() -> dict[str, str]:
         "segments": sql("SELECT * FROM legs", "legs"),
         "segment_overlap": sql("SELECT * FROM shared_legs", "shared_legs"),
         "interpolated_tracks": sql(
-            """SELECT file_day, pair_id, interp_ts, round(lat_a, 7) AS lat_a,
-                 round(lon_a, 7) AS lon_a, round(lat_b, 7) AS lat_b, round(lon_b, 7) AS lon_b
-               FROM positions""",
+            "SELECT file_day, pair_id, interp_ts, lat_a, lon_a, lat_b, lon_b FROM positions",
             "positions",
         ),
         "encounter_seconds": sql(
