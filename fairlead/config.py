@@ -99,6 +99,10 @@ class EncounterConfig:
     # is this many times the reach, in latitude and in longitude.
     near_cell_sec: int = 1800
     near_cell_factor: float = 4.0
+    # Reports in one cell above which its pairing is divided among tasks.
+    crowded_cell_rows: int = 20_000
+    # Rows of a side table, checked before the join, up to which it is broadcast.
+    broadcast_rows: int = 100_000
 
     @property
     def pair_distance_nm(self) -> float:

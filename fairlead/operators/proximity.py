@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,22 +41,85 @@ def with_overlapping_windows(
     """Each report once per sliding window it falls into.
 
     Windows are two gaps long and start every gap, so a report lies in two of
-    them. The pair search itself does not need them, see :func:`_meet_in_cells`.
+    them. The pair search itself does not need them, see :class:`Grid`.
     """
     latest = bucket(F.col("ts"), cfg.pair_gap_sec)
     return points.withColumn("window_id", F.explode(F.array(latest, latest - 1)))
 
 
+@dataclass(frozen=True)
+class Grid:
+    """Cells of the proximity join and how far a report reaches beyond its own."""
+
+    cell_sec: int
+    cell_lat: float
+    cell_lon: float
+    reach_lat: float
+    reach_lon: float | Column
+
+    def locate(self, points: DataFrame) -> DataFrame:
+        """Each report with the one cell it lies in."""
+        sides = (("ts", self.cell_sec), ("latitude", self.cell_lat), ("longitude", self.cell_lon))
+        return points.withColumns({c: bucket(F.col(x), w) for c, (x, w) in zip(CELL, sides)})
+
+    def spread(self, points: DataFrame, gap_sec: int) -> DataFrame:
+        """Each report once per cell within its reach."""
+
+        def touched(axis: str, reach: float | Column, width: float) -> Column:
+            x = F.col(axis)
+            return F.explode(buckets_touched(x - reach, x + reach, width))
+
+        t_cell, lat_cell, lon_cell = CELL
+        return (
+            points.withColumn(t_cell, touched("ts", gap_sec, self.cell_sec))
+            .withColumn(lat_cell, touched("latitude", self.reach_lat, self.cell_lat))
+            .withColumn(lon_cell, touched("longitude", self.reach_lon, self.cell_lon))
+        )
+
+
+def band_grid(cfg: EncounterConfig = DEFAULT_CONFIG) -> Grid:
+    """Grid for the full lat/lon tolerances."""
+    return Grid(
+        cell_sec=cfg.band_cell_sec,
+        cell_lat=cfg.band_cell_deg,
+        cell_lon=cfg.band_cell_deg,
+        reach_lat=cfg.pair_lat_tolerance + EDGE_PAD_DEG,
+        reach_lon=cfg.pair_lon_tolerance + EDGE_PAD_DEG,
+    )
+
+
+def near_grid(cfg: EncounterConfig = DEFAULT_CONFIG) -> Grid:
+    """Grid cut to the reach of ``pair_distance_m``, far below the tolerances."""
+    limit = cfg.pair_distance_nm
+    reach_lat = reach_lat_deg(limit, cfg.pair_lat_tolerance)
+    cell_lat = reach_lat * cfg.near_cell_factor
+    return Grid(
+        cell_sec=cfg.near_cell_sec,
+        cell_lat=cell_lat,
+        # Twice the degrees are about as many metres at temperate latitudes.
+        cell_lon=2 * cell_lat,
+        reach_lat=reach_lat,
+        reach_lon=reach_lon_deg(F.col("latitude"), limit, reach_lat, cfg.pair_lon_tolerance),
+    )
+
+
+def crowded_cells(
+    points: DataFrame, grid: Grid, cfg: EncounterConfig = DEFAULT_CONFIG
+) -> DataFrame:
+    """Cells with more than ``crowded_cell_rows`` reports and their number of shares."""
+    counts = grid.locate(points).groupBy("file_day", *CELL).count()
+    shares = F.ceil(F.col("count") / F.lit(cfg.crowded_cell_rows)).cast("int")
+    return counts.where(F.col("count") > cfg.crowded_cell_rows).select(
+        "file_day", *CELL, shares.alias("shares")
+    )
+
+
 def _meet_in_cells(
     points: DataFrame,
+    grid: Grid,
     cfg: EncounterConfig,
-    *,
-    cell_sec: int,
-    cell_lat: float,
-    cell_lon: float,
-    reach_lat: float,
-    reach_lon: float | Column,
     condition: Column | None = None,
+    crowded: DataFrame | None = None,
 ) -> DataFrame:
     """Self-join of reports of two vessels, ``mmsi < b_mmsi``, inside the tolerances.
 
@@ -62,80 +127,59 @@ def _meet_in_cells(
     the right report is copied to each cell within its reach. A pair therefore
     meets once, the join has equi-keys that spread over space and time, and no
     duplicates need removing. The exact predicates are part of the join.
+
+    Left reports of ``crowded`` cells are dealt out to several shares, each of
+    which meets all right reports of the cell, so no cell is one task's work.
     """
-    lat, lon, ts = F.col("latitude"), F.col("longitude"), F.col("ts")
-    left = points.withColumns(
-        {
-            "t_cell": bucket(ts, cell_sec),
-            "lat_cell": bucket(lat, cell_lat),
-            "lon_cell": bucket(lon, cell_lon),
-        }
-    )
-    gap = cfg.pair_gap_sec
-    right = (
-        points.withColumn("t_cell", F.explode(buckets_touched(ts - gap, ts + gap, cell_sec)))
-        .withColumn(
-            "lat_cell", F.explode(buckets_touched(lat - reach_lat, lat + reach_lat, cell_lat))
-        )
-        .withColumn(
-            "lon_cell", F.explode(buckets_touched(lon - reach_lon, lon + reach_lon, cell_lon))
-        )
-        .select(
-            "file_day",
-            *CELL,
-            *(F.col(c).alias(f"b_{c}") for c in points.columns if c != "file_day"),
-        )
+    keys = ["file_day", *CELL]
+    left = grid.locate(points)
+    right = grid.spread(points, cfg.pair_gap_sec).select(
+        *keys, *(F.col(c).alias(f"b_{c}") for c in points.columns if c != "file_day")
     )
+    if crowded is not None:
+        shares = F.coalesce("shares", F.lit(1))
+        dealt = F.pmod(F.xxhash64("mmsi", "ts"), shares).cast("int")
+        left = left.join(crowded, keys, "left").withColumn("share", dealt).drop("shares")
+        every = F.explode(F.sequence(F.lit(0), shares - 1))
+        right = right.join(crowded, keys, "left").withColumn("share", every).drop("shares")
+        keys = [*keys, "share"]
     close = (
         (F.col("mmsi") < F.col("b_mmsi"))
-        & (F.abs(F.col("ts") - F.col("b_ts")) <= gap)
-        & (F.abs(lat - F.col("b_latitude")) <= cfg.pair_lat_tolerance)
-        & (F.abs(lon - F.col("b_longitude")) <= cfg.pair_lon_tolerance)
+        & (F.abs(F.col("ts") - F.col("b_ts")) <= cfg.pair_gap_sec)
+        & (F.abs(F.col("latitude") - F.col("b_latitude")) <= cfg.pair_lat_tolerance)
+        & (F.abs(F.col("longitude") - F.col("b_longitude")) <= cfg.pair_lon_tolerance)
     )
     if condition is not None:
         close = close & condition
-    met = left.join(right, ["file_day", *CELL]).where(close)
-    return met.withColumn("time_diff_sec", F.abs(F.col("ts") - F.col("b_ts"))).drop(*CELL)
+    # The work per row far exceeds its size, so the cells are always shuffled:
+    # a broadcast would leave the pairing to the few tasks of a small scan.
+    met = left.join(right.hint("merge"), keys).where(close)
+    return met.withColumn("time_diff_sec", F.abs(F.col("ts") - F.col("b_ts"))).drop(*keys[1:])
 
 
-def band_pairs(points: DataFrame, cfg: EncounterConfig = DEFAULT_CONFIG) -> DataFrame:
+def band_pairs(
+    points: DataFrame,
+    cfg: EncounterConfig = DEFAULT_CONFIG,
+    crowded: DataFrame | None = None,
+) -> DataFrame:
     """All report pairs inside the time gap and the lat/lon tolerances."""
-    return _meet_in_cells(
-        points,
-        cfg,
-        cell_sec=cfg.band_cell_sec,
-        cell_lat=cfg.band_cell_deg,
-        cell_lon=cfg.band_cell_deg,
-        reach_lat=cfg.pair_lat_tolerance + EDGE_PAD_DEG,
-        reach_lon=cfg.pair_lon_tolerance + EDGE_PAD_DEG,
-    )
+    return _meet_in_cells(points, band_grid(cfg), cfg, crowded=crowded)
 
 
-def near_pairs(points: DataFrame, cfg: EncounterConfig = DEFAULT_CONFIG) -> DataFrame:
+def near_pairs(
+    points: DataFrame,
+    cfg: EncounterConfig = DEFAULT_CONFIG,
+    crowded: DataFrame | None = None,
+) -> DataFrame:
     """Report pairs within ``pair_distance_m``; adds ``distance_m``.
 
-    The grid is cut to the reach of the distance threshold rather than to the
-    much wider lat/lon tolerances, which still apply.
+    The lat/lon tolerances apply as well.
     """
-    limit = cfg.pair_distance_nm
-    reach_lat = reach_lat_deg(limit, cfg.pair_lat_tolerance)
-    reach_lon = reach_lon_deg(F.col("latitude"), limit, reach_lat, cfg.pair_lon_tolerance)
     distance_nm = great_circle_nm(
         F.col("latitude"), F.col("longitude"), F.col("b_latitude"), F.col("b_longitude")
     )
-    # Meridians converge away from the centre of the area only slowly; twice
-    # the latitude side keeps cells roughly square at temperate latitudes.
-    cell_lat = reach_lat * cfg.near_cell_factor
-    met = _meet_in_cells(
-        points,
-        cfg,
-        cell_sec=cfg.near_cell_sec,
-        cell_lat=cell_lat,
-        cell_lon=2 * cell_lat,
-        reach_lat=reach_lat,
-        reach_lon=reach_lon,
-        condition=distance_nm <= F.lit(limit),
-    )
+    within = distance_nm <= F.lit(cfg.pair_distance_nm)
+    met = _meet_in_cells(points, near_grid(cfg), cfg, within, crowded)
     return met.withColumn("distance_m", metres(distance_nm))
 
 
@@ -176,7 +220,11 @@ def closest_pairs(near: DataFrame) -> DataFrame:
 
 
 def find_candidates(
-    points: DataFrame, cfg: EncounterConfig = DEFAULT_CONFIG, *, distinct: bool = False
+    points: DataFrame,
+    cfg: EncounterConfig = DEFAULT_CONFIG,
+    *,
+    distinct: bool = False,
+    crowded: DataFrame | None = None,
 ) -> DataFrame:
     """Closest approach of every two vessels per day, from clean points.
 
@@ -184,4 +232,4 @@ def find_candidates(
     the output of ``clean_points``, and saves the de-duplication.
     """
     usable = proximity_points(points) if distinct else candidate_points(points, cfg)
-    return closest_pairs(near_pairs(usable, cfg))
+    return closest_pairs(near_pairs(usable, cfg, crowded))

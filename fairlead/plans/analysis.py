@@ -5,11 +5,21 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from fairlead.config import DEFAULT_CONFIG, EncounterConfig
 from fairlead.operators.confirm import candidate_windows, confirm_encounters, pair_points
 from fairlead.operators.motion import clean_points
-from fairlead.operators.proximity import find_candidates
+from fairlead.operators.proximity import (
+    Grid,
+    band_grid,
+    band_pairs,
+    closest_pairs,
+    crowded_cells,
+    near_grid,
+    near_pairs,
+    proximity_points,
+)
 from fairlead.operators.ranking import rank_events
 from fairlead.operators.report import event_summary
 from fairlead.operators.severity import (
@@ -21,6 +31,26 @@ from fairlead.operators.severity import (
 from fairlead.sources.stages import StageStore
 
 
+def crowded(
+    points: DataFrame, grid: Grid, store: StageStore, cfg: EncounterConfig
+) -> DataFrame | None:
+    """Crowded cells of a proximity grid, None when there are none.
+
+    The cells are written and counted first, and broadcast only when few.
+    """
+    cells = store.keep(crowded_cells(points, grid, cfg), "crowded_cells")
+    n = cells.count()
+    if n == 0:
+        return None
+    return F.broadcast(cells) if n <= cfg.broadcast_rows else cells
+
+
+def all_near_pairs(clean: DataFrame, store: StageStore, cfg: EncounterConfig) -> DataFrame:
+    """Near pairs of clean points, with crowded cells divided among tasks."""
+    points = proximity_points(clean)
+    return near_pairs(points, cfg, crowded(points, near_grid(cfg), store, cfg))
+
+
 class EncounterAnalysis:
     """From typed position reports of any number of days to ranked events.
 
@@ -40,10 +70,23 @@ class EncounterAnalysis:
     def clean(self) -> DataFrame:
         return self.store.keep(clean_points(self.points, self.cfg), "clean_points")
 
+    @property
+    def band_pairs(self) -> DataFrame:
+        points = proximity_points(self.clean)
+        cells = crowded(points, band_grid(self.cfg), self.store, self.cfg)
+        return band_pairs(points, self.cfg, cells)
+
+    @property
+    def near_pairs(self) -> DataFrame:
+        return all_near_pairs(self.clean, self.store, self.cfg)
+
+    @property
+    def closest_pairs(self) -> DataFrame:
+        return closest_pairs(self.near_pairs)
+
     @cached_property
     def candidates(self) -> DataFrame:
-        found = find_candidates(self.clean, self.cfg, distinct=True)
-        return self.store.keep(found, "candidates")
+        return self.store.keep(self.closest_pairs, "candidates")
 
     @property
     def windows(self) -> DataFrame:

@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairlead.config import DEFAULT_CONFIG as CFG
-from fairlead.functions.geo import great_circle_nm, metres
+from fairlead.functions.geo import bucket, great_circle_nm, metres
 from fairlead.operators import area, confirm, motion, proximity, quality, report, severity
 from fairlead.plans.analysis import EncounterAnalysis
+from fairlead.sources import day_tables, position_files
 from fairlead.sources.event_feed import ais_points
+from fairlead.sources.position_files import FEED_TIME_FORMAT
 from fairlead.sources.stages import StageStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +40,86 @@ def analysis(spark: SparkSession, sf_dir: str) -> EncounterAnalysis:
     return EncounterAnalysis(ais_points(spark, sf_dir), StageStore(spark), CFG)
 
 
+# --- Files ------------------------------------------------------------------
+
+
+def _feed_files(spark: SparkSession, feed: DataFrame) -> list[str]:
+    """Writes feed rows as CSV, one folder per day, and returns the files."""
+    path = StageStore(spark).path("feed")
+    day = F.date_format(F.to_date("# Timestamp", FEED_TIME_FORMAT), "yyyy-MM-dd")
+    dated = feed.withColumn("day", F.coalesce(day, F.lit("undated")))
+    dated.write.option("header", True).partitionBy("day").csv(path)
+    return position_files.discover_files(spark, path, "*.csv", nested=True)
+
+
+def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = _feed_files(spark, position_files.as_feed(ais_points(spark, sf_dir)))
+    return position_files.read_feed(spark, files).select(
+        F.col("# Timestamp").alias("time_text"),
+        F.col("MMSI").alias("mmsi"),
+        F.col("Name").alias("name"),
+        F.col("Latitude").try_cast("double").alias("latitude"),
+        "file_day",
+    )
+
+
+def normalize_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = position_files.normalize_columns(
+        position_files.as_feed(ais_points(spark, sf_dir))
+    )
+    return named.withColumns({c: F.col(c).try_cast("double") for c in ("latitude", "longitude", "sog")})
+
+
+def standardize_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed rows of a feed with padded text, words for numbers and odd dates."""
+    points = ais_points(spark, sf_dir)
+    feed = position_files.normalize_columns(position_files.as_feed(points))
+    status = F.col("navigational_status")
+    short_day = F.regexp_replace("timestamp", "^0", "")
+    damaged = feed.withColumns(
+        {
+            "mmsi": F.concat(F.lit("  "), "mmsi", F.lit(" ")),
+            "latitude": F.when(status == "Moored", "n/a").otherwise(F.col("latitude")),
+            "timestamp": F.when(status == "At anchor", short_day).otherwise(F.col("timestamp")),
+        }
+    )
+    return position_files.standardize_types(damaged).select(
+        "mmsi", "name", "navigational_status", "ts", "latitude", "longitude", F.round("sog", 6).alias("sog")
+    )
+
+
+def typed_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean points written as CSV by day and read back with their types."""
+    clean = _clean(spark, sf_dir).select(*POINT, "name")
+    path = StageStore(spark).path("clean_csv")
+    day_tables.write_days(clean, path, "csv")
+    return rounded(day_tables.read_days(spark, path, clean.schema, "csv"), sog=6)
+
+
+def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean points written by day twice: the second write replaces the first."""
+    run = analysis(spark, sf_dir)
+    clean = run.clean.select(*POINT, "name")
+    path = run.store.path("clean_days")
+    for _ in range(2):
+        day_tables.write_days(clean, path)
+    return rounded(day_tables.read_days(spark, path, clean.schema), sog=6)
+
+
+def pending_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-minute slots of the feed for which no encounter candidate is stored.
+
+    Slots stand in for days because the small tables span a single day.
+    """
+    run = analysis(spark, sf_dir)
+
+    def slots(df: DataFrame, ts: str) -> DataFrame:
+        return df.select(bucket(F.col(ts), 600).alias("file_day"))
+
+    left = day_tables.pending_days(slots(run.points, "ts"), slots(run.candidates, "ts_1"))
+    return left.select(F.col("file_day").alias("slot"))
+
+
 # --- Points -----------------------------------------------------------------
 
 
@@ -135,18 +217,16 @@ def overlapping_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pair_band_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = proximity.proximity_points(_clean(spark, sf_dir))
-    return proximity.band_pairs(points, CFG).select(*PAIR_ROW)
+    return analysis(spark, sf_dir).band_pairs.select(*PAIR_ROW)
 
 
 def near_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = proximity.proximity_points(_clean(spark, sf_dir))
-    near = proximity.near_pairs(points, CFG).select(*PAIR_ROW, "distance_m")
+    near = analysis(spark, sf_dir).near_pairs.select(*PAIR_ROW, "distance_m")
     return rounded(near, distance_m=3)
 
 
 def closest_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return proximity.find_candidates(_clean(spark, sf_dir), CFG, distinct=True)
+    return analysis(spark, sf_dir).closest_pairs
 
 
 # --- Encounters -------------------------------------------------------------
@@ -264,6 +344,12 @@ def all_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "scan_csv": scan_csv,
+        "normalize_columns": normalize_columns,
+        "standardize_types": standardize_types,
+        "typed_points": typed_points,
+        "sink_roundtrip": sink_roundtrip,
+        "pending_days": pending_days,
         "haversine": haversine,
         "distance_to_center": distance_to_center,
         "valid_rows": valid_rows,

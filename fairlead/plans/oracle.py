@@ -248,7 +248,34 @@ def _unpivoted_rules() -> str:
 def oracle_sql() -> dict[str, str]:
     """One statement per named query with the same column names."""
     center = _distance("latitude", "longitude", str(CFG.center_lat), str(CFG.center_lon))
+    clean_row = f"{_POINT.replace('sog', 'round(sog, 6) AS sog')}, name"
+    time_text = "strftime(make_timestamp(ts * 1000000), '%d/%m/%Y %H:%M:%S')"
     return {
+        "scan_csv": sql(
+            f"""SELECT {time_text} AS time_text, mmsi, name, latitude,
+                  strftime(make_timestamp(ts * 1000000), '%Y-%m-%d') AS file_day FROM ais""",
+            "ais",
+        ),
+        "normalize_columns": sql(
+            f"""SELECT {time_text} AS timestamp, mmsi, latitude, longitude, navigational_status,
+                  sog, name FROM ais""",
+            "ais",
+        ),
+        "standardize_types": sql(
+            """SELECT mmsi, name, navigational_status, longitude, round(sog, 6) AS sog,
+                 CASE WHEN navigational_status = 'At anchor'
+                       AND day(make_timestamp(ts * 1000000)) < 10 THEN NULL ELSE ts END AS ts,
+                 CASE WHEN navigational_status = 'Moored' THEN NULL ELSE latitude END AS latitude
+               FROM ais""",
+            "ais",
+        ),
+        "typed_points": sql(f"SELECT {clean_row} FROM clean", "clean"),
+        "sink_roundtrip": sql(f"SELECT {clean_row} FROM clean", "clean"),
+        "pending_days": sql(
+            """SELECT DISTINCT CAST(floor(ts / 600) AS BIGINT) AS slot FROM ais
+               WHERE floor(ts / 600) NOT IN (SELECT floor(ts / 600) FROM closest)""",
+            "closest",
+        ),
         "haversine": sql(
             f"SELECT event_id, round({center} * {METRES_PER_NM}, 3) AS distance_m"
             " FROM ais WHERE latitude IS NOT NULL",

@@ -35,8 +35,12 @@ class StageStore:
         self.spark = spark
         self.root = root or f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
 
+    def path(self, name: str) -> str:
+        """A path of this store that nothing else uses."""
+        return f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
+
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Writes ``df`` and returns a reader of the written table."""
-        path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
+        path = self.path(name)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
