@@ -41,7 +41,7 @@ def with_previous(
     passes read the same shuffle.
     """
     order = ["ts", "latitude", "longitude"]
-    order += tie_breakers(points, cfg, [*VESSEL, *order])
+    order += tie_breakers(points, cfg, [*VESSEL, *order, *tail])
     by_chunk = Window.partitionBy(*VESSEL, "chunk").orderBy(*order)
     by_vessel = Window.partitionBy(*VESSEL).orderBy(*order)
     # Carrying the position as one column keeps both passes on the same columns

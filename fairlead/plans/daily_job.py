@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from fairlead.config import DEFAULT_CONFIG, EncounterConfig
 from fairlead.operators.confirm import confirm_encounters
@@ -18,29 +17,26 @@ from fairlead.sources.position_files import day_of_path, discover_files, read_po
 from fairlead.sources.stages import StageStore
 
 
-def _schema(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
-
-
-CLEAN_SCHEMA = _schema(
+# Columns of the day tables.
+CLEAN_SCHEMA = (
     "timestamp timestamp, mmsi string, name string, imo string, callsign string,"
     " type_of_mobile string, latitude double, longitude double, sog double, cog double,"
     " heading double, rot double, navigational_status string, ship_type string,"
     " cargo_type string, draught string, destination string, eta string,"
     " data_source_type string, distance_to_center_nm double, ts bigint, file_day string"
 )
-CANDIDATE_SCHEMA = _schema(
+CANDIDATE_SCHEMA = (
     "mmsi_1 string, mmsi_2 string, name_1 string, name_2 string, timestamp_1 timestamp,"
     " timestamp_2 timestamp, time_diff_sec bigint, distance_m double, latitude_1 double,"
     " longitude_1 double, latitude_2 double, longitude_2 double, sog_1 double, sog_2 double,"
     " status_1 string, status_2 string, ts_1 bigint, ts_2 bigint, file_day string"
 )
-EVENT_SCHEMA = _schema(
+EVENT_SCHEMA = (
     "pair_id string, mmsi_1 string, mmsi_2 string, name_1 string, name_2 string,"
     " collision_ts bigint, collision_distance_m double, window_start bigint, window_end bigint,"
     " file_day string"
 )
-TRACK_SCHEMA = _schema(
+TRACK_SCHEMA = (
     "pair_id string, collision_timestamp timestamp, pair_mmsi_1 string, pair_mmsi_2 string,"
     " mmsi string, name string, timestamp timestamp, latitude double, longitude double,"
     " sog double, navigational_status string, vessel_in_pair int, mean_pair_proportion double,"
@@ -84,7 +80,7 @@ class DailyJob:
         if days:
             wanted = [f for f in files if day_of_path(f) in set(days)]
             points = read_points(self.spark, wanted)
-            needed = [f.name for f in CLEAN_SCHEMA if f.name in points.columns]
+            needed = [c for c in self.clean.schema.names if c in points.columns]
             self.clean.write(clean_points(points.select(*needed), cfg), days)
 
         days = self.candidates.pending(requested)

@@ -58,12 +58,12 @@ class DayTable:
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, name: str, schema: StructType, fmt: str = "parquet"
+        self, spark: SparkSession, root: str, name: str, schema: str, fmt: str = "parquet"
     ):
         self.spark = spark
         self.path = f"{root}/{name}"
         self.done_path = f"{root}/{name}_done"
-        self.schema = schema
+        self.schema = StructType.fromDDL(schema)
         self.fmt = fmt
 
     def read(self, days: list[str] | None = None) -> DataFrame:
