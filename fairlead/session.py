@@ -14,7 +14,8 @@ SETTINGS = {
     # its large partitions early.
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Building long plans is faster without recording where each Column was made.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
