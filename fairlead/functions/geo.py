@@ -16,10 +16,9 @@ EDGE_PAD_DEG = 1e-9
 def great_circle_nm(lat_a: Column, lon_a: Column, lat_b: Column, lon_b: Column) -> Column:
     """Haversine distance in nautical miles; NULL when any input is NULL."""
     phi_a, phi_b = F.radians(lat_a), F.radians(lat_b)
-    half_dphi = (phi_b - phi_a) / 2
-    half_dlambda = F.radians(lon_b - lon_a) / 2
-    sin_phi, sin_lambda = F.sin(half_dphi), F.sin(half_dlambda)
-    chord = sin_phi * sin_phi + F.cos(phi_a) * F.cos(phi_b) * sin_lambda * sin_lambda
+    across_lat = F.pow(F.sin((phi_b - phi_a) / 2), 2)
+    across_lon = F.pow(F.sin(F.radians(lon_b - lon_a) / 2), 2)
+    chord = across_lat + F.cos(phi_a) * F.cos(phi_b) * across_lon
     # Rounding can push antipodal points just past 1, where asin is NaN.
     half_angle = F.nanvl(F.asin(F.sqrt(chord)), F.lit(math.pi / 2))
     return half_angle * F.lit(2 * EARTH_RADIUS_NM)

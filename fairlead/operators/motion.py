@@ -38,7 +38,8 @@ def with_previous(
     A vessel may own a large share of all rows, so its track is cut into time
     chunks that sort independently. Only the first and last report of each
     chunk go on to a second, per-vessel window that links the chunks. Both
-    passes read the same shuffle.
+    passes read the same shuffle. A chunk holds one row per second at most after
+    :func:`fold_simultaneous`; fold first where reports may repeat very often.
     """
     order = ["ts", "latitude", "longitude"]
     order += tie_breakers(points, cfg, [*VESSEL, *order, *tail])

@@ -103,7 +103,7 @@ def score_severity(tracks: DataFrame, cfg: EncounterConfig = DEFAULT_CONFIG) ->
     pair = Window.partitionBy(*PAIR)
     before = _or_silent(F.avg(_sog_before()).over(vessel), cfg)
     after = _or_silent(F.avg(_sog_after()).over(vessel), cfg)
-    rated = tracks.withColumn("ratio", F.try_divide(before, after))
+    rated = tracks.repartition(*PAIR).withColumn("ratio", F.try_divide(before, after))
     for n in (1, 2):
         of_vessel = F.when(F.col("vessel_in_pair") == n, F.col("ratio"))
         rated = rated.withColumn(f"ratio_{n}", F.max(of_vessel).over(pair))

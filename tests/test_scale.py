@@ -28,6 +28,11 @@ def executed(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def shuffles_by_pair(df) -> int:
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return len(re.findall(r"Exchange hashpartitioning\(file_day#\d+L?, pair_id", text))
+
+
 LAZY = [
     "valid_rows", "geofence", "dedup_points", "track_steps", "clean_points", "near_pairs",
     "pair_band_join", "closest_pair", "confirmed_events", "event_tracks", "ranked_tracks",
@@ -51,7 +56,7 @@ def test_both_lag_passes_read_one_shuffle(spark):
     assert len(re.findall(r"FileScan parquet", final)) == 1
 
 
-def test_confirmation_shuffles_by_pair_once(spark):
+def test_confirmation_and_scoring_shuffle_by_pair_once(spark):
     run = EncounterAnalysis(ais_points(spark, SMALL), StageStore(spark), CFG)
     together = run.pair_points.repartition(*confirm.PAIR)
     closest = (
@@ -61,9 +66,8 @@ def test_confirmation_shuffles_by_pair_once(spark):
         .transform(confirm.encounter_seconds, CFG)
         .transform(confirm.closest_seconds)
     )
-    by_pair = re.findall(r"Exchange hashpartitioning\(file_day#\d+L?, pair_id#\d+, \d+\)",
-                         closest._jdf.queryExecution().executedPlan().toString())
-    assert len(by_pair) == 1
+    assert shuffles_by_pair(closest) == 1
+    assert shuffles_by_pair(severity.score_severity(run.tracks, CFG)) == 1
 
 
 def test_stage_tables_prune_columns_and_rows(spark):
