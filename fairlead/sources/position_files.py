@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +50,8 @@ def day_of_path(path: str) -> str:
 
 def file_day() -> Column:
     """:func:`day_of_path` of the file a row was read from."""
-    path = F.col("_metadata.file_path")
+    # The path is percent-encoded; a plus sign in it stands for itself.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     dates = F.regexp_extract_all(path, F.lit(f"({DATE_IN_PATH})"))
     name = F.regexp_extract(path, r"([^/.]+)[^/]*$", 1)
     return F.coalesce(F.try_element_at(dates, F.lit(-1)), name)
@@ -68,7 +70,7 @@ def discover_files(
         .schema("line string")
         .csv(folder)
     )
-    files = sorted(listing.inputFiles())
+    files = sorted(unquote(f) for f in listing.inputFiles())
     if not files:
         raise FileNotFoundError(f"no file in {folder} matches {pattern}")
     return files

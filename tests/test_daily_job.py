@@ -46,9 +46,12 @@ def test_discovery(spark, tmp_path):
 
 
 def test_day_labels(spark, tmp_path):
-    paths = [write_file(tmp_path / n, "a,b,c,d,e,f,g,h,i,j") for n in ("x-2021-12-01.csv", "loose.csv")]
+    for name in ("x-2021-12-01.csv", "loose.csv", "a b+c.csv"):
+        write_file(tmp_path / name, "a,b,c,d,e,f,g,h,i,j")
+    paths = position_files.discover_files(spark, str(tmp_path))
     got = {r.file_day for r in position_files.read_feed(spark, paths).collect()}
-    assert got == {position_files.day_of_path(p) for p in paths} == {"2021-12-01", "loose"}
+    assert got == {position_files.day_of_path(p) for p in paths}
+    assert got == {"2021-12-01", "loose", "a b+c"}
 
 
 def test_dirty_values_become_null(spark, tmp_path):
