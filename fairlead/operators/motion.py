@@ -17,7 +17,7 @@ from fairlead.operators.quality import tie_breakers, valid_rows, without_station
 
 VESSEL = ("file_day", "mmsi")
 
-# Columns of a clean point, in output order; absent ones are left out.
+# Columns of a clean point, in output order; absent ones are left out.
 CLEAN_COLUMNS = (
     "timestamp", "mmsi", "name", "imo", "callsign", "type_of_mobile",
     "latitude", "longitude", "sog", "cog", "heading", "rot",
