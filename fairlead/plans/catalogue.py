@@ -18,7 +18,7 @@ from fairlead.operators import area, confirm, motion, proximity, quality, report
 from fairlead.plans.analysis import EncounterAnalysis
 from fairlead.sources import day_tables, position_files
 from fairlead.sources.event_feed import ais_points
-from fairlead.sources.position_files import FEED_TIME_FORMAT
+from fairlead.sources.position_files import FEED_DATE_FORMAT
 from fairlead.sources.stages import StageStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,8 +46,8 @@ def analysis(spark: SparkSession, sf_dir: str) -> EncounterAnalysis:
 def _feed_files(spark: SparkSession, feed: DataFrame) -> list[str]:
     """Writes feed rows as CSV, one folder per day, and returns the files."""
     path = StageStore(spark).path("feed")
-    day = F.date_format(F.to_date("# Timestamp", FEED_TIME_FORMAT), "yyyy-MM-dd")
-    dated = feed.withColumn("day", F.coalesce(day, F.lit("undated")))
+    date_text = F.substring_index("# Timestamp", " ", 1)
+    dated = feed.withColumn("day", F.to_date(date_text, FEED_DATE_FORMAT))
     dated.write.option("header", True).partitionBy("day").csv(path)
     return position_files.discover_files(spark, path, "*.csv", nested=True)
 

@@ -33,6 +33,7 @@ FEED_COLUMNS = {
     "ETA": "eta",
     "Data source type": "data_source_type",
 }
+FEED_DATE_FORMAT = "dd/MM/yyyy"
 FEED_TIME_FORMAT = "dd/MM/yyyy HH:mm:ss"
 # --- End of fixed values ---
 
@@ -115,9 +116,24 @@ def read_points(spark: SparkSession, files: str | list[str]) -> DataFrame:
     return read_feed(spark, files).transform(normalize_columns).transform(standardize_types)
 
 
+def feed_date(ts: Column) -> Column:
+    """UTC date of epoch seconds, whatever the session time zone."""
+    return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(ts / 86400).cast("int"))
+
+
+def feed_text(ts: Column) -> Column:
+    """Epoch seconds in the time format of the feed; reverse of :func:`feed_time`."""
+    second = F.pmod(ts, F.lit(86400))
+    clock = F.format_string(
+        "%02d:%02d:%02d", F.floor(second / 3600), F.floor(second / 60) % 60, second % 60
+    )
+    text = F.concat_ws(" ", F.date_format(feed_date(ts), FEED_DATE_FORMAT), clock)
+    return F.when(ts.isNotNull(), text)
+
+
 def as_feed(points: DataFrame) -> DataFrame:
     """Points in the headers and time format of the feed, as strings."""
-    when = F.date_format(F.timestamp_seconds("ts"), FEED_TIME_FORMAT)
+    when = feed_text(F.col("ts"))
     present = set(points.columns)
     return points.select(
         when.alias("# Timestamp"),

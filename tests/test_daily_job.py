@@ -75,7 +75,9 @@ def test_times_are_utc_in_any_session_zone(spark, tmp_path):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        assert position_files.read_points(spark, path).first().ts == 1638316805
+        read = position_files.read_points(spark, path)
+        assert read.first().ts == 1638316805
+        assert position_files.as_feed(read).first()[0] == "01/12/2021 00:00:05"
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
 
@@ -171,7 +173,9 @@ def test_events_table_through_files_gives_the_same_ranking(spark, tmp_path):
     day = F.date_format(F.timestamp_seconds("ts"), "yyyy-MM-dd")
     raw = str(tmp_path / "raw")
     feed = position_files.as_feed(points)
-    dated = feed.withColumn("day", F.to_date("# Timestamp", position_files.FEED_TIME_FORMAT))
+    dated = feed.withColumn(
+        "day", F.to_date(F.substring_index("# Timestamp", " ", 1), position_files.FEED_DATE_FORMAT)
+    )
     dated.write.option("header", True).partitionBy("day").csv(raw)
     ranked = DailyJob(spark, str(tmp_path / "out")).run(raw, nested=True)
     direct = EncounterAnalysis(points.withColumn("file_day", day), StageStore(spark)).ranked_tracks
