@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm import line_dedup, mixing, sharding
+from fairlead.llm import line_dedup, mixing, quality_rules, sharding
 from fairlead.llm.common import documents, sha256_hex
 
 
@@ -17,6 +17,12 @@ def op1_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("law", F.lit("key"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select(
         "doc_id", "source", "size", "source_size", "target", "taken"
@@ -35,5 +41,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_hash_tree_sharding, op4_source_mixing, op10_line_dedup)
+    named = (op1_hash_tree_sharding, op2_quality_rules, op4_source_mixing, op10_line_dedup)
     return {query.__name__: query for query in named}

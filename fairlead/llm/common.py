@@ -6,6 +6,8 @@ columns, whatever their names, neither clash nor travel along.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +36,12 @@ def row_hash(text: Column) -> Column:
 
 def sha256_hex(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once.
+
+    An expression that a lambda refers to is otherwise computed again for
+    every element the lambda runs over.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))

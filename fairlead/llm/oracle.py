@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fairlead.llm.quality_rules import STOP_WORDS
+
 LINE_DEDUP = r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -82,5 +84,36 @@ FROM placed p JOIN budgets b ON p.source IS NOT DISTINCT FROM b.source AND p.sha
 """
 
 
+QUALITY_RULES = r"""
+WITH split AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS i FROM split)),
+repeats AS (SELECT doc_id, g FROM windows GROUP BY doc_id, g HAVING count(*) > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n
+  FROM windows JOIN repeats USING (doc_id, g), (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
+measured AS (
+  SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+         len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         coalesce(n, 0) AS n_repeat_words,
+         len(list_filter(w, lambda x: list_contains({STOP}, x))) AS n_stop_words,
+         len(list_filter(lines, lambda x: regexp_matches(x, '(?:\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_ellipsis,
+         len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]'))) AS n_bullets
+  FROM split LEFT JOIN covered USING (doc_id)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND word_chars / n_words BETWEEN 2 AND 12 AND n_symbols / n_words <= 0.1
+       AND n_stop_words / n_words >= 0.05 AND n_dup_lines / n_lines <= 0.5
+       AND n_ellipsis / n_lines <= 0.3 AND n_bullets / n_lines <= 0.9 AS kept
+FROM judged
+""".replace("{STOP}", str(" ".join(STOP_WORDS.values()).split()))
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_source_mixing": MIXING, "op10_line_dedup": LINE_DEDUP}
+    return {"op2_quality_rules": QUALITY_RULES, "op4_source_mixing": MIXING, "op10_line_dedup": LINE_DEDUP}
