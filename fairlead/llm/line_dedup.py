@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairlead.llm.common import SPACE_CHARS, row_hash
+from fairlead.llm.common import SPACE_CHARS, let, row_hash
 
 # --- Fixed values: letters that a line key folds ---
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -44,14 +44,16 @@ def long_lines(docs: DataFrame, min_chars: int, salts: int) -> DataFrame:
 
 def kept_runs(n_lines: Column, dropped: Column) -> Column:
     """Run-length form of the keep bitmap: runs (start, length) of kept lines."""
-    edges = F.concat(F.array(F.lit(-1)), dropped, F.array(n_lines))
-    runs = F.transform(
-        F.sequence(F.lit(1), F.size(edges) - 1),
-        lambda i: F.struct(
-            (F.get(edges, i - 1) + 1).alias("start"),
-            (F.get(edges, i) - F.get(edges, i - 1) - 1).alias("length"),
-        ),
-    )
+    def between(edges: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.size(edges) - 1),
+            lambda i: F.struct(
+                (F.get(edges, i - 1) + 1).alias("start"),
+                (F.get(edges, i) - F.get(edges, i - 1) - 1).alias("length"),
+            ),
+        )
+
+    runs = let(F.concat(F.array(F.lit(-1)), dropped, F.array(n_lines)), between)
     return F.filter(runs, lambda r: r["length"] > 0)
 
 
@@ -135,8 +137,10 @@ def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str, text_col: str
 
 def kept_text(whole: Column, runs: Column) -> Column:
     """The text without its dropped lines; ``runs`` is null where none is dropped."""
-    lines = F.split(whole, "\n")
-    pieces = F.transform(runs, lambda r: F.slice(lines, r["start"] + 1, r["length"]))
+    pieces = let(
+        F.split(whole, "\n"),
+        lambda lines: F.transform(runs, lambda r: F.slice(lines, r["start"] + 1, r["length"])),
+    )
     return F.when(runs.isNull(), whole).otherwise(F.array_join(F.flatten(pieces), "\n"))
 
 
