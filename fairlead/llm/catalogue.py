@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm import line_dedup, mixing, quality_rules, sharding
+from fairlead.llm import bpe, classifier, line_dedup, mixing, quality_rules, sharding
 from fairlead.llm.common import documents, sha256_hex
 
 
@@ -29,6 +30,27 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.encode_documents(documents(spark, sf_dir), path).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        sha256_hex(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = classifier.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return classifier.score(docs, model).select(
+        "doc_id",
+        classifier.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     joined = line_dedup.with_bitmaps(docs, line_dedup.keep_bitmaps(docs), "doc_id", "text")
@@ -41,5 +63,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_hash_tree_sharding, op2_quality_rules, op4_source_mixing, op10_line_dedup)
+    named = (op1_hash_tree_sharding, op2_quality_rules, op4_source_mixing, op5_bpe, op8_quality_classifier, op10_line_dedup)
     return {query.__name__: query for query in named}
