@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm import bpe, classifier, line_dedup, mixing, quality_rules, sharding
+from fairlead.llm import bpe, classifier, fingerprint, line_dedup, mixing, quality_rules, sharding
 from fairlead.llm.common import documents, sha256_hex
 
 
@@ -51,6 +51,18 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_documents(documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_chars",
+        sha256_hex(F.col("edited")).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     joined = line_dedup.with_bitmaps(docs, line_dedup.keep_bitmaps(docs), "doc_id", "text")
@@ -63,5 +75,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_hash_tree_sharding, op2_quality_rules, op4_source_mixing, op5_bpe, op8_quality_classifier, op10_line_dedup)
+    named = (op1_hash_tree_sharding, op2_quality_rules, op4_source_mixing, op5_bpe, op8_quality_classifier, op9_fingerprints, op10_line_dedup)
     return {query.__name__: query for query in named}
