@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm import bpe, classifier, fingerprint, line_dedup, mixing, quality_rules, sharding
+from fairlead.llm import bpe, classifier, fingerprint, line_dedup, minhash, mixing, quality_rules, sharding
 from fairlead.llm.common import documents, sha256_hex
+from fairlead.sources.stages import StageStore
 
 
 def op1_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +41,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), StageStore(spark))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = classifier.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -75,5 +80,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_hash_tree_sharding, op2_quality_rules, op4_source_mixing, op5_bpe, op8_quality_classifier, op9_fingerprints, op10_line_dedup)
+    named = (op1_hash_tree_sharding, op2_quality_rules, op4_source_mixing, op5_bpe, op7_minhash_dedup, op8_quality_classifier, op9_fingerprints, op10_line_dedup)
     return {query.__name__: query for query in named}
