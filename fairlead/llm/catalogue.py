@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm import bpe, classifier, fingerprint, line_dedup, minhash, mixing, quality_rules, sharding
+from fairlead.llm import bpe, classifier, fingerprint, line_dedup, minhash, mixing, quality_rules, sharding, substring_dedup
 from fairlead.llm.common import documents, sha256_hex
 from fairlead.sources.stages import StageStore
 
@@ -41,6 +41,13 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.remove_repeats(documents(spark, sf_dir), StageStore(spark))
+    return cut.select(
+        "doc_id", "n_words", "n_removed", sha256_hex(F.col("kept")).alias("kept_sha256")
+    )
+
+
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), StageStore(spark))
 
@@ -80,5 +87,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_hash_tree_sharding, op2_quality_rules, op4_source_mixing, op5_bpe, op7_minhash_dedup, op8_quality_classifier, op9_fingerprints, op10_line_dedup)
+    named = (op1_hash_tree_sharding, op2_quality_rules, op4_source_mixing, op5_bpe, op6_substring_dedup, op7_minhash_dedup, op8_quality_classifier, op9_fingerprints, op10_line_dedup)
     return {query.__name__: query for query in named}

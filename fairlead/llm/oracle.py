@@ -115,5 +115,28 @@ FROM judged
 """.replace("{STOP}", str(" ".join(STOP_WORDS.values()).split()))
 
 
+SUBSTRING_DEDUP = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS i FROM split)),
+earliest AS (SELECT g, min(doc_id) AS first_doc FROM windows GROUP BY g HAVING count(DISTINCT doc_id) > 1),
+covered AS (
+  SELECT DISTINCT w.doc_id, i + k AS pos
+  FROM windows w JOIN earliest e ON w.g = e.g AND e.first_doc < w.doc_id,
+       (SELECT unnest(generate_series(0, 12)) AS k)),
+tokens AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM split),
+kept AS (
+  SELECT t.doc_id, count(*) FILTER (WHERE c.pos IS NOT NULL) AS n_removed,
+         string_agg(word, ' ' ORDER BY t.pos) FILTER (WHERE c.pos IS NULL) AS text
+  FROM tokens t LEFT JOIN covered c ON t.doc_id = c.doc_id AND t.pos = c.pos GROUP BY t.doc_id)
+SELECT s.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM split s LEFT JOIN kept k USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": QUALITY_RULES, "op4_source_mixing": MIXING, "op10_line_dedup": LINE_DEDUP}
+    return {"op2_quality_rules": QUALITY_RULES, "op4_source_mixing": MIXING, "op10_line_dedup": LINE_DEDUP, "op6_substring_dedup": SUBSTRING_DEDUP}
