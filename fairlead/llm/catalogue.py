@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm import bpe, classifier, fingerprint, line_dedup, minhash, mixing, quality_rules, sharding, substring_dedup
+from fairlead.llm import bpe, classifier, fingerprint, line_dedup, lm_scoring, minhash, mixing, quality_rules, sharding, substring_dedup
 from fairlead.llm.common import documents, sha256_hex
-from fairlead.sources.stages import StageStore
+from fairlead.llm.stages import Stages
 
 
 def op1_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,16 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_scoring.score_documents(documents(spark, sf_dir), Stages(spark))
+    return scored.select(
+        "doc_id",
+        "n_words",
+        F.round("log_score", 6).alias("log_score"),
+        F.round("mean_log_score", 9).alias("mean_log_score"),
+    )
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select(
         "doc_id", "source", "size", "source_size", "target", "taken"
@@ -42,14 +52,14 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = substring_dedup.remove_repeats(documents(spark, sf_dir), StageStore(spark))
+    cut = substring_dedup.remove_repeats(documents(spark, sf_dir), Stages(spark))
     return cut.select(
         "doc_id", "n_words", "n_removed", sha256_hex(F.col("kept")).alias("kept_sha256")
     )
 
 
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(documents(spark, sf_dir), StageStore(spark))
+    return minhash.near_duplicates(documents(spark, sf_dir), Stages(spark))
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,5 +97,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_hash_tree_sharding, op2_quality_rules, op4_source_mixing, op5_bpe, op6_substring_dedup, op7_minhash_dedup, op8_quality_classifier, op9_fingerprints, op10_line_dedup)
+    named = (
+        op1_hash_tree_sharding,
+        op2_quality_rules,
+        op3_lm_scoring,
+        op4_source_mixing,
+        op5_bpe,
+        op6_substring_dedup,
+        op7_minhash_dedup,
+        op8_quality_classifier,
+        op9_fingerprints,
+        op10_line_dedup,
+    )
     return {query.__name__: query for query in named}
