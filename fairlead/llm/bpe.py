@@ -149,9 +149,9 @@ def slices(batch: pa.RecordBatch, texts: pa.Array, most: int) -> Iterator[tuple[
 
 
 def encode_documents(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, path: str, decode: bool = True, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Ids and decoded text of every row: doc_id, n_tokens, ids (binary), decoded.
+    """Ids of every row: doc_id, n_tokens, ids (binary) and, with ``decode``, decoded.
 
     ``ids`` packs little-endian unsigned 32-bit integers. A null text counts as
     empty and has no ids. ``path`` is a vocabulary file that every executor
@@ -165,15 +165,15 @@ def encode_documents(
             texts = batch.column(1)
             for start, end in slices(batch, texts, BATCH_CHARS):
                 packed = [coder.encode(t or "") for t in texts.slice(start, end - start).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(start, end - start),
-                        pa.array([len(p) // 4 for p in packed], pa.int64()),
-                        pa.array(packed, pa.binary()),
-                        pa.array(map(coder.decode, packed), pa.string()),
-                    ],
-                    names=["doc_id", "n_tokens", "ids", "decoded"],
-                )
+                columns = {
+                    "doc_id": batch.column(0).slice(start, end - start),
+                    "n_tokens": pa.array([len(p) // 4 for p in packed], pa.int64()),
+                    "ids": pa.array(packed, pa.binary()),
+                }
+                if decode:
+                    columns["decoded"] = pa.array(map(coder.decode, packed), pa.string())
+                yield pa.RecordBatch.from_pydict(columns)
 
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return slim.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids binary, decoded string")
+    schema = "doc_id bigint, n_tokens bigint, ids binary"
+    return slim.mapInArrow(run, schema + ", decoded string" * decode)

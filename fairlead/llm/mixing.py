@@ -201,3 +201,54 @@ def mix(
             (F.col("passes") * F.col("size") + F.col("piece_words") + F.col("head_words")).alias("taken"),
         )
     )
+
+
+def mixed_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars", **options
+) -> DataFrame:
+    """The mix itself, with the columns of ``docs``: a row for each time a text is taken.
+
+    Whole passes repeat the row; the words of a partial pass, joined by one
+    space, make a row of their own. ``chars_col`` is brought up to date.
+    """
+    taken = mix(docs, id_col=id_col, text_col=text_col, **options).where("taken > 0").select(
+        F.col("doc_id").alias("taken_id"), "row", "passes", "piece_start", "piece_words", "head_words"
+    )
+    # Equal rows take different words; each is matched once, in any order.
+    same = Window.partitionBy("taken_id", "row").orderBy("passes", "piece_start", "piece_words", "head_words")
+    numbered = taken.withColumn("turn", F.row_number().over(same))
+    whole = docs.select(
+        F.struct("*").alias("doc"),
+        F.col(id_col).cast("bigint").alias("left_id"),
+        F.col(text_col).alias("text"),
+        F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("left_row"),
+    ).withColumn(
+        "left_turn", F.row_number().over(Window.partitionBy("left_id", "left_row").orderBy(F.lit(0)))
+    )
+    joined = whole.join(
+        numbered,
+        F.col("left_id").eqNullSafe(F.col("taken_id"))
+        & (F.col("left_row") == F.col("row"))
+        & (F.col("left_turn") == F.col("turn")),
+    )
+
+    def piece(tokens: Column, start: Column, n: Column) -> Column:
+        return F.when(
+            n > 0, F.array_join(F.slice(tokens, (start + 1).cast("int"), n.cast("int")), " ")
+        )
+
+    tokens = words(F.col("text"))
+    pieces = F.concat(
+        F.array_repeat("text", F.col("passes").cast("int")),
+        F.array_compact(
+            F.array(
+                piece(tokens, F.col("piece_start"), F.col("piece_words")),
+                piece(tokens, F.lit(0), F.col("head_words")),
+            )
+        ),
+    )
+    rows = joined.select("doc", F.explode(pieces).alias("part"))
+    new = {text_col: F.col("part")}
+    if chars_col in docs.columns:
+        new[chars_col] = F.length("part").cast(docs.schema[chars_col].dataType)
+    return rows.select(*(new.get(c, F.col("doc")[c]).alias(c) for c in docs.columns))
