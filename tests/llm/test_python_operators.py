@@ -1,0 +1,353 @@
+"""Scoring, coding, substring and near-dedup, classifier and fingerprints."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from fairlead.llm import bpe, classifier, fingerprint, lm_scoring, minhash, substring_dedup
+from fairlead.llm.components import connected_components
+from fairlead.llm.token_arrays import split_words, text_slices
+
+SPACE = re.compile(r"[^\x20\x09-\x0D]+")
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
+def tokens_of(text):
+    return SPACE.findall(text or "")
+
+
+# Words as arrays
+
+
+@pytest.mark.parametrize("most", [1, 7, 1 << 20])
+def test_array_words_match_the_pattern(most):
+    texts = ["", " a  b", "Hello\nWorld hello", None, "x", "  ", "ä ö\x0bü A B\x1cC", "a a a", " nbsp \x85"]
+    hashes = {}
+    for start, end, data, offsets in text_slices(pa.array(texts), most):
+        words = split_words(data, offsets, lower=False)
+        got = [data[a:b].tobytes().decode() for a, b in zip(words.starts, words.ends, strict=True)]
+        assert got == [w for t in texts[start:end] for w in tokens_of(t)]
+        assert np.diff(words.bounds).tolist() == [len(tokens_of(t)) for t in texts[start:end]]
+        for word, h in zip(got, words.hashes.tolist(), strict=True):
+            assert hashes.setdefault(word, h) == h
+    assert len(set(hashes.values())) == len(hashes)
+
+
+# Language-model scores
+
+
+def test_lm_scores_match_brute_force(edge_docs, edge_rows, no_docs, store):
+    rows = [(d, tokens_of(t)) for d, t, *_ in edge_rows]
+    words = Counter(w for _, ws in rows for w in ws)
+    pairs = Counter(p for _, ws in rows for p in zip(ws, ws[1:], strict=False))
+    total = sum(words.values())
+    want = defaultdict(float)
+    for d, ws in rows:
+        want[d] += 0.0
+        for i, b in enumerate(ws):
+            if i == 0:
+                want[d] += math.log(words[b] / total)
+            elif pairs[ws[i - 1], b] >= 2:
+                want[d] += math.log(pairs[ws[i - 1], b] / words[ws[i - 1]])
+            else:
+                want[d] += math.log(0.4 * words[b] / total)
+    got = lm_scoring.score_documents(edge_docs, store).collect()
+    assert {r.doc_id: r.log_score for r in got} == pytest.approx(dict(want))
+    assert len(got) == len(want)
+    assert {r.doc_id for r in got if r.mean_log_score is None} == {d for d in want if not any(ws for x, ws in rows if x == d)}
+    assert lm_scoring.score_documents(no_docs, store).count() == 0
+
+
+# Byte-pair coding
+
+HARD = [
+    "", "  ", "Σίσυφος ΟΔΟΣ ΣΣ", "<|endoftext|>a<|startoftext|> b <|ENDOFTEXT|>", "don't I'LL we've x'y 'S",
+    "İstanbul ﬁ ½ ² Ⅷ ٣٤", "é Å", "a\x85b c d\x1ce", "日本語 emoji 👩‍👩‍👧 ok", "a" * 300, "<|endoftext|", "ǅ ẞ ß ŉ", "\x00\x01",
+]
+
+
+def test_coding_matches_the_library(edge_rows):
+    library = Tokenizer.from_file(VOCABULARY)
+    library.no_truncation()
+    library.no_padding()
+    coder = bpe.Encoder(VOCABULARY)
+    for text in [*HARD, *(t for _, t, *_ in edge_rows if t)]:
+        ids = library.encode(text, add_special_tokens=False).ids
+        packed = coder.encode(text)
+        assert np.frombuffer(packed, "<u4").tolist() == ids
+        assert coder.decode(packed) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_forgetting_words_changes_nothing(monkeypatch):
+    text = " ".join(f"word{i} again" for i in range(50))
+    whole = bpe.Encoder(VOCABULARY).encode(text)
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 3)
+    coder = bpe.Encoder(VOCABULARY)
+    assert coder.encode(text) == whole and len(coder.known) <= 3
+
+
+def test_coding_edge_cases(edge_docs, edge_rows, no_docs):
+    rows = bpe.encode_documents(edge_docs, VOCABULARY).collect()
+    coder = bpe.Encoder(VOCABULARY)
+    assert Counter((r.doc_id, bytes(r.ids)) for r in rows) == Counter((d, coder.encode(t or "")) for d, t, *_ in edge_rows)
+    assert all(r.n_tokens * 4 == len(r.ids) and r.decoded == coder.decode(bytes(r.ids)) for r in rows)
+    assert bpe.encode_documents(no_docs, VOCABULARY).count() == 0
+    assert bpe.encode_documents(edge_docs, VOCABULARY, decode=False).columns == ["doc_id", "n_tokens", "ids"]
+
+
+# Substring dedup
+
+
+def brute_repeats(rows, window):
+    earliest = {}
+    for d, t in rows:
+        ws = tokens_of(t)
+        for i in range(len(ws) - window + 1):
+            key = tuple(ws[i : i + window])
+            order = -math.inf if d is None else d
+            earliest[key] = min(earliest.get(key, math.inf), order)
+    out = Counter()
+    for d, t in rows:
+        ws = tokens_of(t)
+        gone = set()
+        for i in range(len(ws) - window + 1):
+            if earliest[tuple(ws[i : i + window])] < (-math.inf if d is None else d):
+                gone |= set(range(i, i + window))
+        out[(d, len(ws), len(gone), " ".join(w for i, w in enumerate(ws) if i not in gone))] += 1
+    return out
+
+
+def repeating_texts(seed, n):
+    rng = random.Random(seed)
+    pool = [[f"p{k}w{i}" for i in range(rng.randint(10, 40))] for k in range(6)]
+    texts = []
+    for d in range(n):
+        ws = []
+        for _ in range(rng.randint(0, 5)):
+            part = rng.choice(pool)
+            low = rng.randint(0, 5)
+            ws += part[low : low + rng.randint(5, 40)] if rng.random() < 0.7 else [f"d{d}x{rng.randint(0, 99)}" for _ in range(20)]
+        texts.append(" ".join(ws))
+    return texts
+
+
+@pytest.mark.parametrize("options", [{}, {"common_docs": 2, "passages_per_shard": 3}])
+def test_substring_dedup_matches_brute_force(make_docs, store, options):
+    texts = repeating_texts(5, 60) + ["a b " * 30, "a b " * 25]
+    got = substring_dedup.remove_repeats(make_docs(texts), store, **options).select("doc_id", "n_words", "n_removed", "kept").collect()
+    assert Counter(map(tuple, got)) == brute_repeats(list(enumerate(texts)), 13)
+
+
+def test_substring_edge_cases(edge_docs, edge_rows, no_docs, store):
+    got = substring_dedup.remove_repeats(edge_docs, store).select("doc_id", "n_words", "n_removed", "kept").collect()
+    assert Counter(map(tuple, got)) == brute_repeats([(d, t) for d, t, *_ in edge_rows], 13)
+    assert substring_dedup.remove_repeats(no_docs, store).count() == 0
+
+
+def test_automaton_knows_the_smallest_id_of_every_window():
+    rng = random.Random(3)
+    sequences = [[rng.choice("abc") for _ in range(rng.randint(4, 25))] for _ in range(30)]
+    ids = [rng.randint(0, 50) for _ in sequences]
+    automaton = substring_dedup.SuffixAutomaton(sequences, ids)
+    windows = defaultdict(lambda: math.inf)
+    for s, d in zip(sequences, ids, strict=True):
+        for i in range(len(s) - 3):
+            windows[tuple(s[i : i + 4])] = min(windows[tuple(s[i : i + 4])], d)
+    for s in [*sequences, list("abdcabca"), list("zzzz")]:
+        assert automaton.least_ids(s, 4) == [windows[tuple(s[i : i + 4])] for i in range(len(s) - 3)]
+
+
+# Near-dedup
+
+
+def shingle_set(text, width=5):
+    ws = tokens_of(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(ws[i : i + width]) for i in range(max(1, len(ws) - width + 1))} if ws else set()
+
+
+def brute_components(rows):
+    """Rows (vertex, text); rows of one vertex link what either links."""
+    sets = [(v, shingle_set(t)) for v, t in rows]
+    parent = {v: v for v, _ in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, (v, a) in enumerate(sets):
+        for u, b in sets[:i]:
+            common = len(a & b)
+            if common and 100 * common >= 75 * (len(a) + len(b) - common):
+                x, y = find(v), find(u)
+                parent[max(x, y)] = min(x, y)
+    return Counter((v, len(s), find(v)) for v, s in sets)
+
+
+def near_copies(seed, n):
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for d in range(n):
+        ws = list(base) if rng.random() < 0.7 else [f"x{d}y{rng.randint(0, 9)}" for _ in range(rng.randint(1, 60))]
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 6])):
+            ws[rng.randrange(len(ws))] = f"edit{rng.randint(0, 10**6)}"
+        texts.append(" ".join(ws))
+    return texts
+
+
+def test_near_duplicates_match_brute_force(make_docs, store):
+    texts = near_copies(1, 120) + ["", None, "one", "ONE", "one two", "a b c d e", "A B c d E"]
+    got = minhash.near_duplicates(make_docs(texts), store).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(list(enumerate(texts)))
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+
+
+def test_chains_of_copies_form_one_component(make_docs, store):
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words[k : k + 100]) for k in range(0, 300, 6)]
+    got = minhash.near_duplicates(make_docs(texts), store).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(list(enumerate(texts)))
+    assert {r.component_id for r in got} == {0}
+
+
+def test_near_duplicate_edge_cases(edge_docs, edge_rows, no_docs, store):
+    got = minhash.near_duplicates(edge_docs, store).collect()
+    assert len(got) == len(edge_rows)
+    with_id = Counter((r.doc_id, r.n_shingles, r.component_id) for r in got if r.doc_id >= 0)
+    assert with_id == brute_components([(d, t) for d, t, *_ in edge_rows if d is not None])
+    out = minhash.drop_near_duplicates(edge_docs, store)
+    assert out.columns == edge_docs.columns
+    assert out.count() == sum(r.kept for r in got)
+    assert minhash.near_duplicates(no_docs, store).count() == 0
+
+
+def test_sketches_estimate_similarity():
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    b = np.concatenate([a[:300], rng.integers(0, 1 << 63, 100, dtype=np.uint64)])
+    one = a[:1]
+    bounds = np.array([0, 400, 800, 801, 801])
+    sketch = minhash.sketches(np.concatenate([a, b, one]), bounds, 200)
+    assert (sketch[:3] != minhash.NONE).all() and (sketch[3] == minhash.NONE).all()
+    assert (sketch[0] == sketch[1]).mean() == pytest.approx(0.6, abs=0.12)
+
+
+def test_components_of_paths_and_stars(spark, store):
+    rng = random.Random(2)
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + k) for k in range(1, 30)]
+    edges += [tuple(rng.sample(range(200, 260), 2)) for _ in range(40)]
+    got = connected_components(spark.createDataFrame(edges, "a bigint, b bigint"), store).collect()
+    parent = {v: v for e in edges for v in e}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+    assert {r.vertex: r.component for r in got} == {v: find(v) for v in parent}
+
+
+# Quality classifier
+
+
+def labelled(spark, n, seed=0):
+    rng = random.Random(seed)
+    good = "the house stood by a river and people walked along it every day with their dogs".split()
+    docs, labels = [], []
+    for i in range(n):
+        ws = [rng.choice(good) + rng.choice(["", "s", "ed", "ing"]) for _ in range(rng.randint(30, 200))]
+        quality = int(rng.random() < 0.7)
+        if not quality:
+            ws = [w + "$$$ ###" if rng.random() < 0.8 else w for w in ws]
+        docs.append((i, " ".join(ws)))
+        labels.append((i, quality, 0))
+    return (
+        spark.createDataFrame(docs, "doc_id bigint, text string"),
+        spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"),
+    )
+
+
+def test_classifier_is_right_on_held_out_rows(spark, edge_docs, edge_rows, no_docs):
+    docs, labels = labelled(spark, 400)
+    model = classifier.fit(docs, labels)
+    rows = classifier.score(docs, model).join(labels.where(classifier.held_out(labels.doc_id)), "doc_id").collect()
+    assert len(rows) > 80
+    assert sum((r.score >= 0.5) == (r.quality == 1) for r in rows) >= 0.97 * len(rows)
+    edge = classifier.score(edge_docs, model).collect()
+    assert len(edge) == len(edge_rows) and all(0 <= r.score <= 1 for r in edge)
+    kept = classifier.keep_good(edge_docs, model)
+    assert kept.columns == edge_docs.columns
+    assert kept.count() == sum(r.score >= 0.5 for r in edge)
+    assert classifier.score(no_docs, model).count() == 0
+
+
+def test_held_out_labels_do_not_reach_the_model(spark):
+    docs, labels = labelled(spark, 200)
+    from pyspark.sql import functions as F
+
+    wrong = labels.withColumn("quality", F.when(classifier.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert classifier.fit(docs, labels) == classifier.fit(docs, wrong)
+
+
+def test_classifier_without_both_classes(spark, make_docs):
+    docs, labels = labelled(spark, 30)
+    for rest, low, high in (("quality = 2", 0.5, 0.5), ("quality = 1", 0.5, 1.0), ("quality = 0", 0.0, 0.5)):
+        rows = classifier.score(docs, classifier.fit(docs, labels.where(rest))).collect()
+        assert all(low <= r.score <= high for r in rows)
+
+
+# Fingerprints
+
+
+def brute_edited(rows):
+    ordered = sorted(((d, t or "") for d, t, *_ in rows), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    out = []
+    for i, (d, t) in enumerate(ordered):
+        following = ordered[(i + 1) % len(ordered)][1]
+        half = len(t) // 2
+        out.append((d, len(t), t[: len(t) - half] + following[:half]))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("options", [{}, {"rows_per_range": 3, "batch_chars": 10}])
+def test_fingerprints_follow_the_next_document(edge_docs, edge_rows, options):
+    rows = fingerprint.fingerprint_documents(edge_docs, **options).collect()
+    assert Counter((r.doc_id, r.n_chars, r.edited) for r in rows) == brute_edited(edge_rows)
+    by_text = defaultdict(set)
+    for r in rows:
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        by_text[r.edited].add(r.edited_fingerprint)
+    assert all(len(x) == 1 for x in by_text.values())
+
+
+def test_likeness_is_close_to_the_truth(make_docs):
+    rng = random.Random(4)
+    texts = [" ".join(f"v{rng.randint(0, 400)}" for _ in range(rng.randint(50, 300))) for _ in range(150)]
+    texts += [texts[0], texts[0].upper()]
+    rows = {r.doc_id: r for r in fingerprint.fingerprint_documents(make_docs(texts), rows_per_range=20).collect()}
+    errors = []
+    for d, r in rows.items():
+        a, b = shingle_set(texts[d]), shingle_set(r.edited)
+        errors.append(r.near_edited - len(a & b) / len(a | b))
+    assert abs(np.mean(errors)) < 0.02 and np.abs(errors).max() < 0.15
+    assert rows[0].fingerprint == rows[150].fingerprint == rows[151].fingerprint
+    assert rows[151].near_next == 1.0
+
+
+def test_fingerprints_of_few_rows(make_docs, no_docs):
+    assert fingerprint.fingerprint_documents(no_docs).count() == 0
+    row = fingerprint.fingerprint_documents(make_docs(["a b c d e f g"])).collect()
+    assert [(r.edited, r.near_next) for r in row] == [("a b c da b c ", 1.0)]
