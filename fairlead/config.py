@@ -16,6 +16,8 @@ EARTH_RADIUS_NM = 3440.065
 
 # MMSI numbers that transponders send when nobody programmed them.
 PLACEHOLDER_MMSI = (
+    "123456789",
+    "987654321",
     "111111111",
     "222222222",
     "333333333",
@@ -25,8 +27,6 @@ PLACEHOLDER_MMSI = (
     "777777777",
     "888888888",
     "999999999",
-    "123456789",
-    "987654321",
 )
 
 # Unanchored and case-insensitive: any name that contains one of the words.
@@ -36,13 +36,13 @@ RESCUE_NAME_PATTERN = (
 
 MMSI_PATTERN = r"^\d{9}$"
 
-# In the order of the navigational status codes of the AIS standard.
+# Statuses of vessels that do not sail.
 STATIONARY_STATUSES = (
     "At anchor",
-    "Not under command",
-    "Restricted manoeuverability",
     "Moored",
     "Aground",
+    "Not under command",
+    "Restricted manoeuverability",
     "Engaged in fishing",
 )
 

@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairlead.config import DEFAULT_CONFIG, EncounterConfig
-from fairlead.operators.confirm import confirm_encounters
+from fairlead.operators.confirm import PAIR, confirm_encounters
 from fairlead.operators.motion import clean_points
 from fairlead.operators.proximity import closest_pairs
-from fairlead.operators.report import event_summary
-from fairlead.operators.severity import extract_tracks, rank_tracks, score_severity
+from fairlead.operators.ranking import rank_events
+from fairlead.operators.report import event_summary, impact_points, top_event_tracks
+from fairlead.operators.severity import extract_tracks, score_severity, scored_events
 from fairlead.plans.analysis import all_near_pairs
 from fairlead.sources.day_tables import DayTable
-from fairlead.sources.position_files import day_of_path, discover_files, read_points
+from fairlead.sources.position_files import discover_files, files_by_day, read_points
 from fairlead.sources.stages import StageStore
 
 
-# Columns of the day tables.
+# --- Fixed values: columns of the day tables ---
 CLEAN_SCHEMA = (
     "timestamp timestamp, mmsi string, name string, imo string, callsign string,"
     " type_of_mobile string, latitude double, longitude double, sog double, cog double,"
@@ -42,6 +46,7 @@ TRACK_SCHEMA = (
     " sog double, navigational_status string, vessel_in_pair int, mean_pair_proportion double,"
     " collision_ts bigint, ts bigint, file_day string"
 )
+# --- End of fixed values ---
 
 
 def with_times(df: DataFrame, **seconds: str) -> DataFrame:
@@ -52,9 +57,12 @@ def with_times(df: DataFrame, **seconds: str) -> DataFrame:
 class DailyJob:
     """Turns a folder of daily CSV files into ranked encounters under ``root``.
 
-    Tables: ``clean_points``, ``candidates``, ``events`` and ``event_tracks``
-    by day, then ``ranked_tracks`` and ``event_summary`` over all days. A day
-    that a stage has finished is not computed again.
+    Tables by day: ``clean_points``, ``candidates``, ``events`` and
+    ``event_tracks``. A day that a stage has finished is not computed again,
+    unless it has got another file: then the day is read from all its files
+    and goes through all stages anew. Reports over all days go to a new
+    folder below ``root/reports`` each time: ``ranked_tracks``,
+    ``event_summary``, ``top_event_tracks`` and ``impact_points``.
     """
 
     def __init__(self, spark: SparkSession, root: str, cfg: EncounterConfig = DEFAULT_CONFIG):
@@ -72,45 +80,68 @@ class DailyJob:
         return self.report()
 
     def process(self, files: list[str]) -> None:
-        """Brings the day tables up to date with ``files``."""
-        requested = sorted({day_of_path(f) for f in files})
-        cfg = self.cfg
-
-        days = self.clean.pending(requested)
+        """Brings the day tables up to date with ``files``.
+
+        A day is made from all files it has ever been given.
+        """
+        known = self.clean.latest()
+        by_day = {
+            day: sorted({*given, *known.get(day, ("", []))[1]})
+            for day, given in files_by_day(files).items()
+        }
+        cfg, requested = self.cfg, list(by_day)
+
+        days = self.clean.pending(by_day)
         if days:
-            wanted = [f for f in files if day_of_path(f) in set(days)]
-            points = read_points(self.spark, wanted)
+            points = read_points(self.spark, sorted(f for made_from in days.values() for f in made_from))
             needed = [c for c in self.clean.schema.names if c in points.columns]
             self.clean.write(clean_points(points.select(*needed), cfg), days)
 
-        days = self.candidates.pending(requested)
+        days = self._behind(self.candidates, self.clean, requested)
         if days:
-            near = all_near_pairs(self.clean.read(days), StageStore(self.spark), cfg)
-            found = closest_pairs(near)
-            timed = with_times(found, timestamp_1="ts_1", timestamp_2="ts_2")
-            self.candidates.write(timed, days)
+            with StageStore(self.spark, f"{self.root}/stages") as store:
+                found = closest_pairs(all_near_pairs(self.clean.read(list(days)), store, cfg))
+                timed = with_times(found, timestamp_1="ts_1", timestamp_2="ts_2")
+                self.candidates.write(timed, days)
 
-        days = self.events.pending(requested)
+        days = self._behind(self.events, self.candidates, requested)
         if days:
-            points, candidates = self.clean.read(days), self.candidates.read(days)
+            points, candidates = self.clean.read(list(days)), self.candidates.read(list(days))
             self.events.write(confirm_encounters(points, candidates, cfg), days)
 
-        days = self.tracks.pending(requested)
+        days = self._behind(self.tracks, self.events, requested)
         if days:
-            tracks = extract_tracks(self.clean.read(days), self.events.read(days), cfg)
+            tracks = extract_tracks(self.clean.read(list(days)), self.events.read(list(days)), cfg)
             timed = with_times(score_severity(tracks, cfg), timestamp="ts", collision_timestamp="collision_ts")
             self.tracks.write(timed, days)
 
-    def report(self) -> DataFrame:
-        """Writes and returns the report over all days; empty without events."""
-        scored = self.tracks.read()
-        ranked = rank_tracks(scored)
-        ranked.write.mode("overwrite").parquet(f"{self.root}/ranked_tracks")
-        summary = event_summary(scored, self.events.read())
-        summary.write.mode("overwrite").parquet(f"{self.root}/event_summary")
-        return rank_tracks(
-            self.spark.read.schema(ranked.schema).parquet(f"{self.root}/ranked_tracks")
-        )
+    @staticmethod
+    def _behind(table: DayTable, upstream: DayTable, requested: list[str]) -> dict[str, list[str]]:
+        """Requested days of ``table`` that are older than those they come from."""
+        made = upstream.latest()
+        return table.pending({day: [made[day][0]] for day in requested})
+
+    def report(self, top: int = 1) -> DataFrame:
+        """Writes the reports over all days; returns the ranked tracks, worst event first.
+
+        ``event_rank`` is stored, so the order survives storage and files need
+        no order of their own. Empty tables without events.
+        """
+        folder = f"{self.root}/reports/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        scored, events = self.tracks.read(), self.events.read()
+        with StageStore(self.spark, f"{self.root}/stages") as store:
+            ranks = rank_events(scored_events(scored), store).select(*PAIR, "event_rank")
+            tables = {
+                "ranked_tracks": scored.join(ranks, list(PAIR)),
+                "event_summary": event_summary(scored, events).join(ranks, list(PAIR)),
+                "top_event_tracks": top_event_tracks(scored, top),
+                "impact_points": impact_points(scored),
+            }
+            for name, table in tables.items():
+                table.write.parquet(f"{folder}/{name}")
+        self.report_folder = folder
+        ranked = self.spark.read.parquet(f"{folder}/ranked_tracks")
+        return ranked.orderBy("event_rank", "vessel_in_pair", "ts")
 
     def export_csv(self, df: DataFrame, name: str) -> None:
         """A report as CSV with a header, in the order of its rows."""

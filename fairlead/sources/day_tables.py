@@ -1,12 +1,16 @@
-"""Stage tables partitioned by day, with a record of the days that are done."""
+"""Stage tables partitioned by day, with a record of what each day was made from."""
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 DAY = "file_day"
+RECORD = f"{DAY} string, version string, inputs array<string>"
 
 
 def pending_days(requested: DataFrame, done: DataFrame) -> DataFrame:
@@ -26,11 +30,12 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def write_days(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replaces the days of ``df`` below ``path`` and leaves other days alone.
+    """Replaces the days that ``df`` has rows of below ``path`` and leaves others alone.
 
-    Rebalancing by day lets adaptive execution merge small days and split large
-    ones, so neither tiny files nor one task per day result. ``fmt="csv"``
-    writes text with a header line.
+    A day without rows is not known here and keeps what it has; :class:`DayTable`
+    replaces whole days, empty ones as well. Rebalancing by day lets adaptive
+    execution merge small days and split large ones, so neither tiny files nor
+    one task per day result. ``fmt="csv"`` writes text with a header line.
     """
     (
         df.hint("rebalance", F.col(DAY))
@@ -51,10 +56,13 @@ def read_days(
 
 
 class DayTable:
-    """One stage's output under ``root/name`` and the days it has finished.
+    """One stage's output under ``root/name`` and a record of its days.
 
-    A finished day may have no rows, so it is recorded on its own, after its
-    data: a run that breaks off repeats the day and overwrites it.
+    Every write goes to a new folder ``version=...``. Then one row per day
+    records the version and the inputs it was made from, so a day is
+    replaced whole, also by nothing, in one step: until its record is
+    written, readers see the old version. Readers take the latest recorded version
+    of each day. Superseded folders stay until removed from outside.
     """
 
     def __init__(
@@ -65,26 +73,51 @@ class DayTable:
         self.done_path = f"{root}/{name}_done"
         self.schema = StructType.fromDDL(schema)
         self.fmt = fmt
+        self._recorded = False
 
     def read(self, days: list[str] | None = None) -> DataFrame:
-        rows = read_days(self.spark, self.path, self.schema, self.fmt)
-        return rows if days is None else rows.where(F.col(DAY).isin(days))
-
-    def write(self, df: DataFrame, days: list[str]) -> None:
-        """Writes ``df``, the whole result of ``days``, and records the days."""
-        write_days(conform(df, self.schema), self.path, self.fmt)
-        finished = self._days(days)
-        finished.coalesce(1).write.mode("append").parquet(self.done_path)
-
-    def _days(self, days: list[str]) -> DataFrame:
-        return self.spark.createDataFrame([(d,) for d in days], f"{DAY} string")
+        """Rows of the given days (default: all) in their latest version."""
+        chosen: dict[str, list[str]] = {}
+        for day, (version, _) in self.latest().items():
+            if days is None or day in days:
+                chosen.setdefault(version, []).append(day)
+        if not chosen:
+            return self.spark.createDataFrame([], self.schema)
+        stored = StructType([*self.schema.fields]).add("version", "string")
+        wanted = F.lit(False)
+        for version, of_version in chosen.items():
+            wanted = wanted | ((F.col("version") == version) & F.col(DAY).isin(of_version))
+        rows = read_days(self.spark, self.path, stored, self.fmt)
+        return rows.where(wanted).select(*self.schema.names)
+
+    def write(self, df: DataFrame, inputs: dict[str, list[str]]) -> None:
+        """Writes ``df``, the whole result of the days ``inputs`` names, and records them."""
+        version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        write_days(conform(df, self.schema), f"{self.path}/version={version}", self.fmt)
+        rows = [(day, version, sorted(made_from)) for day, made_from in inputs.items()]
+        record = self.spark.createDataFrame(rows, RECORD)
+        record.coalesce(1).write.mode("append").parquet(self.done_path)
+        self._recorded = True
 
     def done(self) -> DataFrame:
-        # Appending nothing creates the record on the first run.
-        self._days([]).write.mode("append").parquet(self.done_path)
-        return self.spark.read.schema(f"{DAY} string").parquet(self.done_path)
-
-    def pending(self, requested: list[str]) -> list[str]:
-        """Those of the requested days, one per input file, that are not done."""
-        left = pending_days(self._days(requested), self.done())
-        return sorted(row[DAY] for row in left.collect())
+        """The records: one row per day and write."""
+        if not self._recorded:
+            # Creates the table unless it is there.
+            empty = self.spark.createDataFrame([], RECORD)
+            empty.write.mode("ignore").parquet(self.done_path)
+            self._recorded = True
+        return self.spark.read.schema(RECORD).parquet(self.done_path)
+
+    def latest(self) -> dict[str, tuple[str, list[str]]]:
+        """Version and inputs of each finished day; one row per day comes to the driver."""
+        newest = self.done().groupBy(DAY).agg(F.max(F.struct("version", "inputs")).alias("last"))
+        return {r[DAY]: (r["last"]["version"], list(r["last"]["inputs"])) for r in newest.collect()}
+
+    def pending(self, wanted: dict[str, list[str]]) -> dict[str, list[str]]:
+        """The days of ``wanted`` (inputs by day) not yet made from exactly these inputs."""
+        finished = self.latest()
+        return {
+            day: inputs
+            for day, inputs in sorted(wanted.items())
+            if day not in finished or finished[day][1] != sorted(inputs)
+        }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,22 +41,50 @@ FEED_TIME_FORMAT = "dd/MM/yyyy HH:mm:ss"
 NUMBERS = ("latitude", "longitude", "sog", "cog", "heading", "rot")
 TRIMMED = ("mmsi", "name", "navigational_status")
 
-DATE_IN_PATH = r"\d{4}-\d{2}-\d{2}"
+DATE = r"\d{4}-\d{2}-\d{2}"
+#: A folder that names the day of its files, as partitioned tables have it.
+DAY_FOLDER = rf"/[^/=]+=({DATE})(?=/)"
 
 
 def day_of_path(path: str) -> str:
-    """Label of the day a file belongs to: the date in its path, else its name."""
-    dates = re.findall(DATE_IN_PATH, path)
-    return dates[-1] if dates else path.rstrip("/").rsplit("/", 1)[-1].split(".", 1)[0]
+    """Label of the day a file belongs to.
+
+    The date in the file's name, else in the nearest folder like
+    ``day=2021-12-01``, else the name up to its first point.
+    """
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    dates = re.findall(DATE, name) or re.findall(DAY_FOLDER, path)
+    return dates[-1] if dates else name.split(".", 1)[0]
+
+
+def is_dated(path: str) -> bool:
+    """Whether the label of a file is a date."""
+    return re.fullmatch(DATE, day_of_path(path)) is not None
+
+
+def files_by_day(files: list[str]) -> dict[str, list[str]]:
+    """Files of each day. Fails if two files without a date would share a label."""
+    days: dict[str, list[str]] = {}
+    for path in files:
+        days.setdefault(day_of_path(path), []).append(path)
+    for label, same in days.items():
+        if len(same) > 1 and not all(map(is_dated, same)):
+            raise ValueError(f"files without a date share the label {label!r}: {sorted(same)}")
+    return days
 
 
 def file_day() -> Column:
     """:func:`day_of_path` of the file a row was read from."""
     # The path is percent-encoded; a plus sign in it stands for itself.
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    dates = F.regexp_extract_all(path, F.lit(f"({DATE_IN_PATH})"))
-    name = F.regexp_extract(path, r"([^/.]+)[^/]*$", 1)
-    return F.coalesce(F.try_element_at(dates, F.lit(-1)), name)
+    name = F.regexp_extract(path, r"([^/]*)/*$", 1)
+    in_name = F.regexp_extract_all(name, F.lit(f"({DATE})"))
+    in_folder = F.regexp_extract_all(path, F.lit(DAY_FOLDER))
+    return F.coalesce(
+        F.try_element_at(in_name, F.lit(-1)),
+        F.try_element_at(in_folder, F.lit(-1)),
+        F.substring_index(name, ".", 1),
+    )
 
 
 def discover_files(
@@ -78,16 +107,41 @@ def discover_files(
 
 
 def read_feed(spark: SparkSession, files: str | list[str]) -> DataFrame:
-    """CSV rows as strings, named by the header, plus ``file_day``.
+    """CSV rows of one layout as strings, named by the header, plus ``file_day``.
 
     All files must have the header of the first one; another layout fails
-    instead of shifting columns. Read each layout separately and unite them by
-    name with ``allowMissingColumns``.
+    instead of shifting columns, see :func:`read_mixed_feed`.
     """
     rows = spark.read.option("header", True).option("enforceSchema", False).csv(files)
     return rows.select("*", file_day().alias("file_day"))
 
 
+def headers(spark: SparkSession, files: list[str], at_once: int = 100) -> dict[str, str]:
+    """First line of each file that has one; reads the beginning of each file only."""
+    found: dict[str, str] = {}
+    for start in range(0, len(files), at_once):
+        firsts = [
+            spark.read.text(path).limit(1).select(F.lit(path).alias("path"), "value")
+            for path in files[start : start + at_once]
+        ]
+        found |= {row["path"]: row["value"] for row in reduce(DataFrame.unionAll, firsts).collect()}
+    return found
+
+
+def read_mixed_feed(spark: SparkSession, files: list[str]) -> DataFrame:
+    """:func:`read_feed` of files of any layouts, united by column name.
+
+    Files are grouped by their header; a column that a layout lacks is NULL.
+    """
+    layouts: dict[str, list[str]] = {}
+    for path, header in headers(spark, files).items():
+        layouts.setdefault(header, []).append(path)
+    if not layouts:
+        return read_feed(spark, files)
+    parts = [read_feed(spark, same).transform(normalize_columns) for same in layouts.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def normalize_columns(feed: DataFrame) -> DataFrame:
     """Our column names for the headers that are present."""
     return feed.withColumnsRenamed(FEED_COLUMNS)
@@ -112,8 +166,9 @@ def standardize_types(feed: DataFrame) -> DataFrame:
 
 
 def read_points(spark: SparkSession, files: str | list[str]) -> DataFrame:
-    """Typed points of CSV files, keyed by ``file_day``."""
-    return read_feed(spark, files).transform(normalize_columns).transform(standardize_types)
+    """Typed points of CSV files of any layouts, keyed by ``file_day``."""
+    feed = read_mixed_feed(spark, [files] if isinstance(files, str) else files)
+    return feed.transform(normalize_columns).transform(standardize_types)
 
 
 def feed_date(ts: Column) -> Column:

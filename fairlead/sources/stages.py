@@ -11,29 +11,43 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """Folder that all executors share, from ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder.
+    A session with a local master, which has no other executors, may do without
+    the setting, as in tests: it gets a temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     configured = configured or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_local(spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    created = tempfile.mkdtemp(prefix="fairlead-stages-")
-    spark.sparkContext.setCheckpointDir(created)
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fairlead-stages-"))
     return spark.sparkContext.getCheckpointDir()
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
 class StageStore:
     """Writes intermediate results as Parquet, under a folder of its own.
 
     A written table survives lost executors, is computed once however often it
-    is read, and later readers prune its columns and rows.
+    is read, and later readers prune its columns and rows. ``root`` defaults to
+    the shared folder of the session. As a context manager, or by
+    :meth:`close`, a store removes its own folder and no other; readers
+    of its tables end before.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.root = root or f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+        self.root = f"{root or shared_folder(spark)}/run-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> StageStore:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.close()
 
     def path(self, name: str) -> str:
         """A path of this store that nothing else uses."""
@@ -44,3 +58,9 @@ class StageStore:
         path = self.path(name)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        """Removes the tables of this store."""
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(self.root)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

@@ -10,7 +10,7 @@ from fairlead.operators.severity import rank_tracks
 from fairlead.plans.analysis import EncounterAnalysis
 from fairlead.plans.daily_job import DailyJob
 from fairlead.sources import position_files
-from fairlead.sources.day_tables import pending_days, write_days
+from fairlead.sources.day_tables import DayTable, pending_days, write_days
 from fairlead.sources.event_feed import ais_points
 from fairlead.sources.stages import StageStore
 from tests.conftest import SMALL
@@ -46,12 +46,32 @@ def test_discovery(spark, tmp_path):
 
 
 def test_day_labels(spark, tmp_path):
-    for name in ("x-2021-12-01.csv", "loose.csv", "a b+c.csv"):
+    (tmp_path / "day=2021-12-05").mkdir()
+    (tmp_path / "export-2024-01-01").mkdir()
+    labels = {
+        "x-2021-12-01.csv": "2021-12-01",
+        "loose.csv": "loose",
+        "a b+c.csv": "a b+c",
+        "day=2021-12-05/part-0.csv": "2021-12-05",
+        "day=2021-12-05/late-2021-12-06.csv": "2021-12-06",
+        "export-2024-01-01/monday.csv": "monday",
+        "export-2024-01-01/tuesday.csv": "tuesday",
+    }
+    for name in labels:
         write_file(tmp_path / name, "a,b,c,d,e,f,g,h,i,j")
-    paths = position_files.discover_files(spark, str(tmp_path))
-    got = {r.file_day for r in position_files.read_feed(spark, paths).collect()}
-    assert got == {position_files.day_of_path(p) for p in paths}
-    assert got == {"2021-12-01", "loose", "a b+c"}
+    paths = position_files.discover_files(spark, str(tmp_path), nested=True)
+    assert sorted(map(position_files.day_of_path, paths)) == sorted(labels.values())
+    # A column for the partition folder would be inferred from the layout.
+    flat = [p for p in paths if "day=" not in p]
+    got = {r.file_day for r in position_files.read_feed(spark, flat).collect()}
+    assert got == {position_files.day_of_path(p) for p in flat}
+    dated = [p for p in paths if "day=" in p]
+    got = {r.file_day for r in position_files.read_feed(spark, dated).collect()}
+    assert got == {"2021-12-05", "2021-12-06"}
+    (tmp_path / "more").mkdir()
+    again = write_file(tmp_path / "more" / "monday.csv")
+    with pytest.raises(ValueError, match="monday"):
+        position_files.files_by_day([*paths, again])
 
 
 def test_dirty_values_become_null(spark, tmp_path):
@@ -116,11 +136,18 @@ def test_incremental_job(spark, tmp_path):
     assert {r.file_day for r in job.clean.done().collect()} == {
         "2021-12-01", "2021-12-02", "2021-12-03",
     }
-    summary = spark.read.parquet(f"{out}/event_summary").orderBy("file_day").collect()
+    summary = spark.read.parquet(f"{job.report_folder}/event_summary").orderBy("file_day").collect()
     assert [(r.vessel_1, r.vessel_2) for r in summary] == [("ALPHA", "Vessel 219000002")] * 2
     candidates = job.candidates.read().collect()
     assert {r.timestamp_1.hour for r in candidates} == {12}
 
+    assert [r.event_rank for r in summary] == [2, 1]
+    top = spark.read.parquet(f"{job.report_folder}/top_event_tracks")
+    assert {r.file_day for r in top.collect()} == {"2021-12-03"}
+    hits = spark.read.parquet(f"{job.report_folder}/impact_points")
+    assert {(r.file_day, r.vessel_in_pair, r.off_sec) for r in hits.collect()} == {
+        (day, n, 0) for day in ("2021-12-01", "2021-12-03") for n in (1, 2)
+    }
     job.export_csv(rank_tracks(job.tracks.read()), "ranked_tracks")
     text = spark.read.option("header", True).csv(f"{out}/ranked_tracks_csv")
     assert text.count() == len(second)
@@ -133,7 +160,75 @@ def test_nothing_found_gives_empty_tables_with_all_columns(spark, tmp_path):
     job = DailyJob(spark, str(tmp_path / "out"))
     report = job.run(str(raw))
     assert report.count() == 0
-    assert set(report.columns) == set(job.tracks.schema.names)
+    assert set(report.columns) == {*job.tracks.schema.names, "event_rank"}
+
+
+def test_late_file_reopens_its_day_in_all_stages(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    collision_day(raw / "ais-2021-12-01.csv", "01/12/2021")
+    whole = (raw / "ais-2021-12-01.csv").read_text().splitlines()
+    (raw / "ais-2021-12-01.csv").write_text("\n".join(l for l in whole if "219000002" not in l) + "\n")
+    job = DailyJob(spark, out)
+    assert job.run(str(raw)).count() == 0
+    write_file(raw / "ais-2021-12-01_part2.csv", *(l for l in whole[1:] if "219000002" in l))
+    # The late file alone is asked for; the day still has both.
+    assert {r.mmsi for r in job.run(str(raw), "*part2*").collect()} == {"219000001", "219000002"}
+    assert job.clean.read().count() == len(whole) - 1
+    records = job.events.done().count()
+    job.run(str(raw))
+    assert job.events.done().count() == records
+
+
+def test_repeated_day_is_replaced_whole(spark, tmp_path):
+    table = DayTable(spark, str(tmp_path), "t", "file_day string, x int")
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "file_day string, x int")
+    table.write(rows, {"a": ["1"], "b": ["1"]})
+    assert table.pending({"a": ["1"], "b": ["2"], "c": []}) == {"b": ["2"], "c": []}
+    table.write(rows.where("x = 9"), {"a": ["2"]})
+    assert [tuple(r) for r in table.read().collect()] == [("b", 2)]
+    # A write that breaks off before its record changes nothing.
+    write_days(rows.withColumn("x", F.lit(7)), f"{table.path}/version=9")
+    assert [tuple(r) for r in table.read().collect()] == [("b", 2)]
+    assert table.read(["a"]).count() == 0
+    table.write(rows.where("x = 9"), {"b": ["2"]})
+    assert table.read().count() == 0
+    files = sum(1 for p in (tmp_path / "t_done").iterdir() if p.suffix == ".parquet")
+    assert files <= 4
+
+
+def test_mixed_layouts_give_the_same_points_as_single_runs(spark, tmp_path):
+    lines = ["01/12/2021 00:00:05,219000001,55.5,14.2,Sailing,,8.5,,,ALPHA"]
+    plain = write_file(tmp_path / "a-2021-12-01.csv", *lines)
+    extra = write_file(tmp_path / "b-2021-12-02.csv", *(f"9,{x}" for x in lines), header=f"Extra,{HEADER}")
+    fewer = write_file(
+        tmp_path / "c-2021-12-03.csv", "55.5,219000001,14.2,Sailing,03/12/2021 00:00:05,8.5,ALPHA",
+        header="Latitude,MMSI,Longitude,Navigational status,# Timestamp,SOG,Name",
+    )
+    empty = tmp_path / "d-2021-12-04.csv"
+    empty.write_text("")
+    columns = ["file_day", "mmsi", "ts", "latitude", "longitude", "sog", "name", "navigational_status"]
+    read = position_files.read_points
+    together = read(spark, [plain, extra, fewer, str(empty)]).select(*columns).collect()
+    single = [r for p in (plain, extra, fewer) for r in read(spark, p).select(*columns).collect()]
+    assert sorted(together) == sorted(single) and len(single) == 3
+    job = DailyJob(spark, str(tmp_path / "out"))
+    job.process([plain, extra, fewer, str(empty)])
+    assert {r.file_day for r in job.clean.read().collect()} == {"2021-12-01", "2021-12-02", "2021-12-03"}
+    assert set(job.clean.latest()) == {f"2021-12-0{n}" for n in (1, 2, 3, 4)}
+
+
+def test_a_job_leaves_no_stage_tables(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    collision_day(raw / "ais-2021-12-01.csv", "01/12/2021")
+    DailyJob(spark, str(tmp_path / "out")).run(str(raw))
+    assert list((tmp_path / "out" / "stages").iterdir()) == []
+    with StageStore(spark, str(tmp_path / "own")) as store:
+        store.keep(spark.range(3), "t")
+        other = tmp_path / "own" / "other"
+        other.mkdir()
+    assert list((tmp_path / "own").iterdir()) == [other]
 
 
 def test_encounter_across_midnight_is_not_joined(spark, make_points):
