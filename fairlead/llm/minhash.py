@@ -129,6 +129,115 @@ def verified(pairs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> Da
     return pairs.mapInArrow(run, "a bigint, b bigint")
 
 
+def exploded_shingles(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, shingle) for the distinct shingles of (doc_id, text) rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, end, data, offsets in text_slices(batch.column(1)):
+                hashes, bounds = distinct_shingles(split_words(data, offsets, lower=True), width)
+                where = pa.array(np.repeat(np.arange(end - start), np.diff(bounds)))
+                ids = batch.column(0).slice(start, end - start).take(where)
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.array(hashes.view(np.int64))], names=["doc_id", "shingle"]
+                )
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, shingle bigint")
+
+
+def star_pairs(members: DataFrame, by: str) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of each member and the one of its bucket with most of ``by``."""
+    leaders = members.groupBy("key").agg(F.max(F.struct(by, "rep"))["rep"].alias("leader"))
+    return (
+        members.join(leaders, "key")
+        .where("rep <> leader")
+        .select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
+        .distinct()
+    )
+
+
+def undecided(members: DataFrame) -> DataFrame:
+    """The (key, rep, component, ...) of buckets with more than one component."""
+    split = (
+        members.groupBy("key")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low < high")
+        .select("key")
+    )
+    return members.join(split, "key")
+
+
+def in_blocks(members: DataFrame, texts: DataFrame, side: str, rows_per_block: int) -> DataFrame:
+    """Texts of the members (other, rep) of every group ``other``, a bounded number in each row."""
+    blocks = members.groupBy("other").agg(
+        F.ceil(F.count(F.lit(1)) / rows_per_block).alias("blocks")
+    )
+    return (
+        members.join(blocks, "other")
+        .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+        .join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+        .groupBy("other", "block")
+        .agg(F.collect_list(F.struct("rep", "text")).alias(f"texts_{side}"))
+        .drop("block")
+    )
+
+
+def links_between(
+    open_: DataFrame, texts: DataFrame, percent: int, width: int, rows_per_block: int = 32
+) -> DataFrame:
+    """Links (a, b) between the components that still share a bucket.
+
+    ``open_`` has (key, rep, component). Members of the smaller component are
+    compared with all members of the larger, block against block, so
+    a row stands for about ``rows_per_block`` ** 2 pairs and only links leave it.
+    """
+    members = open_.select(F.col("component").alias("other"), "rep").distinct()
+    sizes = members.groupBy("other").agg(F.count(F.lit(1)).alias("other_size"))
+    theirs = open_.select("key", F.col("component").alias("other")).distinct().join(sizes, "other")
+    mine = open_.select("key", "rep", "component").join(
+        sizes.withColumnsRenamed({"other": "component", "other_size": "size"}), "component"
+    )
+    visits = (
+        mine.join(theirs, "key")
+        .where(F.struct("size", "component") < F.struct("other_size", "other"))
+        .select("other", "rep")
+        .distinct()
+    )
+    met = in_blocks(visits, texts, "a", rows_per_block).join(
+        in_blocks(members, texts, "b", rows_per_block), "other"
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for left, right in zip(batch.column(0), batch.column(1), strict=True):
+                one, two = left.as_py(), right.as_py()
+                (xs, x_bounds), (ys, y_bounds) = (
+                    block_shingles([r["text"] for r in rows], width) for rows in (one, two)
+                )
+                owner = np.repeat(np.arange(len(two)), np.diff(y_bounds))
+                pairs = []
+                for i, row in enumerate(one):
+                    mine = xs[x_bounds[i] : x_bounds[i + 1]]
+                    common = np.bincount(owner[np.isin(ys, mine)], minlength=len(two))
+                    union = len(mine) + np.diff(y_bounds) - common
+                    for j in np.flatnonzero((common > 0) & (100 * common >= percent * union)):
+                        pairs.append(sorted((row["rep"], two[j]["rep"])))
+                a, b = zip(*pairs, strict=True) if pairs else ((), ())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
+                )
+
+    return met.select("texts_a", "texts_b").mapInArrow(run, "a bigint, b bigint")
+
+
+def block_shingles(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of each of some texts, behind one another, and their bounds."""
+    raw = [t.encode("utf-8") for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    return distinct_shingles(split_words(data, offsets, lower=True), width)
+
+
 def near_duplicates(
     docs: DataFrame,
     store: StageStore,
@@ -149,9 +258,11 @@ def near_duplicates(
 
     Documents of equal sets form one class and its smallest id stands for it.
     In a band's bucket all members are first compared with the one that shares
-    most buckets with others. What is then still apart within a
-    bucket is compared pair by pair, so no link inside a bucket is missed while
-    a large group of copies costs one comparison per member and band.
+    most buckets with others. Members still apart then are counted out
+    where an exact bound rules a link out, and compared with the one that
+    differs least from others; components still apart are compared member by
+    member, in blocks. So no link inside a bucket is missed, while a large
+    group of copies costs two comparisons per member and band.
 
     Null and empty texts and texts without words have no shingles and stand
     alone. Rows of one id count as one document; a null id is replaced by a
@@ -175,18 +286,7 @@ def near_duplicates(
     sizes = reps.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     buckets = store.keep(reps.join(sizes, "key"), "buckets")
     central = buckets.groupBy("rep").agg(F.sum("size").alias("ties"))
-    leaders = (
-        buckets.join(central, "rep")
-        .groupBy("key")
-        .agg(F.max(F.struct("ties", "rep"))["rep"].alias("leader"))
-    )
-    stars = store.keep(
-        buckets.join(leaders, "key")
-        .where("rep <> leader")
-        .select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
-        .distinct(),
-        "stars",
-    )
+    stars = store.keep(star_pairs(buckets.join(central, "rep"), "ties"), "stars")
     wanted = buckets.select(F.col("rep").alias("doc_id")).distinct()
     texts = store.keep(slim.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), "texts")
 
@@ -200,23 +300,47 @@ def near_duplicates(
     named = buckets.join(first, F.col("rep") == F.col("vertex"), "left").select(
         "key", "rep", F.coalesce("component", "rep").alias("component")
     )
-    split = (
-        named.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low < high")
-        .select("key")
+    apart = store.keep(undecided(named), "apart")
+    loose = texts.join(apart.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    # A shingle of one document alone is common to no pair, so a set of n shows
+    # at most n - alone of them to a partner and has at least its own n, or the
+    # partner's and what is alone, in the union.
+    alone = (
+        exploded_shingles(loose, width)
+        .groupBy("shingle")
+        .agg(F.count(F.lit(1)).alias("holders"), F.min("doc_id").alias("rep"))
+        .where("holders = 1")
+        .groupBy("rep")
+        .agg(F.count(F.lit(1)).alias("alone"))
     )
-    apart = named.join(split, "key")
-    left = apart.select("key", F.col("rep").alias("a"), F.col("component").alias("of_a"))
-    right = apart.select("key", F.col("rep").alias("b"), F.col("component").alias("of_b"))
-    rest = (
-        left.join(right, "key")
-        .where("a < b AND of_a <> of_b")
-        .select("a", "b")
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
+    known = store.keep(
+        apart.join(classes.select("rep", F.col("n_shingles").alias("n")), "rep")
+        .join(alone, "rep", "left")
+        .withColumn("alone", F.coalesce("alone", F.lit(0))),
+        "apart_sizes",
+    )
+    smallest = known.groupBy("key").agg(F.min("n").alias("smallest"))
+    least_union = F.greatest("n", F.col("smallest") + F.col("alone"))
+    able = known.join(smallest, "key").where(
+        100 * (F.col("n") - F.col("alone")) >= percent * least_union
+    )
+    able = store.keep(undecided(able.drop("smallest")), "able")
+    # Once more with the member that differs least from what others hold.
+    closest = able.withColumn("shared", -F.col("alone"))
+    second = store.keep(
+        star_pairs(closest, "shared").join(stars, ["a", "b"], "left_anti"), "second_stars"
+    )
+    links = links.unionByName(store.keep(confirmed(second), "second_links"))
+    renamed = connected_components(links, store)
+    open_ = store.keep(
+        undecided(
+            able.join(renamed, F.col("rep") == F.col("vertex"), "left").select(
+                "key", "rep", F.coalesce(renamed["component"], "rep").alias("component"), "n", "alone"
+            )
+        ),
+        "open",
     )
-    more = store.keep(confirmed(rest), "more_links")
+    more = store.keep(links_between(open_, texts, percent, width), "more_links")
     components = connected_components(links.unionByName(more), store)
     labels = classes.join(components, F.col("rep") == F.col("vertex"), "left").select(
         *alike, F.coalesce("component", "rep").alias("component_id")
