@@ -17,15 +17,6 @@ from fairlead.operators.quality import tie_breakers, valid_rows, without_station
 
 VESSEL = ("file_day", "mmsi")
 
-# Columns of a clean point, in output order; absent ones are left out.
-CLEAN_COLUMNS = (
-    "timestamp", "mmsi", "name", "imo", "callsign", "type_of_mobile",
-    "latitude", "longitude", "sog", "cog", "heading", "rot",
-    "navigational_status", "ship_type", "cargo_type", "draught",
-    "destination", "eta", "data_source_type", "distance_to_center_nm",
-)
-
-
 def with_previous(
     points: DataFrame,
     cfg: EncounterConfig = DEFAULT_CONFIG,
@@ -154,8 +145,3 @@ def clean_points(points: DataFrame, cfg: EncounterConfig = DEFAULT_CONFIG) -> Da
         .transform(plausible, cfg)
     )
     return kept.select(*in_area.columns)
-
-
-def clean_output(clean: DataFrame) -> DataFrame:
-    """The published columns of a clean point that are present, plus the day."""
-    return clean.select("file_day", *(c for c in CLEAN_COLUMNS if c in clean.columns))

@@ -22,6 +22,7 @@ from fairlead.operators.quality import distinct_observations
 POINT_COLUMNS = (
     "file_day", "ts", "mmsi", "name", "latitude", "longitude", "sog", "navigational_status",
 )
+PLACE_COLUMNS = ("file_day", "ts", "mmsi", "latitude", "longitude")
 CELL = ("t_cell", "lat_cell", "lon_cell")
 
 
@@ -106,11 +107,37 @@ def near_grid(cfg: EncounterConfig = DEFAULT_CONFIG) -> Grid:
 def crowded_cells(
     points: DataFrame, grid: Grid, cfg: EncounterConfig = DEFAULT_CONFIG
 ) -> DataFrame:
-    """Cells with more than ``crowded_cell_rows`` reports and their number of shares."""
-    counts = grid.locate(points).groupBy("file_day", *CELL).count()
-    shares = F.ceil(F.col("count") / F.lit(cfg.crowded_cell_rows)).cast("int")
-    return counts.where(F.col("count") > cfg.crowded_cell_rows).select(
-        "file_day", *CELL, shares.alias("shares")
+    """Cells with more than ``crowded_cell_rows`` reports on either side of the join.
+
+    ``shares`` and ``right_shares`` tell how many parts the reports of the cell,
+    and the copies that reach it from its neighbours, are dealt into. Rows
+    are counted per cell once; the copies are bounded by the neighbours' counts.
+    """
+    keys = ["file_day", *CELL]
+    counts = grid.locate(points).groupBy(*keys).count()
+    around = counts
+    for cell in CELL:
+        near = F.explode(F.array(*(F.col(cell) + step for step in (-1, 0, 1))))
+        around = around.withColumn(cell, near)
+    reached = around.groupBy(*keys).agg(F.sum("count").alias("copies"))
+
+    def shares(rows: str) -> Column:
+        return F.ceil(F.col(rows) / F.lit(cfg.crowded_cell_rows)).cast("int")
+
+    return (
+        counts.join(reached, keys)
+        .where(F.col("copies") > cfg.crowded_cell_rows)
+        .select(*keys, shares("count").alias("shares"), shares("copies").alias("right_shares"))
+    )
+
+
+def _deal(rows: DataFrame, own: str, other: str, vessel: str, ts: str) -> DataFrame:
+    """Each row in one of its side's shares, copied to all shares of the other side."""
+    mine, theirs = F.coalesce(own, F.lit(1)), F.coalesce(other, F.lit(1))
+    return (
+        rows.withColumn(f"of_{own}", F.pmod(F.xxhash64(vessel, ts), mine).cast("int"))
+        .withColumn(f"of_{other}", F.explode(F.sequence(F.lit(0), theirs - 1)))
+        .drop(own, other)
     )
 
 
@@ -128,8 +155,9 @@ def _meet_in_cells(
     meets once, the join has equi-keys that spread over space and time, and no
     duplicates need removing. The exact predicates are part of the join.
 
-    Left reports of ``crowded`` cells are dealt out to several shares, each of
-    which meets all right reports of the cell, so no cell is one task's work.
+    Reports of ``crowded`` cells are dealt into shares on both sides, and each
+    left share meets each right share of its cell, so neither input of a task
+    grows with the cell.
     """
     keys = ["file_day", *CELL]
     left = grid.locate(points)
@@ -137,12 +165,9 @@ def _meet_in_cells(
         *keys, *(F.col(c).alias(f"b_{c}") for c in points.columns if c != "file_day")
     )
     if crowded is not None:
-        shares = F.coalesce("shares", F.lit(1))
-        dealt = F.pmod(F.xxhash64("mmsi", "ts"), shares).cast("int")
-        left = left.join(crowded, keys, "left").withColumn("share", dealt).drop("shares")
-        every = F.explode(F.sequence(F.lit(0), shares - 1))
-        right = right.join(crowded, keys, "left").withColumn("share", every).drop("shares")
-        keys = [*keys, "share"]
+        left = _deal(left.join(crowded, keys, "left"), "shares", "right_shares", "mmsi", "ts")
+        right = _deal(right.join(crowded, keys, "left"), "right_shares", "shares", "b_mmsi", "b_ts")
+        keys = [*keys, "of_shares", "of_right_shares"]
     close = (
         (F.col("mmsi") < F.col("b_mmsi"))
         & (F.abs(F.col("ts") - F.col("b_ts")) <= cfg.pair_gap_sec)
@@ -183,39 +208,51 @@ def near_pairs(
     return met.withColumn("distance_m", metres(distance_nm))
 
 
-def closest_pairs(near: DataFrame) -> DataFrame:
+def closest_pairs(near: DataFrame, points: DataFrame) -> DataFrame:
     """The closest of the report pairs of each two vessels on each day.
 
     Ties go to the smaller time difference, then to the earlier reports. The
     minimum combines inside the map tasks, so two vessels sailing in company
-    send one row per task.
+    send one row per task, and it carries times and places only: name, speed and
+    status come from the reports of ``points`` that won.
     """
-    best = F.min(
-        F.struct(
-            "distance_m", "time_diff_sec", "ts", "b_ts",
-            "name", "b_name", "latitude", "longitude", "b_latitude", "b_longitude",
-            "sog", "b_sog", "navigational_status", "b_navigational_status",
-        )
+    places = ("latitude", "longitude", "b_latitude", "b_longitude")
+    best = F.min(F.struct("distance_m", "time_diff_sec", "ts", "b_ts", *places))
+    won = (
+        near.groupBy("file_day", "mmsi", "b_mmsi")
+        .agg(best.alias("best"))
+        .select("file_day", F.col("mmsi").alias("mmsi_1"), F.col("b_mmsi").alias("mmsi_2"), "best.*")
     )
-    found = near.groupBy("file_day", "mmsi", "b_mmsi").agg(best.alias("best"))
-    return found.select(
+    for n, prefix in ((1, ""), (2, "b_")):
+        report = points.select(
+            "file_day",
+            F.col("mmsi").alias(f"mmsi_{n}"),
+            *(F.col(c).alias(f"{prefix}{c}") for c in ("ts", "latitude", "longitude")),
+            F.col("name").alias(f"name_{n}"),
+            F.col("sog").alias(f"sog_{n}"),
+            F.col("navigational_status").alias(f"status_{n}"),
+        )
+        keys = [f"{prefix}{c}" for c in ("ts", "latitude", "longitude")]
+        won = won.join(report, ["file_day", f"mmsi_{n}", *keys])
+    # Columns of the candidate table, in output order.
+    return won.select(
         "file_day",
-        F.col("mmsi").alias("mmsi_1"),
-        F.col("b_mmsi").alias("mmsi_2"),
-        F.col("best.name").alias("name_1"),
-        F.col("best.b_name").alias("name_2"),
-        F.col("best.ts").alias("ts_1"),
-        F.col("best.b_ts").alias("ts_2"),
-        F.col("best.time_diff_sec").alias("time_diff_sec"),
-        F.round("best.distance_m", 3).alias("distance_m"),
-        F.col("best.latitude").alias("latitude_1"),
-        F.col("best.longitude").alias("longitude_1"),
-        F.col("best.b_latitude").alias("latitude_2"),
-        F.col("best.b_longitude").alias("longitude_2"),
-        F.col("best.sog").alias("sog_1"),
-        F.col("best.b_sog").alias("sog_2"),
-        F.col("best.navigational_status").alias("status_1"),
-        F.col("best.b_navigational_status").alias("status_2"),
+        "mmsi_1",
+        "mmsi_2",
+        "name_1",
+        "name_2",
+        F.col("ts").alias("ts_1"),
+        F.col("b_ts").alias("ts_2"),
+        "time_diff_sec",
+        F.round("distance_m", 3).alias("distance_m"),
+        F.col("latitude").alias("latitude_1"),
+        F.col("longitude").alias("longitude_1"),
+        F.col("b_latitude").alias("latitude_2"),
+        F.col("b_longitude").alias("longitude_2"),
+        "sog_1",
+        "sog_2",
+        "status_1",
+        "status_2",
     )
 
 
@@ -232,4 +269,4 @@ def find_candidates(
     the output of ``clean_points``, and saves the de-duplication.
     """
     usable = proximity_points(points) if distinct else candidate_points(points, cfg)
-    return closest_pairs(near_pairs(usable, cfg, crowded))
+    return closest_pairs(near_pairs(usable.select(*PLACE_COLUMNS), cfg, crowded), usable)

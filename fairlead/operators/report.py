@@ -11,8 +11,7 @@ from fairlead.operators.severity import top_events
 
 def top_event_tracks(scored: DataFrame, n: int = 1) -> DataFrame:
     """Track rows of the ``n`` most severe events, by vessel and time."""
-    # The broadcast side holds n rows.
-    wanted = F.broadcast(top_events(scored, n).select(*PAIR))
+    wanted = top_events(scored, n).select(*PAIR)
     return scored.join(wanted, list(PAIR), "left_semi").orderBy(*PAIR, "vessel_in_pair", "ts")
 
 

@@ -117,13 +117,13 @@ def score_severity(tracks: DataFrame, cfg: EncounterConfig = DEFAULT_CONFIG) ->
     )
 
 
-SEVERITY_ORDER = ("mean_pair_proportion", "collision_ts", "pair_id")
+SEVERITY_ORDER = ("mean_pair_proportion", "collision_ts", "pair_id", "file_day")
 
 
 def severity_order() -> list[Column]:
-    """Most severe event first; time and pair settle ties."""
-    worst, when, pair = SEVERITY_ORDER
-    return [F.col(worst).desc_nulls_last(), F.col(when).asc(), F.col(pair).asc()]
+    """Most severe event first; time, pair and day settle ties."""
+    worst, *ties = SEVERITY_ORDER
+    return [F.col(worst).desc_nulls_last(), *(F.col(c).asc() for c in ties)]
 
 
 def rank_tracks(scored: DataFrame) -> DataFrame:

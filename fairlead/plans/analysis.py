@@ -11,6 +11,7 @@ from fairlead.config import DEFAULT_CONFIG, EncounterConfig
 from fairlead.operators.confirm import candidate_windows, confirm_encounters, pair_points
 from fairlead.operators.motion import clean_points
 from fairlead.operators.proximity import (
+    PLACE_COLUMNS,
     Grid,
     band_grid,
     band_pairs,
@@ -46,8 +47,8 @@ def crowded(
 
 
 def all_near_pairs(clean: DataFrame, store: StageStore, cfg: EncounterConfig) -> DataFrame:
-    """Near pairs of clean points, with crowded cells divided among tasks."""
-    points = proximity_points(clean)
+    """Near pairs of clean points (times and places), with crowded cells divided among tasks."""
+    points = proximity_points(clean).select(*PLACE_COLUMNS)
     return near_pairs(points, cfg, crowded(points, near_grid(cfg), store, cfg))
 
 
@@ -82,7 +83,7 @@ class EncounterAnalysis:
 
     @property
     def closest_pairs(self) -> DataFrame:
-        return closest_pairs(self.near_pairs)
+        return closest_pairs(self.near_pairs, proximity_points(self.clean))
 
     @cached_property
     def candidates(self) -> DataFrame:

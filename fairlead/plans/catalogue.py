@@ -63,6 +63,24 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scan_mixed_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One read of files of three layouts: as they are, more columns in another order, no name."""
+    points = ais_points(spark, sf_dir)
+
+    def files(part: int) -> list[str]:
+        feed = position_files.as_feed(points.where(F.col("event_id") % 3 == part))
+        if part == 0:
+            feed = feed.drop("Name")
+        if part == 1:
+            feed = feed.select(F.lit("x").alias("Extra"), *reversed(feed.columns))
+        return _feed_files(spark, feed)
+
+    read = position_files.read_points(spark, [f for part in range(3) for f in files(part)])
+    return rounded(
+        read.select("mmsi", "ts", "latitude", "longitude", "sog", "name", "file_day"), sog=6
+    )
+
+
 def normalize_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = position_files.normalize_columns(
         position_files.as_feed(ais_points(spark, sf_dir))
@@ -345,6 +363,7 @@ def all_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "scan_csv": scan_csv,
+        "scan_mixed_layouts": scan_mixed_layouts,
         "normalize_columns": normalize_columns,
         "standardize_types": standardize_types,
         "typed_points": typed_points,

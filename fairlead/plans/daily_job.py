@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fairlead.config import DEFAULT_CONFIG, EncounterConfig
 from fairlead.operators.confirm import PAIR, confirm_encounters
 from fairlead.operators.motion import clean_points
-from fairlead.operators.proximity import closest_pairs
+from fairlead.operators.proximity import closest_pairs, proximity_points
 from fairlead.operators.ranking import rank_events
 from fairlead.operators.report import event_summary, impact_points, top_event_tracks
 from fairlead.operators.severity import extract_tracks, score_severity, scored_events
@@ -100,7 +100,8 @@ class DailyJob:
         days = self._behind(self.candidates, self.clean, requested)
         if days:
             with StageStore(self.spark, f"{self.root}/stages") as store:
-                found = closest_pairs(all_near_pairs(self.clean.read(list(days)), store, cfg))
+                clean = self.clean.read(list(days))
+                found = closest_pairs(all_near_pairs(clean, store, cfg), proximity_points(clean))
                 timed = with_times(found, timestamp_1="ts_1", timestamp_2="ts_2")
                 self.candidates.write(timed, days)
 

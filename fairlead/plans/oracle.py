@@ -15,7 +15,6 @@ from fairlead.config import (
     STATIONARY_STATUSES,
     EncounterConfig,
 )
-from fairlead.functions.geo import bounding_box
 from fairlead.sources.event_feed import AIS_POINTS_SQL
 
 CFG = EncounterConfig()
@@ -33,9 +32,9 @@ def _listed(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
-_SOUTH, _NORTH, _WEST, _EAST = bounding_box(CFG.center_lat, CFG.center_lon, CFG.radius_nm)
 _BOX = (
-    f"latitude BETWEEN {_SOUTH!r} AND {_NORTH!r} AND longitude BETWEEN {_WEST!r} AND {_EAST!r}"
+    f"abs(latitude - {CFG.center_lat}) <= {CFG.radius_nm} / 60.0 AND abs(longitude - {CFG.center_lon})"
+    f" <= {CFG.radius_nm} / (60.0 * cos(radians({CFG.center_lat})))"
 )
 _STATUS = f"navigational_status NOT IN ({_listed(STATIONARY_STATUSES)})"
 _MOVING = (
@@ -203,7 +202,7 @@ _STEPS: dict[str, str] = {
         FROM tracks t JOIN severe s ON s.file_day = t.file_day AND s.pair_id = t.pair_id""",
     "ranked": """
         SELECT *, row_number() OVER (ORDER BY mean_pair_proportion DESC NULLS LAST,
-                                     collision_ts, pair_id) AS event_rank
+                                     collision_ts, pair_id, file_day) AS event_rank
         FROM (SELECT DISTINCT file_day, pair_id, collision_ts, pair_mmsi_1, pair_mmsi_2,
                               mean_pair_proportion FROM scored) e""",
     "impacts": """
@@ -256,6 +255,12 @@ def oracle_sql() -> dict[str, str]:
                   strftime(make_timestamp(ts * 1000000), '%Y-%m-%d') AS file_day FROM ais""",
             "ais",
         ),
+        "scan_mixed_layouts": sql(
+            """SELECT mmsi, ts, latitude, longitude, round(sog, 6) AS sog,
+                 CASE WHEN event_id % 3 = 0 THEN NULL ELSE name END AS name,
+                 strftime(make_timestamp(ts * 1000000), '%Y-%m-%d') AS file_day FROM ais""",
+            "ais",
+        ),
         "normalize_columns": sql(
             f"""SELECT {time_text} AS timestamp, mmsi, latitude, longitude, navigational_status,
                   sog, name FROM ais""",

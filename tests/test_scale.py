@@ -102,6 +102,31 @@ def test_crowded_cells_are_used_when_there_are_any(spark):
     )
 
 
+def test_inputs_of_a_crowded_cell_stay_bounded(make_points):
+    cfg = EncounterConfig(crowded_cell_rows=50)
+    grid = proximity.near_grid(cfg)
+    largest = {}
+    for n in (400, 4000):
+        rows = [
+            {"mmsi": str(219000000 + i % 40), "ts": 1000 + i % 97, "latitude": 55.2, "longitude": 14.2}
+            for i in range(n)
+        ]
+        points = proximity.proximity_points(make_points(rows))
+        cells = proximity.crowded_cells(points, grid, cfg)
+        keys = ["file_day", *proximity.CELL]
+        sides = (
+            proximity._deal(grid.locate(points).join(cells, keys, "left"), "shares", "right_shares", "mmsi", "ts"),
+            proximity._deal(
+                grid.spread(points, cfg.pair_gap_sec).join(cells, keys, "left"), "right_shares", "shares", "mmsi", "ts"
+            ),
+        )
+        parts = [*keys, "of_shares", "of_right_shares"]
+        # Copies that reach a cell without reports meet nothing.
+        left, right = sides[0], sides[1].join(sides[0].select(*parts).distinct(), parts, "left_semi")
+        largest[n] = [side.groupBy(*parts).count().agg(F.max("count")).first()[0] for side in (left, right)]
+    assert all(count <= 2 * cfg.crowded_cell_rows for counts in largest.values() for count in counts)
+
+
 def test_rank_over_many_partitions(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
