@@ -138,6 +138,30 @@ FROM split s LEFT JOIN kept k USING (doc_id)
 """
 
 
+NEAR_DEDUP = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * c >= 75 * (x.n + y.n - c)),
+linked AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT r.doc_id, l.b FROM reached r JOIN linked l ON r.other = l.a),
+components AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM components LEFT JOIN sizes USING (doc_id)
+"""
+
 LM_SCORING = r"""
 WITH split AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -168,5 +192,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_lm_scoring": LM_SCORING,
         "op4_source_mixing": MIXING,
         "op6_substring_dedup": SUBSTRING_DEDUP,
+        "op7_minhash_dedup": NEAR_DEDUP,
         "op10_line_dedup": LINE_DEDUP,
     }

@@ -23,7 +23,6 @@ from tests.oracle_check import compare, connect
 COLUMNS = {
     "op1_hash_tree_sharding": {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"},
     "op5_bpe": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
-    "op7_minhash_dedup": {"doc_id", "n_shingles", "component_id", "kept"},
     "op8_quality_classifier": {"doc_id", "held_out", "score", "predicted"},
     "op9_fingerprints": {
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
