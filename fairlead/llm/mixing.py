@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from fairlead.llm.common import words
 
+#: Stands for a null id where ids are matched.
+NO_ID = -(1 << 63)
+
 
 def cyclic_weight(place: Column, weights: tuple[int, ...]) -> Column:
     """Weights in turn for places 1, 2, ..."""
@@ -211,25 +214,25 @@ def mixed_documents(
     Whole passes repeat the row; the words of a partial pass, joined by one
     space, make a row of their own. ``chars_col`` is brought up to date.
     """
-    taken = mix(docs, id_col=id_col, text_col=text_col, **options).where("taken > 0").select(
-        F.col("doc_id").alias("taken_id"), "row", "passes", "piece_start", "piece_words", "head_words"
-    )
-    # Equal rows take different words; each is matched once, in any order.
-    same = Window.partitionBy("taken_id", "row").orderBy("passes", "piece_start", "piece_words", "head_words")
-    numbered = taken.withColumn("turn", F.row_number().over(same))
+    key_id = F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("key_id")
+    taken = mix(docs, id_col=id_col, text_col=text_col, **options).where("taken > 0")
+    # Equal rows take different words, so what they take is listed and each gets an entry.
+    entry = F.struct("passes", "piece_start", "piece_words", "head_words")
+    lists = taken.groupBy(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("key_id"), F.col("row").alias("key_row")
+    ).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
     whole = docs.select(
         F.struct("*").alias("doc"),
-        F.col(id_col).cast("bigint").alias("left_id"),
-        F.col(text_col).alias("text"),
-        F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("left_row"),
-    ).withColumn(
-        "left_turn", F.row_number().over(Window.partitionBy("left_id", "left_row").orderBy(F.lit(0)))
+        key_id,
+        F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("key_row"),
     )
-    joined = whole.join(
-        numbered,
-        F.col("left_id").eqNullSafe(F.col("taken_id"))
-        & (F.col("left_row") == F.col("row"))
-        & (F.col("left_turn") == F.col("turn")),
+    # Join and numbering share one shuffle of the texts.
+    same = Window.partitionBy("key_id", "key_row").orderBy(F.lit(0))
+    joined = (
+        whole.join(lists, ["key_id", "key_row"])
+        .withColumn("entry", F.get("entries", F.row_number().over(same) - 1))
+        .where(F.col("entry").isNotNull())
+        .select("doc", F.col("doc")[text_col].alias("text"), "entry.*")
     )
 
     def piece(tokens: Column, start: Column, n: Column) -> Column:
