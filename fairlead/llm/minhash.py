@@ -145,9 +145,11 @@ def exploded_shingles(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, shingle bigint")
 
 
-def star_pairs(members: DataFrame, by: str) -> DataFrame:
+def star_pairs(members: DataFrame, by: str, store: StageStore) -> DataFrame:
     """Distinct pairs (a, b), a < b, of each member and the one of its bucket with most of ``by``."""
-    leaders = members.groupBy("key").agg(F.max(F.struct(by, "rep"))["rep"].alias("leader"))
+    leaders = store.keep(
+        members.groupBy("key").agg(F.max(F.struct(by, "rep"))["rep"].alias("leader")), "leaders"
+    )
     return (
         members.join(leaders, "key")
         .where("rep <> leader")
@@ -283,10 +285,13 @@ def near_duplicates(
         full.join(classes.withColumn("doc_id", F.col("rep")), [*alike, "doc_id"])
         .select("rep", F.explode("bands").alias("key"))
     )
-    sizes = reps.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # Written tables on one side of a join by bucket let Spark split a hot bucket.
+    sizes = store.keep(
+        reps.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes"
+    )
     buckets = store.keep(reps.join(sizes, "key"), "buckets")
     central = buckets.groupBy("rep").agg(F.sum("size").alias("ties"))
-    stars = store.keep(star_pairs(buckets.join(central, "rep"), "ties"), "stars")
+    stars = store.keep(star_pairs(buckets.join(central, "rep"), "ties", store), "stars")
     wanted = buckets.select(F.col("rep").alias("doc_id")).distinct()
     texts = store.keep(slim.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), "texts")
 
@@ -328,7 +333,7 @@ def near_duplicates(
     # Once more with the member that differs least from what others hold.
     closest = able.withColumn("shared", -F.col("alone"))
     second = store.keep(
-        star_pairs(closest, "shared").join(stars, ["a", "b"], "left_anti"), "second_stars"
+        star_pairs(closest, "shared", store).join(stars, ["a", "b"], "left_anti"), "second_stars"
     )
     links = links.unionByName(store.keep(confirmed(second), "second_links"))
     renamed = connected_components(links, store)
