@@ -87,7 +87,7 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    joined = line_dedup.with_bitmaps(docs, line_dedup.keep_bitmaps(docs), "doc_id", "text")
+    joined = line_dedup.with_bitmaps(docs, line_dedup.keep_bitmaps(docs, Stages(spark)), "doc_id", "text")
     return joined.select(
         F.col("left_id").alias("doc_id"),
         "n_lines",

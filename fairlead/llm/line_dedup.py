@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fairlead.llm.common import SPACE_CHARS, let, row_hash
+from fairlead.sources.stages import StageStore
 
 # --- Fixed values: letters that a line key folds ---
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -59,6 +60,7 @@ def kept_runs(n_lines: Column, dropped: Column) -> Column:
 
 def keep_bitmaps(
     docs: DataFrame,
+    store: StageStore,
     min_chars: int = 40,
     min_docs: int = 5,
     salts: int = 16,
@@ -76,7 +78,8 @@ def keep_bitmaps(
     sorted by document and position, so that one key held by a third of all
     documents spreads over ``salts`` ranges. The stream over each range gives
     its first occurrence and number of documents; these few rows are added up
-    by key. A null id counts as one document before all others; equal rows of
+    by key and written, so that the join back to the lines can split a hot key
+    as well. A null id counts as one document before all others; equal rows of
     one id count once.
     """
     slim = docs.select(
@@ -97,11 +100,12 @@ def keep_bitmaps(
         F.when(first, F.col("doc_id")).alias("holder"),
         (first | ~earlier.eqNullSafe(F.col("doc_id"))).cast("int").alias("new_doc"),
     )
-    repeated = (
+    repeated = store.keep(
         streamed.groupBy("h1", "h2")
         .agg(F.sum("new_doc").alias("n_docs"), F.max("holder").alias("keeper"))
         .where(F.col("n_docs") >= min_docs)
-        .select("h1", "h2", "keeper")
+        .select("h1", "h2", "keeper"),
+        "repeated_lines",
     )
     losses = occurrences.join(repeated, ["h1", "h2"]).where(
         ~F.col("doc_id").eqNullSafe(F.col("keeper"))
@@ -145,14 +149,14 @@ def kept_text(whole: Column, runs: Column) -> Column:
 
 
 def drop_repeated_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits
+    docs: DataFrame, store: StageStore, id_col: str = "doc_id", text_col: str = "text", **limits
 ) -> DataFrame:
     """``docs`` with the repeated lines taken out of the text column.
 
     All columns and rows stay; a null text stays null, a text that loses all
     its lines becomes empty.
     """
-    bitmaps = keep_bitmaps(docs, id_col=id_col, text_col=text_col, **limits)
+    bitmaps = keep_bitmaps(docs, store, id_col=id_col, text_col=text_col, **limits)
     joined = with_bitmaps(docs, bitmaps, id_col, text_col)
     text = F.when(
         F.col("doc")[text_col].isNotNull(), kept_text(F.col("whole"), F.col("kept_runs"))

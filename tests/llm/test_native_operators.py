@@ -195,15 +195,15 @@ def brute_lines(rows):
     return out
 
 
-def test_line_dedup_matches_brute_force(edge_docs, edge_rows, no_docs):
-    bitmaps = line_dedup.keep_bitmaps(edge_docs)
+def test_line_dedup_matches_brute_force(edge_docs, edge_rows, no_docs, store):
+    bitmaps = line_dedup.keep_bitmaps(edge_docs, store)
     joined = line_dedup.with_bitmaps(edge_docs, bitmaps, "doc_id", "text")
     rows = joined.select("left_id", "n_lines", "n_dropped", line_dedup.kept_text(F.col("whole"), F.col("kept_runs"))).collect()
     assert Counter(tuple(r) for r in rows) == brute_lines(edge_rows)
-    out = line_dedup.drop_repeated_lines(edge_docs)
+    out = line_dedup.drop_repeated_lines(edge_docs, store)
     assert out.columns == edge_docs.columns and out.count() == len(edge_rows)
     assert out.where("text is null").count() == 2
-    assert line_dedup.drop_repeated_lines(no_docs).count() == 0
+    assert line_dedup.drop_repeated_lines(no_docs, store).count() == 0
 
 
 def test_bitmaps_are_runs_of_kept_lines(spark):
@@ -212,13 +212,13 @@ def test_bitmaps_are_runs_of_kept_lines(spark):
     assert [tuple(r) for r in runs] == [(1, 2), (5, 2)]
 
 
-def test_native_plans_run_no_python(edge_docs):
+def test_native_plans_run_no_python(edge_docs, store):
     tree = sharding.build_tree(8)
     for df in (
         sharding.assign_shards(edge_docs, tree),
         mixing.mix(edge_docs),
         mixing.mixed_documents(edge_docs),
-        line_dedup.drop_repeated_lines(edge_docs),
+        line_dedup.drop_repeated_lines(edge_docs, store),
         quality_rules.judge(edge_docs),
     ):
         plan = df._jdf.queryExecution().executedPlan().toString()
