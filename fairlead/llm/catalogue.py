@@ -26,7 +26,14 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = lm_scoring.score_documents(documents(spark, sf_dir), Stages(spark))
+    return rounded_scores(lm_scoring.score_documents(documents(spark, sf_dir), Stages(spark)))
+
+
+def op3_lm_all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded_scores(lm_scoring.score_with_all_counts(documents(spark, sf_dir), Stages(spark)))
+
+
+def rounded_scores(scored: DataFrame) -> DataFrame:
     return scored.select(
         "doc_id",
         "n_words",
@@ -101,6 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_hash_tree_sharding,
         op2_quality_rules,
         op3_lm_scoring,
+        op3_lm_all_pairs,
         op4_source_mixing,
         op5_bpe,
         op6_substring_dedup,

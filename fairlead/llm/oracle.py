@@ -185,11 +185,34 @@ SELECT d.doc_id, coalesce(n_words, 0) AS n_words, round(coalesce(s, 0), 6) AS lo
 FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN sums USING (doc_id)
 """
 
+LM_ALL_PAIRS = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+tokens AS (SELECT doc_id, unnest(w) AS b, generate_subscripts(w, 1) AS pos, w FROM split),
+placed AS (SELECT doc_id, pos, b, CASE WHEN pos > 1 THEN w[pos - 1] END AS a FROM tokens),
+word_counts AS (SELECT b AS w, count(*) AS c FROM placed GROUP BY b),
+pair_counts AS (SELECT a, b, count(*) AS c FROM placed WHERE a IS NOT NULL GROUP BY a, b),
+total AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM placed),
+scored AS (
+  SELECT p.doc_id,
+         CASE WHEN p.a IS NULL THEN ln(cb.c / n)
+              WHEN pc.c IS NOT NULL THEN ln(pc.c / ca.c)
+              ELSE ln(0.4::DOUBLE * cb.c / n) END AS s
+  FROM placed p CROSS JOIN total JOIN word_counts cb ON p.b = cb.w
+  LEFT JOIN word_counts ca ON p.a = ca.w
+  LEFT JOIN pair_counts pc ON p.a = pc.a AND p.b = pc.b),
+sums AS (SELECT doc_id, count(*) AS n_words, sum(s) AS s FROM scored GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, round(coalesce(s, 0), 6) AS log_score,
+       round(s / n_words, 9) AS mean_log_score
+FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN sums USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_quality_rules": QUALITY_RULES,
         "op3_lm_scoring": LM_SCORING,
+        "op3_lm_all_pairs": LM_ALL_PAIRS,
         "op4_source_mixing": MIXING,
         "op6_substring_dedup": SUBSTRING_DEDUP,
         "op7_minhash_dedup": NEAR_DEDUP,

@@ -67,6 +67,31 @@ def test_lm_scores_match_brute_force(edge_docs, edge_rows, no_docs, store):
     assert lm_scoring.score_documents(no_docs, store).count() == 0
 
 
+def brute_scores(rows, order):
+    """log score by id, every run of words counted."""
+    counts = Counter(
+        tuple(ws[i : i + k]) for _, ws in rows for k in range(1, order + 1) for i in range(len(ws) - k + 1)
+    )
+    total = sum(len(ws) for _, ws in rows)
+    want = defaultdict(float)
+    for d, ws in rows:
+        want[d] += 0.0
+        for i in range(len(ws)):
+            context = tuple(ws[max(0, i - order + 1) : i])
+            want[d] += math.log(counts[(*context, ws[i])] / (counts[context] if context else total))
+    return want
+
+
+def test_pairs_seen_once_count(edge_docs, edge_rows, no_docs, make_docs, store):
+    want = brute_scores([(d, tokens_of(t)) for d, t, *_ in edge_rows], 2)
+    got = lm_scoring.score_with_all_counts(edge_docs, store).collect()
+    assert {r.doc_id: r.log_score for r in got} == pytest.approx(dict(want))
+    assert len(got) == len(want)
+    (rare,) = lm_scoring.score_with_all_counts(make_docs(["a b a c"]), store).collect()
+    assert rare.log_score == pytest.approx(math.log(2 / 4) + math.log(1 / 2) + math.log(1 / 1) + math.log(1 / 2))
+    assert lm_scoring.score_with_all_counts(no_docs, store).count() == 0
+
+
 # Byte-pair coding
 
 HARD = [
