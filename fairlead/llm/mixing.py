@@ -98,6 +98,28 @@ def sainte_lague(df: DataFrame, group: list[str], item: str, votes: str, seats:
     return won.select(*df.columns, (F.col("sure") + F.col("won")).alias("quota"))
 
 
+def capped_budgets(shard_quotas: DataFrame, block_words: int, most: int) -> DataFrame:
+    """Adds ``budget``: words each shard gives, ``most`` times its size at the most.
+
+    Words of quotas over that limit go to the other shards of the source in
+    proportion to their room, so a source loses none while it has room.
+    """
+    source = Window.partitionBy("source")
+    so_far = source.orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cap, quota = F.col("shard_size") * most, F.col("quota") * block_words
+    capped = (
+        shard_quotas.withColumn("own", F.least(quota, cap))
+        .withColumn("room", cap - F.col("own"))
+        .withColumn("all_room", F.sum("room").over(source))
+        .withColumn("over", F.least(F.sum(quota - F.col("own")).over(source), F.col("all_room")))
+        .withColumn("room_to", F.sum("room").over(so_far))
+    )
+    # Floors of running shares: whole words that add up, none above its room.
+    wide = "CAST(over AS DECIMAL(19, 0)) * CAST({} AS DECIMAL(19, 0)) div all_room"
+    share = f"{wide.format('room_to')} - {wide.format('(room_to - room)')}"
+    return capped.withColumn("budget", F.col("own") + F.expr(f"CASE WHEN over > 0 THEN {share} ELSE 0 END"))
+
+
 def seeded(seed: int, *parts: Column) -> Column:
     """Hex digest that fixes a random order or start."""
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.coalesce(p.cast("string"), F.lit("")) for p in parts)).cast("binary"))
@@ -132,7 +154,8 @@ def mix(
     document is taken more than ``most`` times. Sources in code-point order get
     the weights in turn; a null source is a source of its own and comes last.
     Null and empty texts have size 0 and are never taken; without words all
-    targets are 0. Equal rows take neighbouring places on the ring.
+    targets are 0. What a shard cannot take of its quota goes to other shards
+    of its source. Equal rows take neighbouring places on the ring.
 
     Shards are hash groups of about ``rows_per_shard`` rows, so no window
     holds more than one shard of one source.
@@ -164,9 +187,7 @@ def mix(
     )
     blocks = F.greatest(F.lit(1), F.floor(F.col("shard_size") / block_words))
     spin = digest_number(seeded(seed + 1, F.col("source"), F.col("shard")))
-    rings = shard_quotas.withColumn(
-        "budget", F.least(F.col("quota") * block_words, F.col("shard_size") * most)
-    ).select(
+    rings = capped_budgets(shard_quotas, block_words, most).select(
         F.col("source").alias("ring_source"),
         F.col("shard").alias("ring_shard"),
         "shard_size",

@@ -165,6 +165,14 @@ def test_mix_takes_near_target_and_never_too_much(spark):
     assert n == {r.doc_id: r.taken for r in got if r.taken}
 
 
+def test_small_shards_hand_on_what_they_cannot_take(spark):
+    rows = [(i, "w " * 10, "small") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = mixing.mix(docs, rows_per_shard=1, share=1.5).collect()
+    assert all(r.target == 4500 and r.taken <= 20 for r in got)
+    assert sum(r.taken for r in got) == 4500 // 32 * 32
+
+
 def test_mixing_edge_cases(edge_docs, no_docs, edge_rows):
     rows = mixing.mix(edge_docs).collect()
     assert len(rows) == len(edge_rows)
