@@ -92,6 +92,13 @@ def test_pairs_seen_once_count(edge_docs, edge_rows, no_docs, make_docs, store):
     assert lm_scoring.score_with_all_counts(no_docs, store).count() == 0
 
 
+def test_longer_contexts_count(make_docs, store):
+    texts = ["a b c a b d a b c", "x a b c", "a b", "c", ""]
+    want = brute_scores([(i, tokens_of(t)) for i, t in enumerate(texts)], 3)
+    got = lm_scoring.score_with_all_counts(make_docs(texts), store, order=3, hash_passes=2).collect()
+    assert {r.doc_id: r.log_score for r in got} == pytest.approx(dict(want))
+
+
 # Byte-pair coding
 
 HARD = [
