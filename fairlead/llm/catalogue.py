@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm import bpe, classifier, fingerprint, line_dedup, lm_scoring, minhash, mixing, quality_rules, sharding, substring_dedup
+from fairlead.llm import bpe, classifier, filter_audit, fingerprint, line_dedup, lm_scoring, minhash, mixing, quality_rules, sharding, substring_dedup
 from fairlead.llm.common import documents, sha256_hex
 from fairlead.llm.stages import Stages
 
@@ -103,6 +103,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order of filters A to E over all documents, by source."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return filter_audit.audit_documents(documents(spark, sf_dir), labels, Stages(spark))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_hash_tree_sharding,
@@ -116,5 +122,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality_classifier,
         op9_fingerprints,
         op10_line_dedup,
+        op13_filter_audit,
     )
     return {query.__name__: query for query in named}

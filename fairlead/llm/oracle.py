@@ -208,6 +208,58 @@ FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN sums USING (doc_id)
 """
 
 
+FILTER_AUDIT = r"""
+WITH split AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+failures AS (
+  SELECT doc_id, part,
+         [len(w) < 50,
+          100 * len(list_distinct(w)) < 65 * len(w),
+          100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 5 * length(text),
+          regexp_matches(text, '[#$%&*|]'),
+          coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS fails
+  FROM split),
+flagged AS (
+  SELECT f.*, EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = f.doc_id AND l.quality = 1) AS good,
+         EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = f.doc_id AND l.toxic = 1) AS toxic
+  FROM failures f),
+patterns AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM flagged GROUP BY part, fails),
+letters AS (SELECT unnest([1, 2, 3, 4, 5]) AS f),
+orders AS (
+  SELECT [a.f, b.f, c.f, d.f, e.f] AS seq
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (
+  SELECT array_to_string(list_transform(seq, lambda i: 'ABCDE'[i]), '') AS filter_order,
+         step, seq[step] AS f, seq[1:step - 1] AS before
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+judged AS (
+  SELECT part, filter_order, step, f, n, good, toxic, fails[f] AS fails_here,
+         len(list_filter(before, lambda i: fails[i])) > 0 AS went,
+         len(list_filter(fails, lambda x: x)) AS n_fails
+  FROM patterns, steps),
+counted AS (
+  SELECT part, filter_order, step, f,
+         coalesce(sum(n) FILTER (WHERE NOT went AND NOT fails_here), 0) AS kept,
+         coalesce(sum(n) FILTER (WHERE NOT went AND fails_here), 0) AS removed,
+         coalesce(sum(n) FILTER (WHERE went AND fails_here), 0) AS redundant,
+         coalesce(sum(n) FILTER (WHERE fails_here AND n_fails = 1), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE NOT went AND fails_here), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (WHERE NOT went AND fails_here), 0) AS toxic_lost
+  FROM judged GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+       CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_quality_rules": QUALITY_RULES,
@@ -217,4 +269,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_substring_dedup": SUBSTRING_DEDUP,
         "op7_minhash_dedup": NEAR_DEDUP,
         "op10_line_dedup": LINE_DEDUP,
+        "op13_filter_audit": FILTER_AUDIT,
     }

@@ -29,11 +29,14 @@ COLUMNS = {
     },
 }
 
+#: Rows of the queries with SQL that do not give one per document.
+ROWS = {"op13_filter_audit": 12_000}
+
 
 @pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_query_equals_sql(spark, name):
     rows, problem = compare(spark, connect(SMALL), SMALL, entry.queries()[name], entry.oracle_sql()[name])
-    assert problem is None and rows == 200
+    assert problem is None and rows == ROWS.get(name, 200)
 
 
 def test_all_are_registered():
