@@ -75,8 +75,9 @@ def failing_ids(facts: DataFrame, store: StageStore, names: tuple[str, ...] = ("
         .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
         .where(F.col("least") < F.col("most"))
     )
-    # Both inputs are plain shuffles by digest, so a text that a third of all
-    # rows share is split by adaptive execution.
+    # Written, so that the join gets plain shuffles by digest on both sides and
+    # adaptive execution can split a text that a third of all rows share.
+    first = store.keep(first, "first_ids")
     later = facts.select("id", "digest", "doc_id").join(first, "digest").where(F.col("doc_id") > F.col("least"))
     tables["E"] = store.keep(later.select("id"), "fails_E")
     return tables
