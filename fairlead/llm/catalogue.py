@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm import bpe, classifier, filter_audit, fingerprint, line_dedup, lm_scoring, minhash, mixing, quality_rules, sharding, substring_dedup
+from fairlead.llm import bpe, classifier, conversation_repair, filter_audit, fingerprint, line_dedup, lm_scoring, minhash, mixing, quality_rules, sharding, substring_dedup
 from fairlead.llm.common import documents, sha256_hex
 from fairlead.llm.stages import Stages
 
@@ -103,6 +103,48 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Rows of conversations with faults drawn from conversation and turn (the query's test input)."""
+
+    def plain(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    fault = F.crc32(F.concat(plain("conv_id"), F.lit(":"), plain("turn")).cast("binary")) % 20
+    text = (
+        F.when(F.col("fault") == 1, "")
+        .when(F.col("fault") == 2, F.translate(plain("text"), ".!?", ""))
+        .otherwise(plain("text"))
+    )
+    role = F.when(F.col("fault") == 4, "user").otherwise(plain("role"))
+    times = F.when(F.col("fault") == 3, 2).otherwise(1)
+    return (
+        rows.select("conv_id", "turn", "role", "text", fault.alias("fault"))
+        .where("fault <> 0")
+        .select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(F.sequence(F.lit(1), times)))
+        .drop("col")
+    )
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every conversation after the contract's damage; a row per conversation."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    found = conversation_repair.repair(damaged(rows), Stages(spark))
+    digests = conversation_repair.joined_sha256(found.turns)
+    ids = rows.select("conv_id").distinct()
+    joined = (
+        ids.join(found.report.withColumnRenamed("conv", "of"), F.col("conv_id").eqNullSafe(F.col("of")), "left")
+        .drop("of")
+        .join(digests.withColumnRenamed("conv", "of"), F.col("conv_id").eqNullSafe(F.col("of")), "left")
+    )
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return joined.select(
+        "conv_id",
+        *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", sha256_hex(F.lit(""))).alias("repaired_sha256"),
+    )
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order of filters A to E over all documents, by source."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -122,6 +164,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality_classifier,
         op9_fingerprints,
         op10_line_dedup,
+        op11_conversation_repair,
         op13_filter_audit,
     )
     return {query.__name__: query for query in named}

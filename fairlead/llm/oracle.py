@@ -208,6 +208,85 @@ FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN sums USING (doc_id)
 """
 
 
+CONVERSATION_REPAIR = r"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+  FROM conversations),
+drawn AS (  -- CRC-32 bit by bit
+  SELECT conv_id, turn, role, text,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length(k) + 1),
+               lambda i: list_transform(range(0, 8), lambda j: CAST((ascii(k[i]) >> j) & 1 AS BIGINT))))),
+             lambda c, b: xor(c >> 1, xor(c & 1, b) * 3988292384)), 4294967295) % 20 AS fault
+  FROM keyed),
+turns AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM drawn, (SELECT unnest([1, 2]) AS copy) WHERE fault <> 0 AND (copy = 1 OR fault = 3)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+         regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS body
+  FROM turns),
+repeated AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again FROM placed),
+faulty AS (
+  SELECT *, substr(role, 1, 1) AS x, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS prev_x,
+         CASE WHEN body = '' THEN 1 WHEN again THEN 2 WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS f
+  FROM repeated),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE f = 1) AS blank, count(*) FILTER (WHERE f = 2) AS duplicate,
+         count(*) FILTER (WHERE f = 3) AS truncated,
+         count(*) FILTER (WHERE i > 1 AND prev_x || x NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM faulty GROUP BY conv_id),
+walk AS (  -- cheapest (cost, audit, result) by last role: none, system, user, assistant
+  SELECT conv_id, 0 AS i, {'c': 0, 'a': '', 'r': ''} AS z, {'c': 999999, 'a': '', 'r': ''} AS s,
+         {'c': 999999, 'a': '', 'r': ''} AS u, {'c': 999999, 'a': '', 'r': ''} AS a
+  FROM counts
+  UNION ALL
+  SELECT conv_id, i,
+         {DELETE z},
+         list_min([{DELETE s}, CASE WHEN f IN (0, 3) AND x = 's' THEN {KEEP z} END]),
+         list_min([{DELETE u}, CASE WHEN f IN (0, 3) AND x = 'u' THEN {KEEP e} END,
+                   CASE WHEN f IN (0, 3) THEN {REROLE e user} END]),
+         list_min([{DELETE a}, CASE WHEN f IN (0, 3) AND x = 'a' THEN {KEEP u} END,
+                   CASE WHEN f IN (0, 3) THEN {REROLE u assistant} END])
+  FROM (
+    SELECT *, list_min([z, s, a]) AS e FROM (
+      SELECT conv_id, i, x, f, role, text, more, z, s, u, list_min([a, {INSERT u assistant}]) AS a FROM (
+        SELECT w.conv_id, f.i, f.x, f.f, f.role, f.text, CASE WHEN f.f = 3 THEN 1 ELSE 0 END AS more, z, s, a,
+               list_min([u, {INSERT z user}, {INSERT s user}, {INSERT a user}]) AS u
+        FROM walk w JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1)))),
+ended AS (
+  SELECT w.conv_id, list_min([z, a, {INSERT u assistant}, {INSERT2 s}]) AS best
+  FROM walk w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.i)
+SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       CAST(coalesce(best.c, 0) AS BIGINT) AS cost, coalesce(best.a, '') AS audit,
+       sha256(coalesce(substr(best.r, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) d
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM d.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM d.conv_id
+"""
+
+
+def _spelled(template: str) -> str:
+    """Fills in the edits: ``{KEEP z}`` is the state ``z`` after its turn was kept."""
+
+    def state(of: str, cost: str, letters: str, line: str) -> str:
+        return f"{{'c': {of}.c + {cost}, 'a': {of}.a || '{letters}', 'r': {of}.r{line}}}"
+
+    for of in "zsuae":
+        inserted = {"user": " || chr(10) || 'user:'", "assistant": " || chr(10) || 'assistant:'"}
+        template = template.replace(f"{{DELETE {of}}}", state(of, "3", "D", ""))
+        template = template.replace(f"{{KEEP {of}}}", state(of, "more", "K", " || chr(10) || role || ':' || text"))
+        template = template.replace(f"{{INSERT2 {of}}}", state(of, "4", "II", "".join(inserted.values())))
+        for role, line in inserted.items():
+            template = template.replace(f"{{INSERT {of} {role}}}", state(of, "2", "I", line))
+            rerole = state(of, "2 + more", "R", f"{line} || text")
+            template = template.replace(f"{{REROLE {of} {role}}}", rerole)
+    return template
+
+
 FILTER_AUDIT = r"""
 WITH split AS (
   SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
@@ -269,5 +348,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_substring_dedup": SUBSTRING_DEDUP,
         "op7_minhash_dedup": NEAR_DEDUP,
         "op10_line_dedup": LINE_DEDUP,
+        "op11_conversation_repair": _spelled(CONVERSATION_REPAIR),
         "op13_filter_audit": FILTER_AUDIT,
     }
