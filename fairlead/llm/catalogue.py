@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm import bpe, classifier, conversation_repair, filter_audit, fingerprint, line_dedup, lm_scoring, minhash, mixing, quality_rules, sharding, substring_dedup
+from fairlead.llm import bpe, classifier, conversation_repair, embedding_dedup, filter_audit, fingerprint, line_dedup, lm_scoring, minhash, mixing, quality_rules, sharding, substring_dedup
 from fairlead.llm.common import documents, sha256_hex
 from fairlead.llm.stages import Stages
 
@@ -145,6 +145,12 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors among all embeddings, a row per vector."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return embedding_dedup.near_duplicate_vectors(rows, Stages(spark))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order of filters A to E over all documents, by source."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -165,6 +171,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_fingerprints,
         op10_line_dedup,
         op11_conversation_repair,
+        op12_embedding_dedup,
         op13_filter_audit,
     )
     return {query.__name__: query for query in named}

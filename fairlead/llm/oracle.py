@@ -287,6 +287,28 @@ def _spelled(template: str) -> str:
     return template
 
 
+EMBEDDING_DEDUP = r"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+usable AS (
+  SELECT * FROM vectors
+  WHERE label IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+   AND CASE WHEN len(a.v) = len(b.v) THEN list_cosine_similarity(a.v, b.v) >= 0.93 ELSE false END),
+reached AS (
+  SELECT vec_id, vec_id AS other FROM vectors
+  UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON r.other = l.a),
+components AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM components LEFT JOIN counts USING (vec_id)
+"""
+
+
 FILTER_AUDIT = r"""
 WITH split AS (
   SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
@@ -349,5 +371,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_minhash_dedup": NEAR_DEDUP,
         "op10_line_dedup": LINE_DEDUP,
         "op11_conversation_repair": _spelled(CONVERSATION_REPAIR),
+        "op12_embedding_dedup": EMBEDDING_DEDUP,
         "op13_filter_audit": FILTER_AUDIT,
     }

@@ -30,7 +30,7 @@ COLUMNS = {
 }
 
 #: Rows of the queries with SQL that do not give one per document.
-ROWS = {"op11_conversation_repair": 20, "op13_filter_audit": 12_000}
+ROWS = {"op11_conversation_repair": 20, "op12_embedding_dedup": 500, "op13_filter_audit": 12_000}
 
 
 @pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
