@@ -82,52 +82,103 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def ranges_of(ids: pd.Series, cuts: np.ndarray) -> np.ndarray:
-    """Range of each id: the number of cuts above it; null ids in the last range."""
-    known = ids.fillna(0).to_numpy(np.int64)
-    above = len(cuts) - np.searchsorted(cuts, known, side="right")
-    return np.where(ids.isna(), len(cuts), above).astype(np.int32)
+# --- Ranges of documents in order -------------------------------------------
 
+#: Keys sampled per range to find the cuts.
+SAMPLED_PER_RANGE = 20
+KEY = ("is_null", "down", "opening", "digest")
+OPENING = 32
 
-def with_next_document(
-    docs: DataFrame, rows_per_range: int, most_ranges: int, id_col: str, text_col: str
-) -> DataFrame:
-    """Rows dealt to ranges of ids, each range with the first row of the next as guest.
 
-    Range 0 has the largest ids. Ranges are cut at approximate quantiles of the
-    ids; a cut and a top id per range, at most ``most_ranges``, come to the
-    driver, found on the id column alone. The last range has the first row of
-    all as guest.
+def with_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text) and the columns that order them: descending id, nulls last, then text.
+
+    ``down`` falls as the id grows and is never null. Texts of one id are
+    ordered by their first characters (without U+0000, which numpy drops), then
+    by a digest. ``row`` differs for every row, also for equal ones.
     """
     slim = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
-    n = min(most_ranges, math.ceil(docs.count() / rows_per_range))
-    found = slim.stat.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.2 / n) if n > 1 else []
-    cuts = np.unique(np.array(found, np.int64))
+    return slim.withColumns(
+        {
+            "is_null": F.col("doc_id").isNull(),
+            "down": F.bitwise_not(F.coalesce("doc_id", F.lit(0))),
+            "opening": F.translate(F.left("text", F.lit(OPENING)), "\0", ""),
+            "digest": F.xxhash64("text"),
+            "row": F.monotonically_increasing_id(),
+        }
+    )
+
+
+def key_array(is_null, down, opening, digest) -> np.ndarray:
+    """The key columns as one array of comparable records."""
+    kinds = ("?", "<i8", f"<U{OPENING}", "<i8")
+    keys = np.empty(len(down), list(zip(KEY, kinds, strict=True)))
+    for name, column in zip(KEY, (is_null, down, opening, digest), strict=True):
+        keys[name] = column
+    return keys
+
+
+def cuts_of(keyed: DataFrame, bytes_per_range: int, most_ranges: int) -> np.ndarray:
+    """Keys that cut the documents into ranges of about equal size in bytes.
+
+    Found from a sample of at most some twenty keys a range. A key that holds
+    more than a range (one id and text in many rows) is cut several times.
+    """
+    n, size = keyed.agg(F.count("*"), F.sum(F.octet_length("text") + 1)).first()
+    ranges = min(most_ranges, math.ceil((size or 0) / bytes_per_range))
+    if ranges < 2:
+        return key_array([], [], [], [])
+    step = max(1, n // (ranges * SAMPLED_PER_RANGE))
+    weighed = keyed.select(*KEY, (F.octet_length("text") + 1).alias("size"), "row")
+    rows = weighed.where(F.pmod(F.xxhash64("row"), F.lit(step)) == 0).limit(2 * ranges * SAMPLED_PER_RANGE).collect()
+    keys = key_array(*([r[name] for r in rows] for name in KEY))
+    order = np.argsort(keys, order=KEY, kind="stable")
+    passed = np.cumsum(np.array([r["size"] for r in rows], float)[order])
+    at = np.searchsorted(passed, passed[-1] * np.arange(1, ranges) / ranges)
+    return keys[order][at]
+
+
+def ranges_of(keys: np.ndarray, rows: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Range of each key: the number of cuts below it.
+
+    A key that is itself cut lies on both sides of its cuts: its rows are dealt
+    to all ranges that touch it, by their number.
+    """
+    first = np.searchsorted(cuts, keys, side="left")
+    beyond = np.searchsorted(cuts, keys, side="right")
+    return (first + rows % (beyond - first + 1)).astype(np.int32)
+
+
+def with_next_document(
+    docs: DataFrame, bytes_per_range: int, most_ranges: int, id_col: str, text_col: str
+) -> DataFrame:
+    """Rows dealt to ranges in order, each range with the first row of the next as guest.
+
+    The cuts and the number of the first row of each range, at most
+    ``most_ranges``, come to the driver. The last range has the first row of
+    all as guest.
+    """
+    keyed = with_keys(docs, id_col, text_col)
+    cuts = cuts_of(keyed, bytes_per_range, most_ranges)
 
     @F.pandas_udf("int")
-    def own_range(ids: pd.Series) -> pd.Series:
-        return pd.Series(ranges_of(ids, cuts))
+    def own_range(is_null: pd.Series, down: pd.Series, opening: pd.Series, digest: pd.Series, row: pd.Series) -> pd.Series:
+        return pd.Series(ranges_of(key_array(is_null, down, opening, digest), row.to_numpy(), cuts))
 
-    found = slim.groupBy(own_range("doc_id").alias("range")).agg(F.max("doc_id").alias("top")).collect()
-    tops = {r["range"]: r["top"] for r in found}
-    order = sorted(tops)
-    hosts = {r: order[i - 1] for i, r in enumerate(order)}
+    ranged = keyed.withColumn("own", own_range(*KEY, "row") if len(cuts) else F.lit(0))
+    found = ranged.groupBy("own").agg(F.min(F.struct(*KEY, "row"))["row"].alias("first")).collect()
+    firsts = {r["own"]: r["first"] for r in found}
+    order = sorted(firsts)
+    visits = {firsts[r]: order[i - 1] for i, r in enumerate(order)}  # number of a first row -> the range it visits
 
     @F.pandas_udf("array<int>")
-    def visited(ids: pd.Series) -> pd.Series:
-        # Its own range, then the one it visits as the first row of its own.
-        own = ranges_of(ids, cuts)
-        return pd.Series(
-            [
-                [r, hosts[r]] if (tops[r] is None if pd.isna(i) else tops[r] == i) else [r]
-                for i, r in zip(ids, own.tolist(), strict=True)
-            ]
-        )
+    def visited(own: pd.Series, row: pd.Series) -> pd.Series:
+        return pd.Series([[r, visits[i]] if i in visits else [r] for r, i in zip(own, row, strict=True)])
 
-    return slim.select("doc_id", "text", F.posexplode(visited("doc_id")).alias("guest", "range"))
+    return ranged.select(*KEY, "row", "doc_id", "text", F.posexplode(visited("own", "row")).alias("guest", "range"))
 
 
 OUTPUT = (
@@ -165,7 +216,7 @@ def compare_rows(rows: list[tuple[int, str]], following: str) -> pa.RecordBatch:
 
 def fingerprint_documents(
     docs: DataFrame,
-    rows_per_range: int = 2_000,
+    bytes_per_range: int = 8 << 20,
     most_ranges: int = 10_000,
     batch_chars: int = 1 << 20,
     id_col: str = "doc_id",
@@ -178,33 +229,29 @@ def fingerprint_documents(
     by the first, a single one by itself. Columns: doc_id, n_chars, edited,
     fingerprint, edited_fingerprint (hex), near_edited, near_next. A null text
     counts as empty; texts without words have the empty fingerprint, likeness 1
-    to each other and 0 to others. Null ids come last, equal ids are ordered by
-    text, equal rows follow one another. Equal texts have equal fingerprints.
+    to each other and 0 to others. Null ids come last, rows of one id are
+    ordered by the first characters of the text and then by its digest, equal
+    rows follow one another. Equal texts
+    have equal fingerprints. An empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows arrive by range; a guest ends its range or, if its id
-        # repeats there, only its first row counts.
+        # Rows arrive by range, each range ends with its guest.
         held: list[tuple[int, str]] = []
-        size, current, closed = 0, None, False
+        size = 0
         for batch in batches:
-            columns = (batch.column(i) for i in range(4))
-            for doc_id, text, place, guest in zip(*columns, strict=True):
-                doc_id, text, place = doc_id.as_py(), text.as_py(), place.as_py()
-                if place != current:
-                    current, closed = place, False
-                if guest.as_py():
-                    if held and not closed:
-                        yield compare_rows(held, text)
-                    held, size, closed = [], 0, True
-                    continue
-                if size >= batch_chars:
+            columns = (batch.column(i) for i in range(3))
+            for doc_id, text, guest in zip(*columns, strict=True):
+                doc_id, text = doc_id.as_py(), text.as_py()
+                if held and (guest.as_py() or size >= batch_chars):
                     yield compare_rows(held, text)
                     held, size = [], 0
-                held.append((doc_id, text))
-                size += len(text)
-
-    dealt = with_next_document(docs, rows_per_range, most_ranges, id_col, text_col)
-    turn = [F.col("range"), F.col("guest"), F.col("doc_id").desc_nulls_last(), F.col("text")]
-    ordered = dealt.repartition("range").sortWithinPartitions(*turn)
-    return ordered.select("doc_id", "text", "range", "guest").mapInArrow(run, OUTPUT)
+                if not guest.as_py():
+                    held.append((doc_id, text))
+                    size += len(text)
+        if held:
+            raise RuntimeError(f"a range of documents ends without the next one; {len(held)} rows would be lost")
+
+    dealt = with_next_document(docs, bytes_per_range, most_ranges, id_col, text_col)
+    ordered = dealt.repartition("range").sortWithinPartitions("range", "guest", *KEY, "row")
+    return ordered.select("doc_id", "text", "guest").mapInArrow(run, OUTPUT)

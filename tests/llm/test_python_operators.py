@@ -354,7 +354,7 @@ def brute_edited(rows):
     return Counter(out)
 
 
-@pytest.mark.parametrize("options", [{}, {"rows_per_range": 3, "batch_chars": 10}])
+@pytest.mark.parametrize("options", [{}, {"bytes_per_range": 60, "batch_chars": 10}])
 def test_fingerprints_follow_the_next_document(edge_docs, edge_rows, options):
     rows = fingerprint.fingerprint_documents(edge_docs, **options).collect()
     assert Counter((r.doc_id, r.n_chars, r.edited) for r in rows) == brute_edited(edge_rows)
@@ -369,7 +369,7 @@ def test_likeness_is_close_to_the_truth(make_docs):
     rng = random.Random(4)
     texts = [" ".join(f"v{rng.randint(0, 400)}" for _ in range(rng.randint(50, 300))) for _ in range(150)]
     texts += [texts[0], texts[0].upper()]
-    rows = {r.doc_id: r for r in fingerprint.fingerprint_documents(make_docs(texts), rows_per_range=20).collect()}
+    rows = {r.doc_id: r for r in fingerprint.fingerprint_documents(make_docs(texts), bytes_per_range=10_000).collect()}
     errors = []
     for d, r in rows.items():
         a, b = shingle_set(texts[d]), shingle_set(r.edited)
@@ -383,3 +383,27 @@ def test_fingerprints_of_few_rows(make_docs, no_docs):
     assert fingerprint.fingerprint_documents(no_docs).count() == 0
     row = fingerprint.fingerprint_documents(make_docs(["a b c d e f g"])).collect()
     assert [(r.edited, r.near_next) for r in row] == [("a b c da b c ", 1.0)]
+
+
+@pytest.mark.parametrize("options", [{}, {"bytes_per_range": 200}])
+def test_fingerprints_keep_large_and_null_ids(spark, options):
+    """Ids beyond 2**53 next to nulls in every batch: one row out for every row in."""
+    big = 2**53
+    ids = [big + 1, None, big + 3, big + 2, None, 2**63 - 1, -(2**63), None] * 3
+    rows = [(d if d is None else d - (i % 3 if abs(d) <= big + 3 else 0), f"text {i} of some words here") for i, d in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = fingerprint.fingerprint_documents(docs, **options).collect()
+    assert Counter((r.doc_id, r.n_chars, r.edited) for r in got) == brute_edited(rows)
+
+
+def test_fingerprints_of_one_id_are_dealt_to_many_ranges(spark):
+    """One id on two thirds of the rows, half of them equal: no range holds more than its share."""
+    rows = [(5, "the same text again and again") for _ in range(4_000)]
+    rows += [(5, f"number {i} has its own text") for i in range(4_000)]
+    rows += [(i, f"document {i}") for i in range(10, 2_010)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    dealt = fingerprint.with_next_document(docs, 4_096, 10_000, "doc_id", "text")
+    sizes = [r["count"] for r in dealt.groupBy("range").count().collect()]
+    assert sum(sizes) == len(rows) + len(sizes) and max(sizes) < 600
+    got = fingerprint.fingerprint_documents(docs, bytes_per_range=4_096).collect()
+    assert Counter((r.doc_id, r.n_chars, r.edited) for r in got) == brute_edited(rows)
