@@ -101,6 +101,8 @@ class EncounterConfig:
     near_cell_factor: float = 4.0
     # Reports in one cell above which its pairing is divided among tasks.
     crowded_cell_rows: int = 20_000
+    # Comparisons per report up to which closest pairs are sought report by report.
+    comparisons_per_report: int = 2_000
     # Rows of a side table, checked before the join, up to which it is broadcast.
     broadcast_rows: int = 100_000
 

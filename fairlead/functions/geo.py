@@ -13,14 +13,20 @@ from fairlead.config import EARTH_RADIUS_NM, METRES_PER_NM
 EDGE_PAD_DEG = 1e-9
 
 
+def half_chord(d_lat: Column, d_lon: Column, cosines: Column) -> Column:
+    """Half the angle between two points from their differences in radians.
+
+    ``cosines`` is the product of the cosines of both latitudes.
+    """
+    chord = F.pow(F.sin(d_lat / 2), 2) + cosines * F.pow(F.sin(d_lon / 2), 2)
+    # Rounding can push antipodal points just past 1, where asin is NaN.
+    return F.nanvl(F.asin(F.sqrt(chord)), F.lit(math.pi / 2))
+
+
 def great_circle_nm(lat_a: Column, lon_a: Column, lat_b: Column, lon_b: Column) -> Column:
     """Haversine distance in nautical miles; NULL when any input is NULL."""
     phi_a, phi_b = F.radians(lat_a), F.radians(lat_b)
-    across_lat = F.pow(F.sin((phi_b - phi_a) / 2), 2)
-    across_lon = F.pow(F.sin(F.radians(lon_b - lon_a) / 2), 2)
-    chord = across_lat + F.cos(phi_a) * F.cos(phi_b) * across_lon
-    # Rounding can push antipodal points just past 1, where asin is NaN.
-    half_angle = F.nanvl(F.asin(F.sqrt(chord)), F.lit(math.pi / 2))
+    half_angle = half_chord(phi_b - phi_a, F.radians(lon_b - lon_a), F.cos(phi_a) * F.cos(phi_b))
     return half_angle * F.lit(2 * EARTH_RADIUS_NM)
 
 

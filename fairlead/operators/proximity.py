@@ -104,14 +104,10 @@ def near_grid(cfg: EncounterConfig = DEFAULT_CONFIG) -> Grid:
     )
 
 
-def crowded_cells(
-    points: DataFrame, grid: Grid, cfg: EncounterConfig = DEFAULT_CONFIG
-) -> DataFrame:
-    """Cells with more than ``crowded_cell_rows`` reports on either side of the join.
+def cell_counts(points: DataFrame, grid: Grid) -> DataFrame:
+    """Reports of each cell and a bound of the ``copies`` that reach it.
 
-    ``shares`` and ``right_shares`` tell how many parts the reports of the cell,
-    and the copies that reach it from its neighbours, are dealt into. Rows
-    are counted per cell once; the copies are bounded by the neighbours' counts.
+    Rows are counted per cell once; the copies are bounded by the neighbours' counts.
     """
     keys = ["file_day", *CELL]
     counts = grid.locate(points).groupBy(*keys).count()
@@ -119,13 +115,24 @@ def crowded_cells(
     for cell in CELL:
         near = F.explode(F.array(*(F.col(cell) + step for step in (-1, 0, 1))))
         around = around.withColumn(cell, near)
-    reached = around.groupBy(*keys).agg(F.sum("count").alias("copies"))
+    return counts.join(around.groupBy(*keys).agg(F.sum("count").alias("copies")), keys)
+
+
+def crowded_cells(
+    points: DataFrame, grid: Grid, cfg: EncounterConfig = DEFAULT_CONFIG
+) -> DataFrame:
+    """Cells with more than ``crowded_cell_rows`` reports on either side of the join.
+
+    ``shares`` and ``right_shares`` tell how many parts the reports of the cell,
+    and the copies that reach it from its neighbours, are dealt into.
+    """
+    keys = ["file_day", *CELL]
 
     def shares(rows: str) -> Column:
         return F.ceil(F.col(rows) / F.lit(cfg.crowded_cell_rows)).cast("int")
 
     return (
-        counts.join(reached, keys)
+        cell_counts(points, grid)
         .where(F.col("copies") > cfg.crowded_cell_rows)
         .select(*keys, shares("count").alias("shares"), shares("copies").alias("right_shares"))
     )
@@ -223,6 +230,11 @@ def closest_pairs(near: DataFrame, points: DataFrame) -> DataFrame:
         .agg(best.alias("best"))
         .select("file_day", F.col("mmsi").alias("mmsi_1"), F.col("b_mmsi").alias("mmsi_2"), "best.*")
     )
+    return with_reports(won, points)
+
+
+def with_reports(won: DataFrame, points: DataFrame) -> DataFrame:
+    """Candidate rows of pairs of times and places, with the rest of both reports from ``points``."""
     for n, prefix in ((1, ""), (2, "b_")):
         report = points.select(
             "file_day",

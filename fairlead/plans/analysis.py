@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairlead.config import DEFAULT_CONFIG, EncounterConfig
+from fairlead.operators.closest import closest_on_each_day
 from fairlead.operators.confirm import candidate_windows, confirm_encounters, pair_points
 from fairlead.operators.motion import clean_points
 from fairlead.operators.proximity import (
@@ -15,7 +16,6 @@ from fairlead.operators.proximity import (
     Grid,
     band_grid,
     band_pairs,
-    closest_pairs,
     crowded_cells,
     near_grid,
     near_pairs,
@@ -83,7 +83,7 @@ class EncounterAnalysis:
 
     @property
     def closest_pairs(self) -> DataFrame:
-        return closest_pairs(self.near_pairs, proximity_points(self.clean))
+        return closest_on_each_day(proximity_points(self.clean), self.store, self.cfg)
 
     @cached_property
     def candidates(self) -> DataFrame:

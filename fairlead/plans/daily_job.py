@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairlead.config import DEFAULT_CONFIG, EncounterConfig
+from fairlead.operators.closest import closest_on_each_day
 from fairlead.operators.confirm import PAIR, confirm_encounters
 from fairlead.operators.motion import clean_points
-from fairlead.operators.proximity import closest_pairs, proximity_points
+from fairlead.operators.proximity import proximity_points
 from fairlead.operators.ranking import rank_events
 from fairlead.operators.report import event_summary, impact_points, top_event_tracks
 from fairlead.operators.severity import extract_tracks, score_severity, scored_events
-from fairlead.plans.analysis import all_near_pairs
 from fairlead.sources.day_tables import DayTable
 from fairlead.sources.position_files import discover_files, files_by_day, read_points
 from fairlead.sources.stages import StageStore
@@ -100,8 +100,7 @@ class DailyJob:
         days = self._behind(self.candidates, self.clean, requested)
         if days:
             with StageStore(self.spark, f"{self.root}/stages") as store:
-                clean = self.clean.read(list(days))
-                found = closest_pairs(all_near_pairs(clean, store, cfg), proximity_points(clean))
+                found = closest_on_each_day(proximity_points(self.clean.read(list(days))), store, cfg)
                 timed = with_times(found, timestamp_1="ts_1", timestamp_2="ts_2")
                 self.candidates.write(timed, days)
 
