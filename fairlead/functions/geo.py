@@ -68,6 +68,13 @@ def lerp(start: Column, end: Column, fraction: Column) -> Column:
     return start + fraction * (end - start)
 
 
+def leg_position(side: str, axis: str, at: Column) -> Column:
+    """``axis`` (lat or lon) at a second of the leg whose columns begin with ``side``."""
+    began, ended = F.col(f"{side}_start_ts"), F.col(f"{side}_end_ts")
+    fraction = (at - began) / (ended - began)
+    return lerp(F.col(f"{side}_start_{axis}"), F.col(f"{side}_end_{axis}"), fraction)
+
+
 def bucket(value: Column, width: float | int) -> Column:
     """Index of the bucket of ``width`` that ``value`` falls into (bigint)."""
     return F.floor(value / F.lit(width))

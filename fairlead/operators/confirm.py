@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fairlead.config import DEFAULT_CONFIG, EncounterConfig
-from fairlead.functions.geo import bucket, buckets_touched, great_circle_nm, lerp, metres
+from fairlead.functions.geo import bucket, buckets_touched, great_circle_nm, leg_position, metres
+from fairlead.operators.approach import seconds_of_closest, seconds_within
 
 PAIR = ("file_day", "pair_id")
 
@@ -154,19 +155,19 @@ def _flatten_overlaps(met: DataFrame) -> DataFrame:
     )
 
 
-def interpolated_seconds(overlaps: DataFrame) -> DataFrame:
-    """Both positions at every second of each overlap, ends included."""
-    ticking = overlaps.withColumn("interp_ts", F.explode(F.sequence("overlap_start", "overlap_end")))
-
-    def position(side: str, axis: str):
-        began, ended = F.col(f"{side}_start_ts"), F.col(f"{side}_end_ts")
-        fraction = (F.col("interp_ts") - began) / (ended - began)
-        return lerp(F.col(f"{side}_start_{axis}"), F.col(f"{side}_end_{axis}"), fraction)
-
+def interpolated_seconds(
+    overlaps: DataFrame, first: str = "overlap_start", last: str = "overlap_end"
+) -> DataFrame:
+    """Both positions at every second from ``first`` to ``last`` of each overlap, ends included."""
+    ticking = overlaps.withColumn("interp_ts", F.explode(F.sequence(first, last)))
     return ticking.select(
         *PAIR,
         "interp_ts",
-        *(position(s, x).alias(f"{x}_{s}") for s in ("a", "b") for x in ("lat", "lon")),
+        *(
+            leg_position(side, axis, F.col("interp_ts")).alias(f"{axis}_{side}")
+            for side in ("a", "b")
+            for axis in ("lat", "lon")
+        ),
     )
 
 
@@ -183,16 +184,33 @@ def encounter_seconds(
     return near.withColumn("distance_m", metres(F.col("distance_nm"))).drop("distance_nm")
 
 
+PLACES = ("lat_a", "lon_a", "lat_b", "lon_b")
+
+
+def close_seconds(overlaps: DataFrame, cfg: EncounterConfig = DEFAULT_CONFIG) -> DataFrame:
+    """:func:`encounter_seconds` of overlaps, from the closed form instead of all their seconds."""
+    near = seconds_within(overlaps, cfg)
+    return encounter_seconds(interpolated_seconds(near, "first", "last"), cfg)
+
+
 def closest_seconds(encounters: DataFrame) -> DataFrame:
-    """Closest second of each pair, the earliest one on ties."""
-    hit = F.min(F.struct("distance_m", "interp_ts")).alias("hit")
+    """Closest second of each pair and both interpolated places, the earliest second on ties."""
+    hit = F.min(F.struct("distance_m", "interp_ts", *PLACES)).alias("hit")
     return encounters.groupBy(*PAIR).agg(hit).select(
         *PAIR,
         F.col("hit.interp_ts").alias("collision_ts"),
         F.round("hit.distance_m", 3).alias("collision_distance_m"),
+        F.col("hit.lat_a").alias("collision_latitude_1"),
+        F.col("hit.lon_a").alias("collision_longitude_1"),
+        F.col("hit.lat_b").alias("collision_latitude_2"),
+        F.col("hit.lon_b").alias("collision_longitude_2"),
     )
 
 
+#: Interpolated places of both vessels at the closest second.
+COLLISION_PLACES = tuple(f"collision_{axis}_{n}" for n in (1, 2) for axis in ("latitude", "longitude"))
+
+
 def confirm_encounters(
     points: DataFrame, candidates: DataFrame, cfg: EncounterConfig = DEFAULT_CONFIG
 ) -> DataFrame:
@@ -203,14 +221,15 @@ def confirm_encounters(
     closest = (
         together.transform(segments)
         .transform(overlapping_segments)
-        .transform(interpolated_seconds)
+        .transform(seconds_of_closest, cfg)
+        .transform(interpolated_seconds, "first", "last")
         .transform(encounter_seconds, cfg)
         .transform(closest_seconds)
     )
     named = windows.select(*PAIR, "mmsi_1", "mmsi_2", "name_1", "name_2")
     return closest.join(named, list(PAIR)).select(
         *PAIR, "mmsi_1", "mmsi_2", "name_1", "name_2",
-        "collision_ts", "collision_distance_m",
+        "collision_ts", "collision_distance_m", *COLLISION_PLACES,
         (F.col("collision_ts") - F.lit(cfg.track_window_sec)).alias("window_start"),
         (F.col("collision_ts") + F.lit(cfg.track_window_sec)).alias("window_end"),
     )

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fairlead.operators.confirm import PAIR
-from fairlead.operators.severity import top_events
+from fairlead.config import DEFAULT_CONFIG, EncounterConfig
+from fairlead.functions.exact import exact_mean
+from fairlead.operators.confirm import COLLISION_PLACES, PAIR
+from fairlead.operators.severity import or_silent, sog_after_encounter, sog_before_encounter, top_events
 
 
 def top_event_tracks(scored: DataFrame, n: int = 1) -> DataFrame:
@@ -32,11 +34,15 @@ def impact_points(tracks: DataFrame) -> DataFrame:
     )
 
 
-def event_summary(scored: DataFrame, events: DataFrame) -> DataFrame:
-    """One row per scored event: when, who, where, how fast.
+def event_summary(
+    scored: DataFrame, events: DataFrame, cfg: EncounterConfig = DEFAULT_CONFIG
+) -> DataFrame:
+    """One row per scored event: when, who, where, how fast, and how much slower afterwards.
 
-    ``events`` are the confirmed encounters, which add the interpolated
-    distance at the encounter.
+    ``impact_`` columns are the nearest reports in time, ``collision_`` columns
+    the interpolated places and distance, which ``events`` (the confirmed
+    encounters) hold. The mean speeds before and after and their ratio
+    are those that scored the event.
     """
 
     def vessel(n: int) -> list[Column]:
@@ -45,25 +51,33 @@ def event_summary(scored: DataFrame, events: DataFrame) -> DataFrame:
         return [
             F.min(F.when(here, _nearest_report())).alias(f"hit_{n}"),
             F.min(F.when(named, F.struct("ts", "name"))).alias(f"named_{n}"),
+            or_silent(exact_mean(F.when(here, sog_before_encounter())), cfg).alias(f"mean_sog_before_{n}"),
+            or_silent(exact_mean(F.when(here, sog_after_encounter())), cfg).alias(f"mean_sog_after_{n}"),
         ]
 
     found = scored.groupBy(*PAIR, "collision_ts", "pair_mmsi_1", "pair_mmsi_2").agg(
         F.first("mean_pair_proportion").alias("mean_pair_proportion"), *vessel(1), *vessel(2)
     )
-    distances = events.select(*PAIR, "collision_distance_m")
+    places = events.select(*PAIR, "collision_distance_m", *COLLISION_PLACES)
 
     def described(n: int) -> list[Column]:
         mmsi, hit = F.col(f"pair_mmsi_{n}"), f"hit_{n}"
         label = F.coalesce(f"named_{n}.name", F.concat(F.lit("Vessel "), mmsi))
+        before, after = F.col(f"mean_sog_before_{n}"), F.col(f"mean_sog_after_{n}")
         return [
             mmsi.alias(f"mmsi_{n}"),
             label.alias(f"vessel_{n}"),
             F.round(f"{hit}.latitude", 5).alias(f"impact_latitude_{n}"),
             F.round(f"{hit}.longitude", 5).alias(f"impact_longitude_{n}"),
             F.col(f"{hit}.sog").alias(f"impact_sog_{n}"),
+            F.col(f"collision_latitude_{n}"),
+            F.col(f"collision_longitude_{n}"),
+            before,
+            after,
+            F.try_divide(before, after).alias(f"sog_proportion_{n}"),
         ]
 
-    return found.join(distances, list(PAIR)).select(
+    return found.join(places, list(PAIR)).select(
         *PAIR, "collision_ts", "collision_distance_m", "mean_pair_proportion",
         *described(1), *described(2),
     )

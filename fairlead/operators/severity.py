@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fairlead.config import DEFAULT_CONFIG, EncounterConfig
+from fairlead.functions.exact import exact_mean
 from fairlead.operators.confirm import PAIR, by_vessel, points_in_windows
 from fairlead.operators.quality import distinct_observations
 
@@ -47,15 +48,15 @@ def unite_tracks(
     return distinct_observations(first.unionByName(second), keys, cfg)
 
 
-def _sog_before() -> Column:
+def sog_before_encounter() -> Column:
     return F.when(F.col("ts") < F.col("collision_ts"), F.col("sog"))
 
 
-def _sog_after() -> Column:
+def sog_after_encounter() -> Column:
     return F.when(F.col("ts") > F.col("collision_ts"), F.col("sog"))
 
 
-def _or_silent(mean: Column, cfg: EncounterConfig) -> Column:
+def or_silent(mean: Column, cfg: EncounterConfig) -> Column:
     return F.coalesce(mean, F.lit(cfg.silent_sog))
 
 
@@ -63,12 +64,13 @@ def sog_before_after(tracks: DataFrame, cfg: EncounterConfig = DEFAULT_CONFIG) -
     """Mean speed before and after the encounter and their ratio, per vessel.
 
     A side without any reported speed counts as a silent transponder. A vessel
-    that reports standing still afterwards has no ratio.
+    that reports standing still afterwards has no ratio. The means are exact, so
+    they agree to the bit with :func:`score_severity` in any layout.
     """
     means = tracks.groupBy(*PAIR, "mmsi").agg(
-        F.avg(_sog_before()).alias("before"), F.avg(_sog_after()).alias("after")
+        exact_mean(sog_before_encounter()).alias("before"), exact_mean(sog_after_encounter()).alias("after")
     )
-    before, after = _or_silent(F.col("before"), cfg), _or_silent(F.col("after"), cfg)
+    before, after = or_silent(F.col("before"), cfg), or_silent(F.col("after"), cfg)
     return means.select(
         *PAIR,
         "mmsi",
@@ -94,15 +96,10 @@ def score_severity(tracks: DataFrame, cfg: EncounterConfig = DEFAULT_CONFIG) ->
     over one shuffle by pair replace two aggregations and a join that would
     compute the tracks twice. A pair holds some twenty minutes of two vessels.
     """
-    # Summing in time order makes the means independent of task layout.
-    vessel = (
-        Window.partitionBy(*PAIR, "vessel_in_pair")
-        .orderBy("ts")
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    )
+    vessel = Window.partitionBy(*PAIR, "vessel_in_pair")
     pair = Window.partitionBy(*PAIR)
-    before = _or_silent(F.avg(_sog_before()).over(vessel), cfg)
-    after = _or_silent(F.avg(_sog_after()).over(vessel), cfg)
+    before = or_silent(exact_mean(sog_before_encounter(), vessel), cfg)
+    after = or_silent(exact_mean(sog_after_encounter(), vessel), cfg)
     rated = tracks.repartition(*PAIR).withColumn("ratio", F.try_divide(before, after))
     for n in (1, 2):
         of_vessel = F.when(F.col("vessel_in_pair") == n, F.col("ratio"))

@@ -120,4 +120,4 @@ class EncounterAnalysis:
 
     @property
     def summary(self) -> DataFrame:
-        return event_summary(self.scored, self.events)
+        return event_summary(self.scored, self.events, self.cfg)

@@ -266,16 +266,12 @@ def segment_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return confirm.overlapping_segments(segments(spark, sf_dir))
 
 
-def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return confirm.interpolated_seconds(segment_overlap(spark, sf_dir))
-
-
 def interpolated_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _positions(spark, sf_dir)
+    return confirm.interpolated_seconds(segment_overlap(spark, sf_dir))
 
 
 def encounter_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    met = confirm.encounter_seconds(_positions(spark, sf_dir), CFG)
+    met = confirm.close_seconds(segment_overlap(spark, sf_dir), CFG)
     return rounded(met.select("file_day", "pair_id", "interp_ts", "distance_m"), distance_m=3)
 
 
@@ -344,7 +340,8 @@ def impact_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(
         analysis(spark, sf_dir).summary,
-        collision_distance_m=3, mean_pair_proportion=6, impact_sog_1=6, impact_sog_2=6,
+        collision_distance_m=3, mean_pair_proportion=6,
+        **{f"{c}_{n}": 6 for c in ("impact_sog", "mean_sog_before", "mean_sog_after", "sog_proportion") for n in (1, 2)},
     )
 
 

@@ -37,7 +37,9 @@ CANDIDATE_SCHEMA = (
 )
 EVENT_SCHEMA = (
     "pair_id string, mmsi_1 string, mmsi_2 string, name_1 string, name_2 string,"
-    " collision_ts bigint, collision_distance_m double, window_start bigint, window_end bigint,"
+    " collision_ts bigint, collision_distance_m double, collision_latitude_1 double,"
+    " collision_longitude_1 double, collision_latitude_2 double, collision_longitude_2 double,"
+    " window_start bigint, window_end bigint,"
     " file_day string"
 )
 TRACK_SCHEMA = (
@@ -133,7 +135,7 @@ class DailyJob:
             ranks = rank_events(scored_events(scored), store).select(*PAIR, "event_rank")
             tables = {
                 "ranked_tracks": scored.join(ranks, list(PAIR)),
-                "event_summary": event_summary(scored, events).join(ranks, list(PAIR)),
+                "event_summary": event_summary(scored, events, self.cfg).join(ranks, list(PAIR)),
                 "top_event_tracks": top_event_tracks(scored, top),
                 "impact_points": impact_points(scored),
             }

@@ -166,6 +166,8 @@ _STEPS: dict[str, str] = {
     "hits": f"""
         SELECT h.file_day, h.pair_id, w.mmsi_1, w.mmsi_2, w.name_1, w.name_2,
                h.interp_ts AS collision_ts, h.distance_m AS collision_distance_m,
+               h.lat_a AS collision_latitude_1, h.lon_a AS collision_longitude_1,
+               h.lat_b AS collision_latitude_2, h.lon_b AS collision_longitude_2,
                h.interp_ts - {CFG.track_window_sec} AS window_start,
                h.interp_ts + {CFG.track_window_sec} AS window_end
         FROM (SELECT *, row_number() OVER (PARTITION BY file_day, pair_id
@@ -235,6 +237,9 @@ _RANKED_TRACK = f"{_TRACK}, round(mean_pair_proportion, 6) AS mean_pair_proporti
 _EVENT = """file_day, pair_id, mmsi_1, mmsi_2, collision_ts,
     round(collision_distance_m, 3) AS collision_distance_m"""
 
+_PLACES = """collision_latitude_1, collision_longitude_1, collision_latitude_2,
+    collision_longitude_2"""
+
 
 def _unpivoted_rules() -> str:
     return " UNION ALL ".join(
@@ -363,7 +368,7 @@ def oracle_sql() -> dict[str, str]:
             "meetings",
         ),
         "confirmed_events": sql(
-            f"SELECT {_EVENT}, name_1, name_2, window_start, window_end FROM hits", "hits"
+            f"SELECT {_EVENT}, {_PLACES}, name_1, name_2, window_start, window_end FROM hits", "hits"
         ),
         "event_tracks": sql(f"SELECT {_TRACK} FROM tracks", "tracks"),
         "track_union": sql(f"SELECT {_TRACK} FROM tracks", "tracks"),
@@ -416,11 +421,17 @@ def _summary_select() -> str:
         coalesce(l{n}.name, concat('Vessel ', e.pair_mmsi_{n})) AS vessel_{n},
         round(i{n}.latitude, 5) AS impact_latitude_{n},
         round(i{n}.longitude, 5) AS impact_longitude_{n},
-        round(i{n}.sog, 6) AS impact_sog_{n}"""
+        round(i{n}.sog, 6) AS impact_sog_{n},
+        h.collision_latitude_{n}, h.collision_longitude_{n},
+        round(r{n}.mean_sog_before, 6) AS mean_sog_before_{n},
+        round(r{n}.mean_sog_after, 6) AS mean_sog_after_{n},
+        round(r{n}.sog_proportion, 6) AS sog_proportion_{n}"""
     joins = """LEFT JOIN impacts i{n} ON i{n}.file_day = e.file_day AND i{n}.pair_id = e.pair_id
           AND i{n}.vessel_in_pair = {n}
         LEFT JOIN labels_of_vessels l{n} ON l{n}.file_day = e.file_day
-          AND l{n}.pair_id = e.pair_id AND l{n}.vessel_in_pair = {n}"""
+          AND l{n}.pair_id = e.pair_id AND l{n}.vessel_in_pair = {n}
+        JOIN ratios r{n} ON r{n}.file_day = e.file_day AND r{n}.pair_id = e.pair_id
+          AND r{n}.mmsi = e.pair_mmsi_{n}"""
     return f"""SELECT e.file_day, e.pair_id, e.collision_ts,
           round(h.collision_distance_m, 3) AS collision_distance_m,
           round(e.mean_pair_proportion, 6) AS mean_pair_proportion,

@@ -9,7 +9,8 @@ test vectors in it (offsets, moduli) are fixed values.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from fairlead.functions.frames import evaluated
 
 AIS_POINTS_SQL = """
 SELECT event_id,
@@ -45,11 +46,6 @@ FROM (
 
 
 def ais_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Positions over ``{sf_dir}/events.parquet``, one row per event.
-
-    The generator of one row each keeps the optimizer from copying the formulas
-    of a column into every predicate on it: each is evaluated once per row.
-    """
+    """Positions over ``{sf_dir}/events.parquet``, one row per event."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    derived = spark.sql(AIS_POINTS_SQL, events=events)
-    return derived.select(F.inline(F.array(F.struct(*derived.columns))))
+    return evaluated(spark.sql(AIS_POINTS_SQL, events=events))
