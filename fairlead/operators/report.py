@@ -58,7 +58,9 @@ def event_summary(
     found = scored.groupBy(*PAIR, "collision_ts", "pair_mmsi_1", "pair_mmsi_2").agg(
         F.first("mean_pair_proportion").alias("mean_pair_proportion"), *vessel(1), *vessel(2)
     )
-    places = events.select(*PAIR, "collision_distance_m", *COLLISION_PLACES)
+    # Events stored before they had interpolated places have none.
+    absent = {c: F.lit(None).cast("double") for c in COLLISION_PLACES if c not in events.columns}
+    places = events.withColumns(absent).select(*PAIR, "collision_distance_m", *COLLISION_PLACES)
 
     def described(n: int) -> list[Column]:
         mmsi, hit = F.col(f"pair_mmsi_{n}"), f"hit_{n}"
