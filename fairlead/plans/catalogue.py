@@ -16,6 +16,7 @@ from fairlead.config import DEFAULT_CONFIG as CFG
 from fairlead.functions.geo import bucket, great_circle_nm, metres
 from fairlead.operators import area, confirm, motion, proximity, quality, report, severity
 from fairlead.plans.analysis import EncounterAnalysis
+from fairlead.plans.daily_job import DailyJob
 from fairlead.sources import day_tables, position_files
 from fairlead.sources.event_feed import ais_points
 from fairlead.sources.position_files import FEED_DATE_FORMAT
@@ -31,6 +32,13 @@ PAIR_ROW = (
     "latitude", "longitude", "b_latitude", "b_longitude",
 )
 
+#: Digits of the speeds in a summary.
+SPEEDS = {
+    f"{c}_{n}": 6
+    for c in ("impact_sog", "mean_sog_before", "mean_sog_after", "sog_proportion")
+    for n in (1, 2)
+}
+
 
 def rounded(df: DataFrame, **digits: int) -> DataFrame:
     return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
@@ -339,9 +347,7 @@ def impact_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(
-        analysis(spark, sf_dir).summary,
-        collision_distance_m=3, mean_pair_proportion=6,
-        **{f"{c}_{n}": 6 for c in ("impact_sog", "mean_sog_before", "mean_sog_after", "sog_proportion") for n in (1, 2)},
+        analysis(spark, sf_dir).summary, collision_distance_m=3, mean_pair_proportion=6, **SPEEDS
     )
 
 
@@ -357,6 +363,24 @@ def all_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(found, mean_pair_proportion=6)
 
 
+def daily_job_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily job over CSV files that come in two deliveries, and its summary of all days.
+
+    The second delivery reopens every day; then all that it replaced is removed.
+    """
+    points = ais_points(spark, sf_dir)
+    early, late = (
+        _feed_files(spark, position_files.as_feed(points.where(F.col("event_id") % 2 == part))) for part in range(2)
+    )
+    job = DailyJob(spark, StageStore(spark).path("daily_job"), CFG)
+    job.process(early)
+    job.process(late)
+    job.report()
+    job.vacuum(retention_sec=0)
+    summary = spark.read.parquet(f"{job.report_folder}/event_summary")
+    return rounded(summary, collision_distance_m=3, mean_pair_proportion=6, **SPEEDS)
+
+
 def queries() -> dict[str, Query]:
     return {
         "scan_csv": scan_csv,
@@ -402,4 +426,5 @@ def queries() -> dict[str, Query]:
         "impact_points": impact_points,
         "event_summary": event_summary,
         "all_days": all_days,
+        "daily_job_files": daily_job_files,
     }

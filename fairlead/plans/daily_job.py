@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import time
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +15,9 @@ from fairlead.operators.proximity import proximity_points
 from fairlead.operators.ranking import rank_events
 from fairlead.operators.report import event_summary, impact_points, top_event_tracks
 from fairlead.operators.severity import extract_tracks, score_severity, scored_events
-from fairlead.sources.day_tables import DayTable
+from fairlead.sources.day_tables import RETENTION_SEC, DayTable, begun, new_version
 from fairlead.sources.position_files import discover_files, files_by_day, read_points
-from fairlead.sources.stages import StageStore
+from fairlead.sources.stages import Folder, StageStore
 
 
 # --- Fixed values: columns of the day tables ---
@@ -64,7 +63,8 @@ class DailyJob:
     unless it has got another file: then the day is read from all its files
     and goes through all stages anew. Reports over all days go to a new
     folder below ``root/reports`` each time: ``ranked_tracks``,
-    ``event_summary``, ``top_event_tracks`` and ``impact_points``.
+    ``event_summary``, ``top_event_tracks`` and ``impact_points``. Run
+    :meth:`vacuum` now and then.
     """
 
     def __init__(self, spark: SparkSession, root: str, cfg: EncounterConfig = DEFAULT_CONFIG):
@@ -129,7 +129,7 @@ class DailyJob:
         ``event_rank`` is stored, so the order survives storage and files need
         no order of their own. Empty tables without events.
         """
-        folder = f"{self.root}/reports/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        folder = f"{self.root}/reports/{new_version()}"
         scored, events = self.tracks.read(), self.events.read()
         with StageStore(self.spark, f"{self.root}/stages") as store:
             ranks = rank_events(scored_events(scored), store).select(*PAIR, "event_rank")
@@ -145,6 +145,26 @@ class DailyJob:
         ranked = self.spark.read.parquet(f"{folder}/ranked_tracks")
         return ranked.orderBy("event_rank", "vessel_in_pair", "ts")
 
+    def vacuum(self, retention_sec: int = RETENTION_SEC) -> list[str]:
+        """Removes replaced days, leavings of broken runs and older reports; returns their paths.
+
+        Whatever was readable in the last ``retention_sec`` seconds stays, and the
+        newest report always.
+        """
+        gone = []
+        for table in (self.clean, self.candidates, self.events, self.tracks):
+            gone += table.vacuum(retention_sec)
+        before = time.time_ns() - int(retention_sec * 1e9)
+        reports = Folder(self.spark, f"{self.root}/reports")
+        names = reports.children() if reports.exists() else []
+        # A report is read until the next one is there.
+        gone += [reports.child(old).remove() for old, new in zip(names, names[1:]) if begun(new) < before]
+        stages = Folder(self.spark, f"{self.root}/stages")
+        for name in stages.children() if stages.exists() else []:
+            if stages.child(name).modified_ns() < before:
+                gone.append(stages.child(name).remove())
+        return gone
+
     def export_csv(self, df: DataFrame, name: str) -> None:
         """A report as CSV with a header, in the order of its rows."""
         df.write.mode("overwrite").option("header", True).csv(f"{self.root}/{name}_csv")

@@ -221,14 +221,23 @@ _STEPS: dict[str, str] = {
 }
 
 
-def sql(select: str, upto: str) -> str:
+def sql(select: str, upto: str, steps: dict[str, str] = _STEPS) -> str:
     """``select`` over the steps up to and including ``upto``."""
-    names = list(_STEPS)
+    names = list(steps)
     wanted = names[: names.index(upto) + 1]
-    ctes = ",\n".join(f"{name} AS ({_STEPS[name].strip()})" for name in wanted)
+    ctes = ",\n".join(f"{name} AS ({steps[name].strip()})" for name in wanted)
     return f"WITH {ctes}\n{select.strip()}"
 
 
+def _steps_over_files() -> dict[str, str]:
+    """The steps over daily files: days are dates, and no row id settles ties of a second."""
+    day = "strftime(make_timestamp(ts * 1000000), '%Y-%m-%d') AS file_day"
+    lagged = _STEPS["lagged"].replace(
+        "latitude, longitude, event_id", "latitude, longitude, sog NULLS FIRST, navigational_status NULLS FIRST"
+    )
+    return _STEPS | {"ais": f"SELECT * EXCLUDE (file_day), {day} FROM ({_STEPS['ais']})", "lagged": lagged}
+
+
 _PAIR_ROW = """mmsi, b_mmsi, ts, b_ts, time_diff_sec, latitude, longitude,
     b_latitude, b_longitude"""
 _TRACK = """file_day, pair_id, collision_ts, pair_mmsi_1, pair_mmsi_2, mmsi, name, ts,
@@ -406,6 +415,9 @@ def oracle_sql() -> dict[str, str]:
             "impacts",
         ),
         "event_summary": sql(_summary_select(), "labels_of_vessels"),
+        "daily_job_files": sql(
+            _summary_select("e.event_rank, "), "labels_of_vessels", _steps_over_files()
+        ),
         "all_days": sql(
             """SELECT r.event_rank, h.file_day, h.pair_id, h.mmsi_1, h.mmsi_2, h.collision_ts,
                  round(h.collision_distance_m, 3) AS collision_distance_m,
@@ -416,7 +428,7 @@ def oracle_sql() -> dict[str, str]:
     }
 
 
-def _summary_select() -> str:
+def _summary_select(more: str = "") -> str:
     vessel = """e.pair_mmsi_{n} AS mmsi_{n},
         coalesce(l{n}.name, concat('Vessel ', e.pair_mmsi_{n})) AS vessel_{n},
         round(i{n}.latitude, 5) AS impact_latitude_{n},
@@ -432,7 +444,7 @@ def _summary_select() -> str:
           AND l{n}.pair_id = e.pair_id AND l{n}.vessel_in_pair = {n}
         JOIN ratios r{n} ON r{n}.file_day = e.file_day AND r{n}.pair_id = e.pair_id
           AND r{n}.mmsi = e.pair_mmsi_{n}"""
-    return f"""SELECT e.file_day, e.pair_id, e.collision_ts,
+    return f"""SELECT {more}e.file_day, e.pair_id, e.collision_ts,
           round(h.collision_distance_m, 3) AS collision_distance_m,
           round(e.mean_pair_proportion, 6) AS mean_pair_proportion,
           {vessel.format(n=1)}, {vessel.format(n=2)}

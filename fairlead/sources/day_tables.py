@@ -4,13 +4,29 @@ from __future__ import annotations
 
 import time
 import uuid
+from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from fairlead.sources.stages import Folder
+
 DAY = "file_day"
-RECORD = f"{DAY} string, version string, inputs array<string>"
+RECORD = f"{DAY} string, version string, inputs array<string>, recorded bigint"
+#: Seconds for which a replaced day stays readable.
+RETENTION_SEC = 7 * 86_400
+
+
+def new_version() -> str:
+    """A name that sorts after all earlier ones."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def begun(version: str) -> int:
+    """When a version was begun, in nanoseconds since 1970."""
+    return int(version.split("-", 1)[0])
 
 
 def pending_days(requested: DataFrame, done: DataFrame) -> DataFrame:
@@ -55,14 +71,25 @@ def read_days(
     return spark.read.schema(schema).option("header", True).format(fmt).load(path)
 
 
+@dataclass(frozen=True)
+class Record:
+    """What one write says of one day: its version, what it was made from, when it was recorded."""
+
+    day: str
+    version: str
+    inputs: tuple[str, ...]
+    recorded: int
+
+
 class DayTable:
-    """One stage's output under ``root/name`` and a record of its days.
+    """One stage's output under ``root/name`` and a manifest of its days.
 
-    Every write goes to a new folder ``version=...``. Then one row per day
-    records the version and the inputs it was made from, so a day is
-    replaced whole, also by nothing, in one step: until its record is
+    Every write goes to a new folder ``version=...``. Then one row per day is
+    appended to the manifest with the version and the inputs it was made from,
+    so a day is replaced whole, also by nothing, in one step: until its record is
     written, readers see the old version. Readers take the latest recorded version
-    of each day. Superseded folders stay until removed from outside.
+    of each day. What nobody reads any more goes with :meth:`vacuum`. One job at a
+    time writes a table; readers need no lock.
     """
 
     def __init__(
@@ -92,15 +119,19 @@ class DayTable:
 
     def write(self, df: DataFrame, inputs: dict[str, list[str]]) -> None:
         """Writes ``df``, the whole result of the days ``inputs`` names, and records them."""
-        version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        version = new_version()
         write_days(conform(df, self.schema), f"{self.path}/version={version}", self.fmt)
-        rows = [(day, version, sorted(made_from)) for day, made_from in inputs.items()]
-        record = self.spark.createDataFrame(rows, RECORD)
-        record.coalesce(1).write.mode("append").parquet(self.done_path)
+        now = time.time_ns()
+        self._record([Record(day, version, tuple(sorted(made)), now) for day, made in inputs.items()])
+
+    def _record(self, records: list[Record]) -> None:
+        rows = [(r.day, r.version, list(r.inputs), r.recorded) for r in records]
+        frame = self.spark.createDataFrame(rows, RECORD)
+        frame.coalesce(1).write.mode("append").parquet(self.done_path)
         self._recorded = True
 
     def done(self) -> DataFrame:
-        """The records: one row per day and write."""
+        """The manifest: one row per day and write."""
         if not self._recorded:
             # Creates the table unless it is there.
             empty = self.spark.createDataFrame([], RECORD)
@@ -121,3 +152,54 @@ class DayTable:
             for day, inputs in sorted(wanted.items())
             if day not in finished or finished[day][1] != sorted(inputs)
         }
+
+    def vacuum(self, retention_sec: int = RETENTION_SEC) -> list[str]:
+        """Removes what has not been readable for ``retention_sec`` and returns the paths.
+
+        Goes: the folder of a day whose next version was recorded that long ago,
+        so that readers which began before could end; and folders without a
+        record, left by broken writes, begun that long ago (longer than the
+        longest write must take). The manifest is rewritten as one file of the
+        records still needed; files it replaces go after the same time. Reads
+        the manifest and lists folders, never rows.
+        """
+        before = time.time_ns() - int(retention_sec * 1e9)
+        files = Folder(self.spark, self.done_path)
+        old_records = [f for f in files.children() if f.endswith(".parquet")] if files.exists() else []
+        # Records of an earlier layout have no time of their own.
+        records = [
+            Record(r[DAY], r["version"], tuple(r["inputs"]), r["recorded"] or begun(r["version"]))
+            for r in self.done().distinct().collect()
+        ]
+        by_day: dict[str, list[Record]] = {}
+        for r in sorted(records, key=lambda r: r.version):
+            by_day.setdefault(r.day, []).append(r)
+        current = {rs[-1].version for rs in by_day.values()}
+        replaced = {
+            (old.day, old.version): new.recorded for rs in by_day.values() for old, new in zip(rs, rs[1:])
+        }
+        in_use = {(rs[-1].day, rs[-1].version) for rs in by_day.values()}
+
+        gone, kept = [], set(in_use)
+        table = Folder(self.spark, self.path)
+        for name in table.children() if table.exists() else []:
+            if not name.startswith("version="):
+                continue
+            version, folder, left = name.removeprefix("version="), table.child(name), 0
+            for part in folder.children():
+                key = (unquote(part.removeprefix(f"{DAY}=")), version)
+                if not part.startswith(f"{DAY}=") or key in in_use:
+                    left += key in in_use
+                elif replaced.get(key, begun(version)) < before:
+                    gone.append(folder.child(part).remove())
+                else:
+                    left += 1
+                    kept.add(key)
+            if not left and version not in current and begun(version) < before:
+                gone.append(folder.remove())
+
+        needed = [r for r in records if (r.day, r.version) in kept]
+        if len(old_records) > 1 and needed:
+            self._record(needed)
+        stale = [f for f in old_records if files.child(f).modified_ns() < before] if len(old_records) > 1 else []
+        return gone + [files.child(f).remove() for f in stale]

@@ -29,6 +29,36 @@ def is_local(master: str) -> bool:
     return master == "local" or master.startswith("local[")
 
 
+class Folder:
+    """A file or folder in any store that Spark reaches, through its own file systems."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path
+        context = spark.sparkContext
+        self._hadoop = context._jvm.org.apache.hadoop.fs.Path(path)
+        self._files = self._hadoop.getFileSystem(context._jsc.hadoopConfiguration())
+
+    def exists(self) -> bool:
+        return self._files.exists(self._hadoop)
+
+    def child(self, name: str) -> Folder:
+        return Folder(self.spark, f"{self.path}/{name}")
+
+    def children(self) -> list[str]:
+        """Names of what lies in the folder, sorted."""
+        return sorted(status.getPath().getName() for status in self._files.listStatus(self._hadoop))
+
+    def modified_ns(self) -> int:
+        """Time of the last change, in nanoseconds since 1970."""
+        return self._files.getFileStatus(self._hadoop).getModificationTime() * 1_000_000
+
+    def remove(self) -> str:
+        """Deletes it with all it holds; returns its path."""
+        self._files.delete(self._hadoop, True)
+        return self.path
+
+
 class StageStore:
     """Writes intermediate results as Parquet, under a folder of its own.
 
@@ -61,6 +91,4 @@ class StageStore:
 
     def close(self) -> None:
         """Removes the tables of this store."""
-        context = self.spark.sparkContext
-        folder = context._jvm.org.apache.hadoop.fs.Path(self.root)
-        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        Folder(self.spark, self.root).remove()

@@ -280,3 +280,102 @@ def test_events_table_through_files_gives_the_same_ranking(spark, tmp_path):
     columns = ["pair_id", "mmsi", "ts", "latitude", "longitude", "mean_pair_proportion"]
     through_files = [tuple(r) for r in ranked.select(*columns).collect()]
     assert through_files and through_files == [tuple(r) for r in direct.select(*columns).collect()]
+
+
+def two_versions(spark, path):
+    """A table of two days; the first day was written twice, the second time with other rows."""
+    table = DayTable(spark, str(path), "t", "x int, file_day string")
+    first = spark.createDataFrame([(i, d) for d in ("a", "b") for i in range(50)], "x int, file_day string")
+    table.write(first, {"a": ["f1"], "b": ["f2"]})
+    running = table.read()
+    running.explain()  # plans the read: its files are listed now
+    table.write(spark.createDataFrame([(7, "a")], "x int, file_day string"), {"a": ["f1", "f3"]})
+    return table, running
+
+
+def test_vacuum_leaves_a_running_reader_whole(spark, tmp_path):
+    table, running = two_versions(spark, tmp_path)
+    assert table.vacuum(retention_sec=3600) == []
+    assert running.count() == 100
+    assert sorted(map(tuple, table.read().collect())) == sorted([(7, "a")] + [(i, "b") for i in range(50)])
+
+    gone = table.vacuum(retention_sec=0)
+    # Day a of the first version goes; day b stays in it. The manifest became one file.
+    assert [g.rsplit("/", 1)[1] for g in gone if "done" not in g] == ["file_day=a"]
+    assert len([f for f in (tmp_path / "t_done").iterdir() if f.suffix == ".parquet"]) == 1
+    again = DayTable(spark, str(tmp_path), "t", "x int, file_day string")
+    assert again.read().count() == 51
+    assert again.pending({"a": ["f1", "f3"], "b": ["f2"]}) == {}
+    assert again.pending({"a": ["f1"]}) == {"a": ["f1"]}
+    assert again.vacuum(retention_sec=0) == []
+
+
+def test_vacuum_of_broken_writes_and_emptied_days(spark, tmp_path):
+    table, _ = two_versions(spark, tmp_path)
+    empty = spark.createDataFrame([], "x int, file_day string")
+    table.write(empty, {"a": ["f4"], "b": ["f4"]})
+    # A write that ended before its record.
+    broken = tmp_path / "t" / f"version={10**18:020d}-dead" / "file_day=a"
+    broken.mkdir(parents=True)
+    (broken / "part-0.parquet").write_bytes(b"")
+    gone = table.vacuum(retention_sec=0)
+    assert any("dead" in g for g in gone)
+    assert table.read().count() == 0 and table.pending({"a": ["f4"], "b": ["f4"]}) == {}
+    left = [p for p in (tmp_path / "t").rglob("*.parquet")]
+    assert not [p for p in left if "file_day=" in str(p)]
+    table.write(spark.createDataFrame([(1, "b")], "x int, file_day string"), {"b": ["f5"]})
+    assert [tuple(r) for r in table.read().collect()] == [(1, "b")]
+
+
+def test_a_write_under_way_is_no_leaving(spark, tmp_path):
+    from fairlead.sources.day_tables import new_version
+
+    table, _ = two_versions(spark, tmp_path)
+    young = tmp_path / "t" / f"version={new_version()}" / "file_day=a"
+    young.mkdir(parents=True)
+    table.vacuum(retention_sec=600)
+    assert young.exists()
+
+
+def test_vacuum_of_a_table_without_writes(spark, tmp_path):
+    table = DayTable(spark, str(tmp_path), "t", "x int, file_day string")
+    assert table.vacuum(retention_sec=0) == [] and table.read().count() == 0
+
+
+def test_manifest_of_an_earlier_layout(spark, tmp_path):
+    """Records without a time of their own: the version's time stands in."""
+    table, _ = two_versions(spark, tmp_path)
+    old = spark.read.parquet(table.done_path).drop("recorded").collect()
+    schema = "file_day string, version string, inputs array<string>"
+    spark.createDataFrame(old, schema).write.mode("overwrite").parquet(table.done_path)
+    assert table.vacuum(retention_sec=3600) == [] and table.read().count() == 51
+    assert [g.rsplit("/", 1)[1] for g in table.vacuum(retention_sec=0) if "done" not in g] == ["file_day=a"]
+    assert table.read().count() == 51
+
+
+def test_job_vacuum_keeps_the_newest_report(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    collision_day(raw / "ais-2021-12-01.csv", "01/12/2021", ratio=2)
+    job = DailyJob(spark, str(tmp_path / "out"))
+    job.run(str(raw))
+    before = job.report_folder
+    collision_day(raw / "ais-2021-12-02.csv", "02/12/2021", ratio=4)
+    job.run(str(raw))
+    assert not any("reports" in g for g in job.vacuum(retention_sec=3600))
+    gone = job.vacuum(retention_sec=0)
+    assert [g for g in gone if "reports" in g] == [before]
+    assert spark.read.parquet(f"{job.report_folder}/ranked_tracks").count() > 0
+    assert {r.file_day for r in job.run(str(raw)).collect()} == {"2021-12-01", "2021-12-02"}
+
+
+def test_daily_job_over_five_days_equals_sql(spark):
+    """The whole run from files against SQL where the feed spans several days."""
+    from fairlead.plans import catalogue, oracle
+    from tests.oracle_check import compare, connect
+
+    sf, name = "/root/testdata/sf0.1", "daily_job_files"
+    rows, problem = compare(spark, connect(sf), sf, catalogue.queries()[name], oracle.oracle_sql()[name])
+    assert problem is None and rows > 10
+    days = catalogue.queries()[name](spark, sf).select("file_day").distinct().count()
+    assert days > 1
