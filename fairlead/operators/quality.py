@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fairlead.config import DEFAULT_CONFIG, MMSI_PATTERN, EncounterConfig
@@ -34,11 +34,32 @@ def valid_rows(points: DataFrame, cfg: EncounterConfig = DEFAULT_CONFIG) -> Data
 
 def validity_reasons(points: DataFrame, cfg: EncounterConfig = DEFAULT_CONFIG) -> DataFrame:
     """(rule, failed_rows): how many reports each rule rejects, in one pass."""
+    counts = points.agg(*failure_counts(cfg))
+    return counts.unpivot([], list(validity_rules(cfg)), "rule", "failed_rows")
+
+
+def failure_counts(cfg: EncounterConfig = DEFAULT_CONFIG) -> list[Column]:
+    """Aggregates: how many reports each rule rejects, named after the rule."""
     rules = validity_rules(cfg)
-    counts = points.agg(
-        *(F.count_if(~F.coalesce(rule, F.lit(False))).alias(name) for name, rule in rules.items())
-    )
-    return counts.unpivot([], list(rules), "rule", "failed_rows")
+    return [F.count_if(~F.coalesce(rule, F.lit(False))).alias(name) for name, rule in rules.items()]
+
+
+def watched(
+    points: DataFrame,
+    observation: Observation,
+    bad_line: str | None = None,
+    cfg: EncounterConfig = DEFAULT_CONFIG,
+) -> DataFrame:
+    """``points``, whose rows are counted on the way to wherever they are written.
+
+    After that action ``observation`` holds ``rows``, the counts of
+    :func:`validity_reasons` and, with the column ``bad_line``, ``bad_lines``: no second
+    pass over the files is needed.
+    """
+    counts = [F.count(F.lit(1)).alias("rows"), *failure_counts(cfg)]
+    if bad_line:
+        counts.append(F.count(bad_line).alias("bad_lines"))
+    return points.observe(observation, *counts)
 
 
 def without_stationary_status(

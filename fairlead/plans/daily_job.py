@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fairlead.config import DEFAULT_CONFIG, EncounterConfig
@@ -12,11 +12,12 @@ from fairlead.operators.closest import closest_on_each_day
 from fairlead.operators.confirm import PAIR, confirm_encounters
 from fairlead.operators.motion import clean_points
 from fairlead.operators.proximity import proximity_points
+from fairlead.operators.quality import watched
 from fairlead.operators.ranking import rank_events
 from fairlead.operators.report import event_summary, impact_points, top_event_tracks
 from fairlead.operators.severity import extract_tracks, score_severity, scored_events
 from fairlead.sources.day_tables import RETENTION_SEC, DayTable, begun, new_version
-from fairlead.sources.position_files import discover_files, files_by_day, read_points
+from fairlead.sources.position_files import bad_lines, discover_files, files_by_day, read_points
 from fairlead.sources.stages import Folder, StageStore
 
 
@@ -49,6 +50,11 @@ TRACK_SCHEMA = (
 )
 # --- End of fixed values ---
 
+#: Lines with more or fewer fields than their header.
+BAD_LINE = "bad_line"
+BAD_SCHEMA = "file string, line string, file_day string"
+COUNTS_SCHEMA = "version string, measure string, count bigint"
+
 
 def with_times(df: DataFrame, **seconds: str) -> DataFrame:
     """Adds timestamp columns for epoch-second columns: ``name="seconds_column"``."""
@@ -58,8 +64,9 @@ def with_times(df: DataFrame, **seconds: str) -> DataFrame:
 class DailyJob:
     """Turns a folder of daily CSV files into ranked encounters under ``root``.
 
-    Tables by day: ``clean_points``, ``candidates``, ``events`` and
-    ``event_tracks``. A day that a stage has finished is not computed again,
+    Tables by day: ``clean_points``, ``bad_lines``, ``candidates``, ``events``
+    and ``event_tracks``; ``quality_counts`` says per cleaning how many rows each
+    rule rejected. A day that a stage has finished is not computed again,
     unless it has got another file: then the day is read from all its files
     and goes through all stages anew. Reports over all days go to a new
     folder below ``root/reports`` each time: ``ranked_tracks``,
@@ -72,6 +79,8 @@ class DailyJob:
         self.root = root
         self.cfg = cfg
         self.clean = DayTable(spark, root, "clean_points", CLEAN_SCHEMA)
+        self.bad_lines = DayTable(spark, root, "bad_lines", BAD_SCHEMA)
+        self.counts_path = f"{root}/quality_counts"
         self.candidates = DayTable(spark, root, "candidates", CANDIDATE_SCHEMA)
         self.events = DayTable(spark, root, "events", EVENT_SCHEMA)
         self.tracks = DayTable(spark, root, "event_tracks", TRACK_SCHEMA)
@@ -95,9 +104,7 @@ class DailyJob:
 
         days = self.clean.pending(by_day)
         if days:
-            points = read_points(self.spark, sorted(f for made_from in days.values() for f in made_from))
-            needed = [c for c in self.clean.schema.names if c in points.columns]
-            self.clean.write(clean_points(points.select(*needed), cfg), days)
+            self._clean(days, sorted(f for made_from in days.values() for f in made_from))
 
         days = self._behind(self.candidates, self.clean, requested)
         if days:
@@ -117,6 +124,28 @@ class DailyJob:
             timed = with_times(score_severity(tracks, cfg), timestamp="ts", collision_timestamp="collision_ts")
             self.tracks.write(timed, days)
 
+    def _clean(self, days: dict[str, list[str]], files: list[str]) -> None:
+        """Writes the clean points of whole days, with what was wrong in their files.
+
+        The one pass that writes the points also counts rows, failures of each rule
+        and bad lines; only if there are bad lines they are read again, into a
+        table of their own.
+        """
+        seen = Observation()
+        points = watched(read_points(self.spark, files, BAD_LINE), seen, BAD_LINE, self.cfg)
+        needed = [c for c in self.clean.schema.names if c in points.columns]
+        self.clean.write(clean_points(points.select(*needed), self.cfg), days)
+        counts = seen.get
+        version = new_version()
+        rows = [(version, name, count) for name, count in counts.items()]
+        self.spark.createDataFrame(rows, COUNTS_SCHEMA).coalesce(1).write.mode("append").parquet(self.counts_path)
+        bad = bad_lines(self.spark, files) if counts["bad_lines"] else self.spark.createDataFrame([], BAD_SCHEMA)
+        self.bad_lines.write(bad, days)
+
+    def quality_counts(self) -> DataFrame:
+        """(version, measure, count) of every cleaning: rows, bad_lines and failures of each rule."""
+        return self.spark.read.schema(COUNTS_SCHEMA).parquet(self.counts_path)
+
     @staticmethod
     def _behind(table: DayTable, upstream: DayTable, requested: list[str]) -> dict[str, list[str]]:
         """Requested days of ``table`` that are older than those they come from."""
@@ -152,7 +181,7 @@ class DailyJob:
         newest report always.
         """
         gone = []
-        for table in (self.clean, self.candidates, self.events, self.tracks):
+        for table in (self.clean, self.bad_lines, self.candidates, self.events, self.tracks):
             gone += table.vacuum(retention_sec)
         before = time.time_ns() - int(retention_sec * 1e9)
         reports = Folder(self.spark, f"{self.root}/reports")

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import reduce
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # --- Fixed values: headers of the feed, in file order, and our column names ---
 FEED_COLUMNS = {
@@ -73,10 +76,14 @@ def files_by_day(files: list[str]) -> dict[str, list[str]]:
     return days
 
 
+def plain_path() -> Column:
+    """Percent-encoded path of the file a row was read from; a plus sign in it stands for itself."""
+    return F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+
+
 def file_day() -> Column:
     """:func:`day_of_path` of the file a row was read from."""
-    # The path is percent-encoded; a plus sign in it stands for itself.
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    path = F.url_decode(plain_path())
     name = F.regexp_extract(path, r"([^/]*)/*$", 1)
     in_name = F.regexp_extract_all(name, F.lit(f"({DATE})"))
     in_folder = F.regexp_extract_all(path, F.lit(DAY_FOLDER))
@@ -106,42 +113,92 @@ def discover_files(
     return files
 
 
-def read_feed(spark: SparkSession, files: str | list[str]) -> DataFrame:
+def read_feed(spark: SparkSession, files: str | list[str], bad_line: str | None = None) -> DataFrame:
     """CSV rows of one layout as strings, named by the header, plus ``file_day``.
 
     All files must have the header of the first one; another layout fails
-    instead of shifting columns, see :func:`read_mixed_feed`.
+    instead of shifting columns, see :func:`read_mixed_feed`. With ``bad_line``,
+    a column of that name holds the text of lines that have more or fewer
+    fields than the header and is NULL for others; such lines stay rows, with
+    what fields they have.
     """
-    rows = spark.read.option("header", True).option("enforceSchema", False).csv(files)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    rows = reader.csv(files)
+    if bad_line:
+        schema = StructType([*rows.schema.fields, StructField(bad_line, StringType())])
+        # Fields are counted only where all of them are parsed.
+        whole = reader.schema(schema).option("columnPruning", False)
+        rows = whole.option("columnNameOfCorruptRecord", bad_line).csv(files)
     return rows.select("*", file_day().alias("file_day"))
 
 
-def headers(spark: SparkSession, files: list[str], at_once: int = 100) -> dict[str, str]:
-    """First line of each file that has one; reads the beginning of each file only."""
-    found: dict[str, str] = {}
-    for start in range(0, len(files), at_once):
-        firsts = [
-            spark.read.text(path).limit(1).select(F.lit(path).alias("path"), "value")
-            for path in files[start : start + at_once]
-        ]
-        found |= {row["path"]: row["value"] for row in reduce(DataFrame.unionAll, firsts).collect()}
-    return found
+#: One task for each piece of a file, and one row from each.
+FIRST_LINES = {
+    "spark.sql.files.openCostInBytes": str(1 << 30),
+    "spark.sql.files.maxPartitionBytes": str(1 << 30),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1",
+}
 
 
-def read_mixed_feed(spark: SparkSession, files: list[str]) -> DataFrame:
-    """:func:`read_feed` of files of any layouts, united by column name.
+def headers(spark: SparkSession, files: list[str]) -> dict[str, str]:
+    """First line of each file that has one, in one job that reads the beginning of each file only.
 
-    Files are grouped by their header; a column that a layout lacks is NULL.
+    A task reads one piece of a file and stops after its first row, which is the
+    header if the piece begins the file. The settings for that hold in a session
+    of their own.
     """
+    session = spark.newSession()
+    for key, value in FIRST_LINES.items():
+        session.conf.set(key, value)
+
+    def first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                if batch.column(1)[0].as_py() == 0:
+                    yield batch.slice(0, 1).select([0, 2])
+                return
+
+    lines = session.read.text(files).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value"
+    )
+    found = lines.mapInArrow(first_row, "path string, value string").collect()
+    return {unquote(r["path"]): r["value"] for r in sorted(found)}
+
+
+def by_layout(spark: SparkSession, files: list[str]) -> dict[str, list[str]]:
+    """Files by header line, without empty files unless all are empty."""
     layouts: dict[str, list[str]] = {}
     for path, header in headers(spark, files).items():
-        layouts.setdefault(header, []).append(path)
-    if not layouts:
-        return read_feed(spark, files)
-    parts = [read_feed(spark, same).transform(normalize_columns) for same in layouts.values()]
+        if header.strip():
+            layouts.setdefault(header, []).append(path)
+    return layouts or {"": files}
+
+
+def read_mixed_feed(spark: SparkSession, files: list[str], bad_line: str | None = None) -> DataFrame:
+    """:func:`read_feed` of files of any layouts, united by column name.
+
+    Files are grouped by their header; a column that a layout lacks is NULL.
+    """
+    layouts = by_layout(spark, files).values()
+    parts = [read_feed(spark, same, bad_line).transform(normalize_columns) for same in layouts]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def bad_lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    """(file_day, file, line) of the lines that have more or fewer fields than their header."""
+    parts = []
+    for same in by_layout(spark, files).values():
+        rows = read_feed(spark, same, "line")
+        if rows.columns[0] == "line":  # files without any field
+            continue
+        # Spark refuses to read the text of bad lines alone, without a field.
+        whole = F.length(F.coalesce(F.col(rows.columns[0]), F.lit(""))) >= 0
+        found = rows.where(F.col("line").isNotNull() & whole)
+        parts.append(found.select("file_day", F.url_decode(plain_path()).alias("file"), "line"))
+    none = spark.createDataFrame([], "file_day string, file string, line string")
+    return reduce(DataFrame.unionAll, parts, none)
+
+
 def normalize_columns(feed: DataFrame) -> DataFrame:
     """Our column names for the headers that are present."""
     return feed.withColumnsRenamed(FEED_COLUMNS)
@@ -165,9 +222,11 @@ def standardize_types(feed: DataFrame) -> DataFrame:
     return feed.withColumns(typed).withColumn("ts", F.unix_seconds("timestamp"))
 
 
-def read_points(spark: SparkSession, files: str | list[str]) -> DataFrame:
-    """Typed points of CSV files of any layouts, keyed by ``file_day``."""
-    feed = read_mixed_feed(spark, [files] if isinstance(files, str) else files)
+def read_points(
+    spark: SparkSession, files: str | list[str], bad_line: str | None = None
+) -> DataFrame:
+    """Typed points of CSV files of any layouts, keyed by ``file_day``; see :func:`read_feed`."""
+    feed = read_mixed_feed(spark, [files] if isinstance(files, str) else files, bad_line)
     return feed.transform(normalize_columns).transform(standardize_types)
 
 
