@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -44,22 +45,32 @@ def failure_counts(cfg: EncounterConfig = DEFAULT_CONFIG) -> list[Column]:
     return [F.count_if(~F.coalesce(rule, F.lit(False))).alias(name) for name, rule in rules.items()]
 
 
-def watched(
-    points: DataFrame,
-    observation: Observation,
-    bad_line: str | None = None,
-    cfg: EncounterConfig = DEFAULT_CONFIG,
-) -> DataFrame:
-    """``points``, whose rows are counted on the way to wherever they are written.
+class Watch:
+    """Counts reports on their way to wherever they are written.
 
-    After that action ``observation`` holds ``rows``, the counts of
-    :func:`validity_reasons` and, with the column ``bad_line``, ``bad_lines``: no second
-    pass over the files is needed.
+    Write what :meth:`over` returns; then :meth:`counts` holds ``rows``, the counts of
+    :func:`validity_reasons` and, with the column ``bad_line``, ``bad_lines``: no
+    second pass over the files is needed.
     """
-    counts = [F.count(F.lit(1)).alias("rows"), *failure_counts(cfg)]
-    if bad_line:
-        counts.append(F.count(bad_line).alias("bad_lines"))
-    return points.observe(observation, *counts)
+
+    def __init__(self, bad_line: str | None = None, cfg: EncounterConfig = DEFAULT_CONFIG):
+        self._observation = Observation()
+        self._measures = [F.count(F.lit(1)).alias("rows"), *failure_counts(cfg)]
+        if bad_line:
+            self._measures.append(F.count(bad_line).alias("bad_lines"))
+
+    def over(self, points: DataFrame) -> DataFrame:
+        self._points = points
+        return points.observe(self._observation, *self._measures)
+
+    def counts(self) -> dict[str, int]:
+        """The counts, once the points were written."""
+        try:
+            return self._observation.get
+        except Py4JJavaError:
+            # Adaptive execution drops the counters with a stage that turns out
+            # to give no rows; then the points are counted on their own.
+            return self._points.agg(*self._measures).first().asDict()
 
 
 def without_stationary_status(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairlead.config import DEFAULT_CONFIG, EncounterConfig
@@ -12,7 +12,7 @@ from fairlead.operators.closest import closest_on_each_day
 from fairlead.operators.confirm import PAIR, confirm_encounters
 from fairlead.operators.motion import clean_points
 from fairlead.operators.proximity import proximity_points
-from fairlead.operators.quality import watched
+from fairlead.operators.quality import Watch
 from fairlead.operators.ranking import rank_events
 from fairlead.operators.report import event_summary, impact_points, top_event_tracks
 from fairlead.operators.severity import extract_tracks, score_severity, scored_events
@@ -131,11 +131,11 @@ class DailyJob:
         and bad lines; only if there are bad lines they are read again, into a
         table of their own.
         """
-        seen = Observation()
-        points = watched(read_points(self.spark, files, BAD_LINE), seen, BAD_LINE, self.cfg)
+        watch = Watch(BAD_LINE, self.cfg)
+        points = watch.over(read_points(self.spark, files, BAD_LINE))
         needed = [c for c in self.clean.schema.names if c in points.columns]
         self.clean.write(clean_points(points.select(*needed), self.cfg), days)
-        counts = seen.get
+        counts = watch.counts()
         version = new_version()
         rows = [(version, name, count) for name, count in counts.items()]
         self.spark.createDataFrame(rows, COUNTS_SCHEMA).coalesce(1).write.mode("append").parquet(self.counts_path)

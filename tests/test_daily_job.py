@@ -414,6 +414,19 @@ def test_bad_lines_and_counts_come_with_the_clean_points(spark, tmp_path):
     assert {r.file_day for r in job.bad_lines.done().collect()} == {"2021-12-01", "2021-12-02", "2021-12-03"}
 
 
+@pytest.mark.parametrize("lines", [(), ("02/12/2021 10:00:00,219000001,91,14.2,Sailing,,9,,,ALPHA", "short,line")])
+def test_counts_of_files_without_a_usable_report(spark, tmp_path, lines):
+    """The counters of a plan that turns out empty are lost; the counts are not."""
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    write_file(raw / "ais-2021-12-02.csv", *lines)
+    job = DailyJob(spark, str(tmp_path / "out"))
+    job.process(position_files.discover_files(spark, str(raw)))
+    counts = {r.measure: r["count"] for r in job.quality_counts().collect()}
+    assert counts["rows"] == len(lines) and counts["bad_lines"] == job.bad_lines.read().count() == len(lines[1:])
+    assert counts["latitude_on_globe"] == len(lines)
+
+
 def jobs_of(spark, action) -> int:
     """Number of Spark jobs that ``action`` starts."""
     context = spark.sparkContext
