@@ -15,7 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairlead.llm.components import connected_components
@@ -73,7 +73,7 @@ def band_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketch_documents(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: int = WIDTH) -> DataFrame:
-    """(doc_id, n_shingles, set_1, set_2, bands) of (doc_id, text) rows.
+    """(doc_id, given_id, n_shingles, set_1, set_2, bands) of (doc_id, text, given_id) rows.
 
     The two set hashes are equal for equal shingle sets.
     """
@@ -93,15 +93,17 @@ def sketch_documents(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, widt
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, end - start),
+                        batch.column(2).slice(start, end - start),
                         pa.array(np.diff(bounds), pa.int64()),
                         *sums,
                         pa.ListArray.from_arrays(where, flat),
                     ],
-                    names=["doc_id", "n_shingles", "set_1", "set_2", "bands"],
+                    names=["doc_id", "given_id", "n_shingles", "set_1", "set_2", "bands"],
                 )
 
     return docs.mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, set_1 bigint, set_2 bigint, bands array<bigint>"
+        run,
+        "doc_id bigint, given_id bigint, n_shingles bigint, set_1 bigint, set_2 bigint, bands array<bigint>",
     )
 
 
@@ -145,17 +147,31 @@ def exploded_shingles(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, shingle bigint")
 
 
-def star_pairs(members: DataFrame, by: str, store: StageStore) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of each member and the one of its bucket with most of ``by``."""
-    leaders = store.keep(
-        members.groupBy("key").agg(F.max(F.struct(by, "rep"))["rep"].alias("leader")), "leaders"
-    )
-    return (
-        members.join(leaders, "key")
-        .where("rep <> leader")
-        .select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
-        .distinct()
+def bucket_leaders(members: DataFrame, by: str, store: StageStore) -> DataFrame:
+    """(key, leader, leader_component, rank): the member of each bucket with most of ``by``."""
+    top = F.max(F.struct(by, "rep", "component"))
+    found = members.groupBy("key").agg(top.alias("top"))
+    leaders = found.select(
+        "key", F.col("top.rep").alias("leader"), F.col("top.component").alias("leader_component"), F.col(f"top.{by}").alias("rank")
     )
+    return store.keep(leaders, "leaders")
+
+
+def as_pair(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def one_pair_each(members: DataFrame, by: str, store: StageStore) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of each member and the foremost of the leaders of its buckets."""
+    met = members.join(bucket_leaders(members, by, store), "key").where("rep <> leader")
+    chosen = met.groupBy("rep").agg(F.max(F.struct("rank", "leader"))["leader"].alias("leader"))
+    return chosen.select(*as_pair("rep", "leader")).distinct()
+
+
+def star_pairs(members: DataFrame, by: str, store: StageStore) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of each member and the leaders of its buckets in other components."""
+    met = members.join(bucket_leaders(members, by, store), "key").where("component <> leader_component")
+    return met.select(*as_pair("rep", "leader")).distinct()
 
 
 def undecided(members: DataFrame) -> DataFrame:
@@ -169,67 +185,85 @@ def undecided(members: DataFrame) -> DataFrame:
     return members.join(split, "key")
 
 
-def in_blocks(members: DataFrame, texts: DataFrame, side: str, rows_per_block: int) -> DataFrame:
-    """Texts of the members (other, rep) of every group ``other``, a bounded number in each row."""
-    blocks = members.groupBy("other").agg(
-        F.ceil(F.count(F.lit(1)) / rows_per_block).alias("blocks")
+def member_blocks(
+    open_: DataFrame, texts: DataFrame, store: StageStore, rows_per_block: int, bytes_per_block: int
+) -> DataFrame:
+    """(key, block, members): the members of every bucket in blocks of bounded rows and bytes.
+
+    A member is (rep, component, keys, text); ``keys`` are its open buckets in order.
+    """
+    sized = texts.select(F.col("doc_id").alias("rep"), "text", F.octet_length("text").alias("size"))
+    keys = open_.groupBy("rep").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    known = store.keep(keys.join(sized, "rep"), "open_members")
+    member = open_.select("key", "rep", "component").join(known.select("rep", "size"), "rep")
+    blocks = member.groupBy("key").agg(
+        F.greatest(
+            F.ceil(F.count(F.lit(1)) / rows_per_block), F.ceil(F.sum("size") / bytes_per_block)
+        ).alias("blocks")
+    )
+    blocks = store.keep(blocks, "bucket_blocks")
+    dealt = member.join(blocks, "key").select(
+        "key", "rep", "component", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block")
     )
-    return (
-        members.join(blocks, "other")
-        .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-        .join(texts.withColumnRenamed("doc_id", "rep"), "rep")
-        .groupBy("other", "block")
-        .agg(F.collect_list(F.struct("rep", "text")).alias(f"texts_{side}"))
-        .drop("block")
+    whole = dealt.join(known.select("rep", "keys", "text"), "rep")
+    gathered = whole.groupBy("key", "block").agg(
+        F.collect_list(F.struct("rep", "component", "keys", "text")).alias("members")
     )
+    return store.keep(gathered, "member_blocks")
 
 
 def links_between(
-    open_: DataFrame, texts: DataFrame, percent: int, width: int, rows_per_block: int = 32
+    open_: DataFrame,
+    texts: DataFrame,
+    store: StageStore,
+    percent: int,
+    width: int,
+    rows_per_block: int = 32,
+    bytes_per_block: int = 1 << 20,
 ) -> DataFrame:
-    """Links (a, b) between the components that still share a bucket.
+    """Links (a, b) between members of different components that still share a bucket.
 
-    ``open_`` has (key, rep, component). Members of the smaller component are
-    compared with all members of the larger, block against block, so
-    a row stands for about ``rows_per_block`` ** 2 pairs and only links leave it.
+    ``open_`` has (key, rep, component). The members of a bucket are cut into blocks
+    and every block meets every other of its bucket, so a joined row stands
+    for about ``rows_per_block`` ** 2 pairs and only links leave it. A pair is
+    compared in the first bucket that it shares.
     """
-    members = open_.select(F.col("component").alias("other"), "rep").distinct()
-    sizes = members.groupBy("other").agg(F.count(F.lit(1)).alias("other_size"))
-    theirs = open_.select("key", F.col("component").alias("other")).distinct().join(sizes, "other")
-    mine = open_.select("key", "rep", "component").join(
-        sizes.withColumnsRenamed({"other": "component", "other_size": "size"}), "component"
-    )
-    visits = (
-        mine.join(theirs, "key")
-        .where(F.struct("size", "component") < F.struct("other_size", "other"))
-        .select("other", "rep")
-        .distinct()
-    )
-    met = in_blocks(visits, texts, "a", rows_per_block).join(
-        in_blocks(members, texts, "b", rows_per_block), "other"
-    )
+    blocks = member_blocks(open_, texts, store, rows_per_block, bytes_per_block)
+    met = blocks.join(
+        blocks.select("key", F.col("block").alias("other"), F.col("members").alias("others")), "key"
+    ).where("block <= other")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for left, right in zip(batch.column(0), batch.column(1), strict=True):
-                one, two = left.as_py(), right.as_py()
-                (xs, x_bounds), (ys, y_bounds) = (
-                    block_shingles([r["text"] for r in rows], width) for rows in (one, two)
-                )
-                owner = np.repeat(np.arange(len(two)), np.diff(y_bounds))
-                pairs = []
-                for i, row in enumerate(one):
-                    mine = xs[x_bounds[i] : x_bounds[i + 1]]
-                    common = np.bincount(owner[np.isin(ys, mine)], minlength=len(two))
-                    union = len(mine) + np.diff(y_bounds) - common
-                    for j in np.flatnonzero((common > 0) & (100 * common >= percent * union)):
-                        pairs.append(sorted((row["rep"], two[j]["rep"])))
+            columns = (batch.column(k) for k in range(3))
+            for key, left, right in zip(*columns, strict=True):
+                pairs = block_links(key.as_py(), left.as_py(), right.as_py(), percent, width)
                 a, b = zip(*pairs, strict=True) if pairs else ((), ())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
                 )
 
-    return met.select("texts_a", "texts_b").mapInArrow(run, "a bigint, b bigint")
+    return met.select("key", "members", "others").mapInArrow(run, "a bigint, b bigint")
+
+
+def block_links(key: int, one: list[dict], two: list[dict], percent: int, width: int) -> list[list[int]]:
+    """Links between the members of two blocks of the bucket ``key``."""
+    (xs, x_bounds), (ys, y_bounds) = (block_shingles([r["text"] for r in rows], width) for rows in (one, two))
+    owner, sizes = np.repeat(np.arange(len(two)), np.diff(y_bounds)), np.diff(y_bounds)
+    components = np.array([r["component"] for r in two])
+    earlier = [{k for k in r["keys"] if k < key} for r in two]
+    pairs = []
+    for i, row in enumerate(one):
+        mine, before = xs[x_bounds[i] : x_bounds[i + 1]], {k for k in row["keys"] if k < key}
+        apart = np.flatnonzero(components != row["component"])
+        wanted = [j for j in apart.tolist() if not before & earlier[j]]
+        if not wanted:
+            continue
+        common = np.bincount(owner[np.isin(ys, mine)], minlength=len(two))
+        union = len(mine) + sizes - common
+        linked = (common > 0) & (100 * common >= percent * union)
+        pairs += [sorted((row["rep"], two[j]["rep"])) for j in wanted if linked[j]]
+    return pairs
 
 
 def block_shingles(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -259,24 +293,40 @@ def near_duplicates(
     0.99997, and every link is confirmed on full sets.
 
     Documents of equal sets form one class and its smallest id stands for it.
-    In a band's bucket all members are first compared with the one that shares
-    most buckets with others. Members still apart then are counted out
+    Every member is first compared with one member of its buckets, the one that
+    shares most buckets with others; then with the foremost of each bucket
+    that still holds another component. Members still apart are counted out
     where an exact bound rules a link out, and compared with the one that
     differs least from others; components still apart are compared member by
     member, in blocks. So no link inside a bucket is missed, while a large
-    group of copies costs two comparisons per member and band.
+    group of copies costs a comparison or two per member.
 
     Null and empty texts and texts without words have no shingles and stand
-    alone. Rows of one id count as one document; a null id is replaced by a
-    negative number made from the text. An empty table gives no rows.
+    alone. Rows of one id count as one document. Rows with a null id are documents
+    by their text; they keep the null id, and a component is named after one
+    only if it holds no other. An empty table gives no rows.
     """
-    surrogate = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).bitwiseOR(F.lit(-(1 << 63)))
+    return judged_documents(docs, store, bands, rows, percent, width, id_col, text_col).select(
+        F.col("given_id").alias("doc_id"), "n_shingles", "component_id", "kept"
+    )
+
+
+def document_number(id_col: str, text_col: str) -> Column:
+    """The id, or for a null id a number made from the text."""
+    made = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).bitwiseOR(F.lit(-(1 << 63)))
+    return F.coalesce(F.col(id_col).cast("bigint"), made)
+
+
+def judged_documents(
+    docs: DataFrame, store: StageStore, bands: int, rows: int, percent: int, width: int, id_col: str, text_col: str
+) -> DataFrame:
+    """:func:`near_duplicates` with ``number``, which also tells null ids apart, and ``given_id``."""
     slim = docs.select(
-        F.coalesce(F.col(id_col).cast("bigint"), surrogate).alias("doc_id"),
-        F.col(id_col).cast("bigint").alias("given_id"),
+        document_number(id_col, text_col).alias("doc_id"),
         F.col(text_col).alias("text"),
+        F.col(id_col).cast("bigint").alias("given_id"),
     )
-    sketched = store.keep(sketch_documents(slim.select("doc_id", "text"), bands, rows, width), "sketches")
+    sketched = store.keep(sketch_documents(slim, bands, rows, width), "sketches")
     full = sketched.where("n_shingles > 0")
     alike = ["n_shingles", "set_1", "set_2"]
     classes = store.keep(full.groupBy(*alike).agg(F.min("doc_id").alias("rep")), "classes")
@@ -291,7 +341,10 @@ def near_duplicates(
     )
     buckets = store.keep(reps.join(sizes, "key"), "buckets")
     central = buckets.groupBy("rep").agg(F.sum("size").alias("ties"))
-    stars = store.keep(star_pairs(buckets.join(central, "rep"), "ties", store), "stars")
+    tied = store.keep(
+        buckets.drop("size").join(central, "rep").withColumn("component", F.col("rep")), "tied"
+    )
+    first_pairs = store.keep(one_pair_each(tied, "ties", store), "first_pairs")
     wanted = buckets.select(F.col("rep").alias("doc_id")).distinct()
     texts = store.keep(slim.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), "texts")
 
@@ -300,12 +353,24 @@ def near_duplicates(
         joined = pairs.join(text["b"], "b").join(text["a"], "a")
         return verified(joined.select("a", "b", "text_a", "text_b"), percent, width)
 
-    links = store.keep(confirmed(stars), "links")
-    first = connected_components(links, store)
-    named = buckets.join(first, F.col("rep") == F.col("vertex"), "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("component")
-    )
-    apart = store.keep(undecided(named), "apart")
+    def grown(components: DataFrame | None, found: DataFrame) -> DataFrame:
+        """Components with more links; earlier ones go on as one edge per member."""
+        if components is not None:
+            edges = components.where("vertex <> component")
+            found = found.unionByName(edges.select(F.col("vertex").alias("a"), F.col("component").alias("b")))
+        return connected_components(found, store)
+
+    def renamed(members: DataFrame, components: DataFrame) -> DataFrame:
+        """Members of buckets that hold several of these components, with theirs."""
+        names = components.select(F.col("vertex").alias("rep"), F.col("component").alias("named"))
+        found = members.drop("component").join(names, "rep", "left")
+        return undecided(found.withColumn("component", F.coalesce("named", "rep")).drop("named"))
+
+    components = grown(None, store.keep(confirmed(first_pairs), "first_links"))
+    split = store.keep(renamed(tied, components), "split")
+    stars = store.keep(star_pairs(split, "ties", store).join(first_pairs, ["a", "b"], "left_anti"), "stars")
+    components = grown(components, store.keep(confirmed(stars), "links"))
+    apart = store.keep(renamed(split, components).select("key", "rep", "component"), "apart")
     loose = texts.join(apart.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     # A shingle of one document alone is common to no pair, so a set of n shows
     # at most n - alone of them to a partner and has at least its own n, or the
@@ -332,37 +397,46 @@ def near_duplicates(
     able = store.keep(undecided(able.drop("smallest")), "able")
     # Once more with the member that differs least from what others hold.
     closest = able.withColumn("shared", -F.col("alone"))
-    second = store.keep(
-        star_pairs(closest, "shared", store).join(stars, ["a", "b"], "left_anti"), "second_stars"
-    )
-    links = links.unionByName(store.keep(confirmed(second), "second_links"))
-    renamed = connected_components(links, store)
-    open_ = store.keep(
-        undecided(
-            able.join(renamed, F.col("rep") == F.col("vertex"), "left").select(
-                "key", "rep", F.coalesce(renamed["component"], "rep").alias("component"), "n", "alone"
-            )
-        ),
-        "open",
-    )
-    more = store.keep(links_between(open_, texts, percent, width), "more_links")
-    components = connected_components(links.unionByName(more), store)
+    seen = first_pairs.unionByName(stars)
+    second = store.keep(star_pairs(closest, "shared", store).join(seen, ["a", "b"], "left_anti"), "second_stars")
+    components = grown(components, store.keep(confirmed(second), "second_links"))
+    open_ = store.keep(renamed(able, components).select("key", "rep", "component"), "open")
+    more = store.keep(links_between(open_, texts, store, percent, width), "more_links")
+    components = grown(components, more)
     labels = classes.join(components, F.col("rep") == F.col("vertex"), "left").select(
-        *alike, F.coalesce("component", "rep").alias("component_id")
+        *alike, F.coalesce("component", "rep").alias("component")
     )
     placed = sketched.join(labels, alike, "left").select(
-        "doc_id",
-        "n_shingles",
-        F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.col("doc_id").alias("number"), "given_id", "n_shingles", F.coalesce("component", "doc_id").alias("component")
+    )
+    placed = store.keep(placed, "placed")
+    # The least of the given ids names a component, and the least number where all are null.
+    names = placed.groupBy("component").agg(
+        F.min("given_id").alias("component_id"), F.min("number").alias("least_number")
+    )
+    names = store.keep(names.withColumn("head", F.coalesce("component_id", "least_number")), "names")
+    return placed.join(names, "component").select(
+        "number", "given_id", "n_shingles", "component_id", (F.col("number") == F.col("head")).alias("kept")
     )
-    return placed.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, store: StageStore, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that :func:`near_duplicates` keeps, with all their columns.
+def drop_near_duplicates(
+    docs: DataFrame, store: StageStore, id_col: str = "doc_id", text_col: str = "text", **options
+) -> DataFrame:
+    """One row of each document of ``docs`` that :func:`near_duplicates` keeps, with all its columns.
 
-    Null ids are kept: nothing names them as another document's copy.
+    Rows of one kept id stay if their texts differ; of equal ones the first in
+    the order of all columns stays. Null ids never displace another id.
     """
-    judged = near_duplicates(docs, store, id_col=id_col, **options)
-    gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col(id_col).cast("bigint") == F.col("gone_id"), "left_anti")
+    settings = {"bands": BANDS, "rows": ROWS, "percent": PERCENT, "width": WIDTH} | options
+    judged = judged_documents(docs, store, **settings, id_col=id_col, text_col=text_col)
+    per_number = judged.groupBy("number").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    odd = store.keep(per_number.where("NOT kept OR n > 1"), "gone_or_repeated")
+    row = F.struct(*(F.col(c) for c in docs.columns))
+    numbered = docs.select(document_number(id_col, text_col).alias("number"), row.alias("row"))
+    once = numbered.join(odd.select("number"), "number", "left_anti").select("row")
+    # Only ids that occur more than once are shuffled whole.
+    again = numbered.join(odd.where("kept").select("number"), "number", "left_semi")
+    text = F.col("row")[text_col]
+    folded = again.groupBy("number", F.xxhash64(text), text.isNull()).agg(F.min("row").alias("row"))
+    return once.unionByName(folded.select("row")).select("row.*")

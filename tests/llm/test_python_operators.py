@@ -255,14 +255,73 @@ def test_chains_of_copies_form_one_component(make_docs, store):
 def test_near_duplicate_edge_cases(edge_docs, edge_rows, no_docs, store):
     got = minhash.near_duplicates(edge_docs, store).collect()
     assert len(got) == len(edge_rows)
-    with_id = Counter((r.doc_id, r.n_shingles, r.component_id) for r in got if r.doc_id >= 0)
+    with_id = Counter((r.doc_id, r.n_shingles, r.component_id) for r in got if r.doc_id is not None)
     assert with_id == brute_components([(d, t) for d, t, *_ in edge_rows if d is not None])
+    # Null ids stay null; both stand alone and are kept.
+    assert [(r.doc_id, r.component_id, r.kept) for r in got if r.doc_id is None] == [(None, None, True)] * 2
     out = minhash.drop_near_duplicates(edge_docs, store)
     assert out.columns == edge_docs.columns
-    assert out.count() == sum(r.kept for r in got)
+    kept = Counter((r.doc_id, r.text) for r in out.collect())
+    heads = {r.doc_id for r in got if r.kept}
+    assert kept == Counter({(d, t) for d, t, *_ in edge_rows if d in heads})
     assert minhash.near_duplicates(no_docs, store).count() == 0
 
 
+def test_null_ids_never_displace_others(spark, store):
+    """Copies with null ids go; a group of null ids only keeps one row of one text."""
+    text, other = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    rows = [(2, text), (1, text), (None, text), (None, text), (None, text + " x"), (None, other), (None, other), (None, other + " y"), (-7, "z")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = minhash.near_duplicates(docs, store).collect()
+    assert Counter((r.doc_id, r.component_id, r.kept) for r in got if r.component_id is not None) == Counter(
+        {(1, 1, True): 1, (2, 1, False): 1, (None, 1, False): 3, (-7, -7, True): 1}
+    )
+    kept = [(r.doc_id, r.text) for r in minhash.drop_near_duplicates(docs, store).collect()]
+    assert len(kept) == 3 and {(1, text), (-7, "z")} < set(kept)
+    (rest,) = set(kept) - {(1, text), (-7, "z")}
+    assert rest[0] is None and rest[1] in (other, other + " y")
+
+
+def shared_passages(n):
+    """Documents of one passage and two of many: every shingle is shared, but too few by any two."""
+    tails = [" ".join(f"t{k}w{i}" for i in range(40)) for k in range(24)]
+    pairs = [(a, b) for b in range(24) for a in range(b)][:n]
+    return [" ".join([f"p{i}" for i in range(60)] + [tails[a], tails[b]]) for a, b in pairs]
+
+
+def test_buckets_of_documents_that_do_not_link(spark, make_docs, tmp_path):
+    """A passage in many documents fills buckets without links: what is written grows with the documents."""
+    from fairlead.llm.stages import Stages
+
+    written = {}
+
+    class Counted(Stages):
+        def keep(self, df, name):
+            table = super().keep(df, name)
+            written[name] = max(written.get(name, 0), table.count())
+            return table
+
+    largest = {}
+    for n in (60, 240):
+        written.clear()
+        texts = shared_passages(n) + near_copies(3, 40)
+        got = minhash.near_duplicates(make_docs(texts), Counted(spark, str(tmp_path / str(n)))).collect()
+        assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(list(enumerate(texts)))
+        assert written["open"] > n
+        largest[n] = max(written.values()) / len(texts)
+    assert largest[240] < 1.5 * largest[60]
+    assert written["member_blocks"] < written["open"] / 4
+
+
+def test_blocks_compare_each_pair_in_one_bucket():
+    """Pairs of other components, in the first bucket that both are in."""
+    texts = [" ".join(f"w{i}" for i in range(50))] * 3
+    one = [{"rep": 1, "component": 1, "keys": [5, 9], "text": texts[0]}, {"rep": 2, "component": 2, "keys": [9], "text": texts[1]}]
+    two = [{"rep": 3, "component": 3, "keys": [5, 9], "text": texts[2]}, {"rep": 4, "component": 1, "keys": [5], "text": texts[2]}]
+    assert minhash.block_links(5, one, two, 75, 5) == [[1, 3], [2, 3], [2, 4]]
+    assert minhash.block_links(9, one, two, 75, 5) == [[2, 3], [2, 4]]
+
+
 def test_sketches_estimate_similarity():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
