@@ -329,10 +329,12 @@ def judged_documents(
     sketched = store.keep(sketch_documents(slim, bands, rows, width), "sketches")
     full = sketched.where("n_shingles > 0")
     alike = ["n_shingles", "set_1", "set_2"]
-    classes = store.keep(full.groupBy(*alike).agg(F.min("doc_id").alias("rep")), "classes")
+    classes = store.keep(
+        full.groupBy(*alike).agg(F.min("doc_id").alias("rep"), F.min("given_id").alias("least")), "classes"
+    )
     # One row per class: that of the smallest id.
     reps = (
-        full.join(classes.withColumn("doc_id", F.col("rep")), [*alike, "doc_id"])
+        full.join(classes.select(*alike, "rep", F.col("rep").alias("doc_id")), [*alike, "doc_id"])
         .select("rep", F.explode("bands").alias("key"))
     )
     # Written tables on one side of a join by bucket let Spark split a hot bucket.
@@ -356,6 +358,8 @@ def judged_documents(
     def grown(components: DataFrame | None, found: DataFrame) -> DataFrame:
         """Components with more links; earlier ones go on as one edge per member."""
         if components is not None:
+            if found.isEmpty():
+                return components
             edges = components.where("vertex <> component")
             found = found.unionByName(edges.select(F.col("vertex").alias("a"), F.col("component").alias("b")))
         return connected_components(found, store)
@@ -367,10 +371,7 @@ def judged_documents(
         return undecided(found.withColumn("component", F.coalesce("named", "rep")).drop("named"))
 
     components = grown(None, store.keep(confirmed(first_pairs), "first_links"))
-    split = store.keep(renamed(tied, components), "split")
-    stars = store.keep(star_pairs(split, "ties", store).join(first_pairs, ["a", "b"], "left_anti"), "stars")
-    components = grown(components, store.keep(confirmed(stars), "links"))
-    apart = store.keep(renamed(split, components).select("key", "rep", "component"), "apart")
+    apart = store.keep(renamed(tied, components).select("key", "rep", "component"), "apart")
     loose = texts.join(apart.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     # A shingle of one document alone is common to no pair, so a set of n shows
     # at most n - alone of them to a partner and has at least its own n, or the
@@ -397,26 +398,28 @@ def judged_documents(
     able = store.keep(undecided(able.drop("smallest")), "able")
     # Once more with the member that differs least from what others hold.
     closest = able.withColumn("shared", -F.col("alone"))
-    seen = first_pairs.unionByName(stars)
-    second = store.keep(star_pairs(closest, "shared", store).join(seen, ["a", "b"], "left_anti"), "second_stars")
+    second = store.keep(
+        star_pairs(closest, "shared", store).join(first_pairs, ["a", "b"], "left_anti"), "second_stars"
+    )
     components = grown(components, store.keep(confirmed(second), "second_links"))
     open_ = store.keep(renamed(able, components).select("key", "rep", "component"), "open")
     more = store.keep(links_between(open_, texts, store, percent, width), "more_links")
     components = grown(components, more)
-    labels = classes.join(components, F.col("rep") == F.col("vertex"), "left").select(
-        *alike, F.coalesce("component", "rep").alias("component")
-    )
-    placed = sketched.join(labels, alike, "left").select(
-        F.col("doc_id").alias("number"), "given_id", "n_shingles", F.coalesce("component", "doc_id").alias("component")
+    named = classes.join(components, F.col("rep") == F.col("vertex"), "left").select(
+        *alike, "rep", "least", F.coalesce("component", "rep").alias("component")
     )
-    placed = store.keep(placed, "placed")
     # The least of the given ids names a component, and the least number where all are null.
-    names = placed.groupBy("component").agg(
-        F.min("given_id").alias("component_id"), F.min("number").alias("least_number")
+    names = named.groupBy("component").agg(F.min("least").alias("component_id"), F.min("rep").alias("least_number"))
+    labels = named.join(names, "component").select(
+        *alike, "component_id", F.coalesce("component_id", "least_number").alias("head")
     )
-    names = store.keep(names.withColumn("head", F.coalesce("component_id", "least_number")), "names")
-    return placed.join(names, "component").select(
-        "number", "given_id", "n_shingles", "component_id", (F.col("number") == F.col("head")).alias("kept")
+    placed = sketched.join(labels, alike, "left")
+    return placed.select(
+        F.col("doc_id").alias("number"),
+        "given_id",
+        "n_shingles",
+        F.when(F.col("head").isNull(), F.col("given_id")).otherwise(F.col("component_id")).alias("component_id"),
+        (F.col("doc_id") == F.coalesce("head", "doc_id")).alias("kept"),
     )
 
 
