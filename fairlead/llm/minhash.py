@@ -11,7 +11,9 @@ shingle sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
+from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
@@ -185,17 +187,42 @@ def undecided(members: DataFrame) -> DataFrame:
     return members.join(split, "key")
 
 
+def different_buckets(open_: DataFrame, store: StageStore) -> DataFrame:
+    """``open_`` with one bucket of those that hold the same members."""
+    members = open_.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("rep")).alias("one"),
+        F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("two"),
+    )
+    kept = members.groupBy("n", "one", "two").agg(F.min("key").alias("key")).select("key")
+    return store.keep(open_.join(kept, "key"), "different_buckets")
+
+
+def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
+    """(rep, shingles): the distinct shingles of (doc_id, text) rows as sorted 64-bit hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, end, data, offsets in text_slices(batch.column(1)):
+                hashes, bounds = distinct_shingles(split_words(data, offsets, lower=True), width)
+                sets = [hashes[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(start, end - start), pa.array(sets, pa.binary())], names=["rep", "shingles"]
+                )
+
+    return docs.select("doc_id", "text").mapInArrow(run, "rep bigint, shingles binary")
+
+
 def member_blocks(
-    open_: DataFrame, texts: DataFrame, store: StageStore, rows_per_block: int, bytes_per_block: int
+    open_: DataFrame, texts: DataFrame, store: StageStore, width: int, rows_per_block: int, bytes_per_block: int
 ) -> DataFrame:
-    """(key, block, members): the members of every bucket in blocks of bounded rows and bytes.
-
-    A member is (rep, component, keys, text); ``keys`` are its open buckets in order.
-    """
-    sized = texts.select(F.col("doc_id").alias("rep"), "text", F.octet_length("text").alias("size"))
+    """(key, blocks, block, and :class:`Block`): the members of every bucket in blocks of bounded rows and bytes."""
     keys = open_.groupBy("rep").agg(F.sort_array(F.collect_set("key")).alias("keys"))
-    known = store.keep(keys.join(sized, "rep"), "open_members")
-    member = open_.select("key", "rep", "component").join(known.select("rep", "size"), "rep")
+    wanted = texts.join(keys.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    known = store.keep(keys.join(shingle_sets(wanted, width), "rep"), "open_members")
+    member = open_.select("key", "rep", "component").join(
+        known.select("rep", F.octet_length("shingles").alias("size")), "rep"
+    )
     blocks = member.groupBy("key").agg(
         F.greatest(
             F.ceil(F.count(F.lit(1)) / rows_per_block), F.ceil(F.sum("size") / bytes_per_block)
@@ -203,13 +230,23 @@ def member_blocks(
     )
     blocks = store.keep(blocks, "bucket_blocks")
     dealt = member.join(blocks, "key").select(
-        "key", "rep", "component", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block")
+        "key", "blocks", "rep", "component", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block")
     )
-    whole = dealt.join(known.select("rep", "keys", "text"), "rep")
-    gathered = whole.groupBy("key", "block").agg(
-        F.collect_list(F.struct("rep", "component", "keys", "text")).alias("members")
+    whole = dealt.join(known, "rep")
+    gathered = whole.groupBy("key", "blocks", "block").agg(
+        F.collect_list(F.struct("rep", "component", "keys", "shingles")).alias("members")
     )
-    return store.keep(gathered, "member_blocks")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for *place, members in zip(*(batch.column(k) for k in range(4)), strict=True):
+                arrays = Block.of(members.as_py()).arrays()
+                columns = [pa.array([x.as_py()], pa.int64()) for x in place]
+                columns += [pa.array([a.tobytes()], pa.binary()) for a in arrays]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "blocks", "block", *Block.KINDS])
+
+    kinds = ", ".join(f"{name} binary" for name in Block.KINDS)
+    return store.keep(gathered.mapInArrow(pack, f"key bigint, blocks bigint, block bigint, {kinds}"), "member_blocks")
 
 
 def links_between(
@@ -218,60 +255,136 @@ def links_between(
     store: StageStore,
     percent: int,
     width: int,
-    rows_per_block: int = 32,
-    bytes_per_block: int = 1 << 20,
+    rows_per_block: int = 64,
+    bytes_per_block: int = 1 << 21,
+    blocks_per_group: int = 8,
 ) -> DataFrame:
     """Links (a, b) between members of different components that still share a bucket.
 
     ``open_`` has (key, rep, component). The members of a bucket are cut into blocks
-    and every block meets every other of its bucket, so a joined row stands
-    for about ``rows_per_block`` ** 2 pairs and only links leave it. A pair is
-    compared in the first bucket that it shares.
+    and every block meets every other of its bucket; about ``rows_per_block`` ** 2
+    pairs are compared at once and only links are written. A pair is compared in
+    the first bucket that it shares.
     """
-    blocks = member_blocks(open_, texts, store, rows_per_block, bytes_per_block)
-    met = blocks.join(
-        blocks.select("key", F.col("block").alias("other"), F.col("members").alias("others")), "key"
-    ).where("block <= other")
+    open_ = different_buckets(open_, store)
+    blocks = member_blocks(open_, texts, store, width, rows_per_block, bytes_per_block)
+    # Blocks go in groups, every group of a bucket to a cell with every other:
+    # cells are bounded and no bucket is hot.
+    mine = F.floor(F.col("block") / blocks_per_group)
+    groups = F.ceil(F.col("blocks") / blocks_per_group)
+    dealt = blocks.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), groups - 1)))
+    low, high = F.least("mine", "other"), F.greatest("mine", "other")
+    cell = F.concat_ws(":", *(c.cast("string") for c in (F.col("key"), low, high))).alias("cell")
+    half = F.when(F.col("mine") == F.col("other"), -1).when(F.col("mine") < F.col("other"), 0).otherwise(1)
+
+    def links_of(key: int, members: list[tuple[int, Block]]) -> pa.RecordBatch:
+        pairs = []
+        for i, (side, one) in enumerate(members):
+            for other_side, two in members[i:]:
+                if side == -1 or side != other_side:
+                    pairs += block_links(key, one, two, percent)
+        a, b = zip(*pairs, strict=True) if pairs else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, key, held = None, None, []
         for batch in batches:
-            columns = (batch.column(k) for k in range(3))
-            for key, left, right in zip(*columns, strict=True):
-                pairs = block_links(key.as_py(), left.as_py(), right.as_py(), percent, width)
-                a, b = zip(*pairs, strict=True) if pairs else ((), ())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
-                )
-
-    return met.select("key", "members", "others").mapInArrow(run, "a bigint, b bigint")
-
-
-def block_links(key: int, one: list[dict], two: list[dict], percent: int, width: int) -> list[list[int]]:
+            for row in range(batch.num_rows):
+                at = batch.column(0)[row].as_py()
+                if at != current:
+                    if held:
+                        yield links_of(key, held)
+                    current, key, held = at, batch.column(1)[row].as_py(), []
+                parts = [batch.column(3 + k)[row].as_buffer() for k in range(len(Block.KINDS))]
+                held.append((batch.column(2)[row].as_py(), Block.read(parts)))
+        if held:
+            yield links_of(key, held)
+
+    cells = dealt.select(cell, "key", half.cast("int").alias("half"), *Block.KINDS)
+    ordered = cells.repartition("cell").sortWithinPartitions("cell")
+    return ordered.mapInArrow(run, "a bigint, b bigint")
+
+
+def block_links(key: int, one: Block, two: Block, percent: int) -> list[list[int]]:
     """Links between the members of two blocks of the bucket ``key``."""
-    (xs, x_bounds), (ys, y_bounds) = (block_shingles([r["text"] for r in rows], width) for rows in (one, two))
-    owner, sizes = np.repeat(np.arange(len(two)), np.diff(y_bounds)), np.diff(y_bounds)
-    components = np.array([r["component"] for r in two])
-    earlier = [{k for k in r["keys"] if k < key} for r in two]
-    pairs = []
-    for i, row in enumerate(one):
-        mine, before = xs[x_bounds[i] : x_bounds[i + 1]], {k for k in row["keys"] if k < key}
-        apart = np.flatnonzero(components != row["component"])
-        wanted = [j for j in apart.tolist() if not before & earlier[j]]
-        if not wanted:
-            continue
-        common = np.bincount(owner[np.isin(ys, mine)], minlength=len(two))
-        union = len(mine) + sizes - common
-        linked = (common > 0) & (100 * common >= percent * union)
-        pairs += [sorted((row["rep"], two[j]["rep"])) for j in wanted if linked[j]]
-    return pairs
-
-
-def block_shingles(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of each of some texts, behind one another, and their bounds."""
-    raw = [t.encode("utf-8") for t in texts]
-    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
-    data = np.frombuffer(b"".join(raw), np.uint8)
-    return distinct_shingles(split_words(data, offsets, lower=True), width)
+    wanted = one.components[:, None] != two.components[None, :]
+    # A pair that shares an earlier bucket is compared there.
+    wanted &= ~(products(one.earlier(key), two.earlier(key)) > 0)
+    if not wanted.any():
+        return []
+    common = products(*(Incidence(b.shingles, b.shingle_rows, len(b.reps)) for b in (one, two)))
+    union = one.sizes[:, None] + two.sizes[None, :] - common
+    linked = wanted & (common > 0) & (100 * common >= percent * union)
+    return [sorted((int(one.reps[i]), int(two.reps[j]))) for i, j in zip(*np.nonzero(linked), strict=True)]
+
+
+@dataclass
+class Incidence:
+    """Values that rows hold."""
+
+    values: np.ndarray
+    rows: np.ndarray
+    n: int
+
+
+def products(one: Incidence, two: Incidence) -> np.ndarray:
+    """Number of common values of each row of one and each row of the other."""
+    shared = np.intersect1d(one.values, two.values)
+    tables = []
+    for side in (one, two):
+        table = np.zeros((side.n, len(shared)), np.float32)
+        if len(shared):
+            at = np.minimum(np.searchsorted(shared, side.values), len(shared) - 1)
+            held = shared[at] == side.values
+            table[side.rows[held], at[held]] = 1
+        tables.append(table)
+    return (tables[0] @ tables[1].T).astype(np.int64)
+
+
+@dataclass
+class Block:
+    """Members of a bucket as arrays: ids, components, open buckets and distinct shingles of each."""
+
+    KINDS: ClassVar[dict[str, str]] = {
+        "reps": "<i8", "components": "<i8", "keys": "<i8", "key_counts": "<i8", "shingles": "<u8", "sizes": "<i8",
+    }
+
+    reps: np.ndarray
+    components: np.ndarray
+    keys: np.ndarray
+    key_counts: np.ndarray
+    shingles: np.ndarray
+    sizes: np.ndarray
+
+    @classmethod
+    def of(cls, members: list[dict]) -> Block:
+        """From members (rep, component, keys, shingles as bytes)."""
+        sets = [np.frombuffer(m["shingles"], "<u8") for m in members]
+        return cls(
+            np.array([m["rep"] for m in members], "<i8"),
+            np.array([m["component"] for m in members], "<i8"),
+            np.array([k for m in members for k in m["keys"]], "<i8"),
+            np.array([len(m["keys"]) for m in members], "<i8"),
+            np.concatenate(sets),
+            np.array([len(x) for x in sets], "<i8"),
+        )
+
+    @classmethod
+    def read(cls, buffers: list) -> Block:
+        return cls(*(np.frombuffer(b, kind) for b, kind in zip(buffers, cls.KINDS.values(), strict=True)))
+
+    def arrays(self) -> list[np.ndarray]:
+        return [getattr(self, name) for name in self.KINDS]
+
+    @property
+    def shingle_rows(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.sizes)), self.sizes)
+
+    def earlier(self, key: int) -> Incidence:
+        """The open buckets before ``key`` of each member."""
+        rows = np.repeat(np.arange(len(self.key_counts)), self.key_counts)
+        before = self.keys < key
+        return Incidence(self.keys[before], rows[before], len(self.reps))
 
 
 def near_duplicates(

@@ -134,6 +134,16 @@ def overlap(start: Column, end: Column, low: Column, high: Column) -> Column:
     return F.greatest(F.lit(0), F.least(end, high) - F.greatest(start, low))
 
 
+def text_digest(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
+def other_columns(docs: DataFrame, *known: str) -> Column:
+    """Hash of the columns that are not ``known``, and of whether they are null."""
+    rest = [F.col(c) for c in docs.columns if c not in known]
+    return F.xxhash64(F.lit(0), *rest, *(c.isNull() for c in rest))
+
+
 def mix(
     docs: DataFrame,
     weights: tuple[int, ...] = (3, 1, 2),
@@ -166,7 +176,8 @@ def mix(
         F.col(source_col).alias("source"),
         F.size(words(F.col(text_col))).cast("bigint").alias("size"),
         seeded(seed, F.col(id_col)).alias("place"),
-        F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("row"),
+        text_digest(F.col(text_col)).alias("row"),
+        other_columns(docs, id_col, text_col, source_col).alias("rest_of_row"),
     ).withColumn("shard", F.pmod(digest_number(F.col("place")), F.lit(shards)))
 
     per_shard = sized.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"))
@@ -197,7 +208,7 @@ def mix(
         F.coalesce(F.try_mod("budget", "shard_size"), F.lit(0)).alias("rest"),
         (F.pmod(spin, blocks) * block_words).alias("start"),
     )
-    ring = Window.partitionBy("source", "shard").orderBy("place", "doc_id", "row", "size")
+    ring = Window.partitionBy("source", "shard").orderBy("place", "doc_id", "row", "size", "rest_of_row")
     placed = sized.withColumn("end", F.sum("size").over(ring)).withColumn(
         "begin", F.col("end") - F.col("size")
     )
@@ -215,6 +226,7 @@ def mix(
             "doc_id",
             "source",
             "row",
+            "rest_of_row",
             "size",
             "source_size",
             "target",
@@ -233,27 +245,35 @@ def mixed_documents(
     """The mix itself, with the columns of ``docs``: a row for each time a text is taken.
 
     Whole passes repeat the row; the words of a partial pass, joined by one
-    space, make a row of their own. ``chars_col`` is brought up to date.
+    space, make a row of their own. ``chars_col`` is brought up to date. Equal
+    rows count each; null ids and sources are values of their own.
     """
-    key_id = F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("key_id")
-    taken = mix(docs, id_col=id_col, text_col=text_col, **options).where("taken > 0")
-    # Equal rows take different words, so what they take is listed and each gets an entry.
-    entry = F.struct("passes", "piece_start", "piece_words", "head_words")
-    lists = taken.groupBy(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("key_id"), F.col("row").alias("key_row")
-    ).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    source_col = options.get("source_col", "source")
+    keys = ["key_id", "key_source", "key_row", "key_rest"]
+
+    def keyed(id_: Column, source: Column, row: Column, rest: Column) -> list[Column]:
+        # Null ids and sources are told apart from every other.
+        names = (id_.isNull(), source.isNull()), (F.coalesce(id_.cast("bigint"), F.lit(NO_ID)), F.coalesce(source, F.lit("")))
+        values = [F.struct(null, value) for null, value in zip(*names, strict=True)]
+        return [c.alias(k) for c, k in zip([*values, row, rest], keys, strict=True)]
+
+    taken = mix(docs, id_col=id_col, text_col=text_col, **options)
+    entry = ["passes", "piece_start", "piece_words", "head_words"]
+    of_row = taken.select(*keyed(*(F.col(c) for c in ("doc_id", "source", "row", "rest_of_row"))), "taken", *entry)
+    # Equal rows may take different words; whichever of them does, the rows made
+    # are the same. So what they take is counted, and one of them stands for all.
+    entries = of_row.where("taken > 0").groupBy(*keys, *entry).agg(F.count(F.lit(1)).alias("times"))
+    copies = of_row.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     whole = docs.select(
+        *keyed(F.col(id_col), F.col(source_col), text_digest(F.col(text_col)), other_columns(docs, id_col, text_col, source_col)),
         F.struct("*").alias("doc"),
-        key_id,
-        F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("key_row"),
     )
-    # Join and numbering share one shuffle of the texts.
-    same = Window.partitionBy("key_id", "key_row").orderBy(F.lit(0))
+    single = whole.join(copies, keys, "left_anti")
+    folded = whole.join(copies, keys, "left_semi").groupBy(*keys).agg(F.min("doc").alias("doc"))
     joined = (
-        whole.join(lists, ["key_id", "key_row"])
-        .withColumn("entry", F.get("entries", F.row_number().over(same) - 1))
-        .where(F.col("entry").isNotNull())
-        .select("doc", F.col("doc")[text_col].alias("text"), "entry.*")
+        single.unionByName(folded)
+        .join(entries, keys)
+        .select("doc", F.col("doc")[text_col].alias("text"), *entry, "times")
     )
 
     def piece(tokens: Column, start: Column, n: Column) -> Column:
@@ -271,7 +291,8 @@ def mixed_documents(
             )
         ),
     )
-    rows = joined.select("doc", F.explode(pieces).alias("part"))
+    rows = joined.select("doc", F.explode(pieces).alias("part"), "times")
+    rows = rows.select("doc", "part", F.explode(F.expr("sequence(1L, times)"))).drop("col")
     new = {text_col: F.col("part")}
     if chars_col in docs.columns:
         new[chars_col] = F.length("part").cast(docs.schema[chars_col].dataType)

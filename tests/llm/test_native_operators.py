@@ -231,3 +231,23 @@ def test_native_plans_run_no_python(edge_docs, store):
     ):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_one_id_and_text_in_two_sources(spark):
+    """Every source's words in the mixed rows are those the mix takes, in any order of the rows."""
+    text = " ".join(f"w{i}" for i in range(96))
+    rows = [(1, text, "en", "a", 1), (1, text, "en", "b", 1), (1, text, "de", "b", 1), (1, text, "en", None, 1)]
+    rows += [(None, text, "en", "a", 1)] * 3 + [(2, None, "en", "b", 1), (3, "x y z", None, "b", 2), (3, "x y z", None, "b", 2)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    seen = set()
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        docs = spark.createDataFrame(order, schema).repartition(3)
+        want, got = Counter(), Counter()
+        for r in mixing.mix(docs).collect():
+            want[r.source, r.doc_id] += r.taken
+        mixed = mixing.mixed_documents(docs).collect()
+        for r in mixed:
+            got[r.source, r.doc_id] += len(SPACE.findall(r.text))
+        assert +got == +want
+        seen.add(tuple(sorted(map(str, mixed))))
+    assert len(seen) == 1

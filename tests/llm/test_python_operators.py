@@ -314,12 +314,24 @@ def test_buckets_of_documents_that_do_not_link(spark, make_docs, tmp_path):
 
 
 def test_blocks_compare_each_pair_in_one_bucket():
-    """Pairs of other components, in the first bucket that both are in."""
-    texts = [" ".join(f"w{i}" for i in range(50))] * 3
-    one = [{"rep": 1, "component": 1, "keys": [5, 9], "text": texts[0]}, {"rep": 2, "component": 2, "keys": [9], "text": texts[1]}]
-    two = [{"rep": 3, "component": 3, "keys": [5, 9], "text": texts[2]}, {"rep": 4, "component": 1, "keys": [5], "text": texts[2]}]
-    assert minhash.block_links(5, one, two, 75, 5) == [[1, 3], [2, 3], [2, 4]]
-    assert minhash.block_links(9, one, two, 75, 5) == [[2, 3], [2, 4]]
+    """Pairs of other components, in the first bucket that both are in, from 75 % of the union."""
+
+    def member(rep, component, keys, shingles):
+        return {"rep": rep, "component": component, "keys": keys, "shingles": np.array(shingles, np.uint64).tobytes()}
+
+    whole, most, half = range(100), range(14, 100), range(50)
+    def links(key, one, two):
+        blocks = [minhash.Block.of(members) for members in (one, two)]
+        read = [minhash.Block.read([a.tobytes() for a in b.arrays()]) for b in blocks]
+        return minhash.block_links(key, *read, 75)
+
+    one = [member(1, 1, [5, 9], whole), member(2, 2, [9], most), member(6, 6, [5, 9], half)]
+    two = [member(3, 3, [5, 9], whole), member(4, 1, [5], whole), member(7, 7, [9], range(200, 300))]
+    assert links(5, one, two) == [[1, 3], [2, 3], [2, 4]]
+    assert links(9, one, two) == [[2, 3], [2, 4]]
+    assert links(5, one[2:], two[2:]) == []
+    assert links(5, [member(1, 1, [5], range(75))], [member(2, 2, [5], whole)]) == [[1, 2]]
+    assert links(5, [member(1, 1, [5], range(74))], [member(2, 2, [5], whole)]) == []
 
 
 def test_sketches_estimate_similarity():
