@@ -26,10 +26,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid backoff of order two, every count kept."""
     return rounded_scores(lm_scoring.score_documents(documents(spark, sf_dir), Stages(spark)))
 
 
 def op3_lm_all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same scores by the form for documents that were all counted."""
     return rounded_scores(lm_scoring.score_with_all_counts(documents(spark, sf_dir), Stages(spark)))
 
 

@@ -1,32 +1,45 @@
 """Language-model scores of documents by stupid backoff, computed relationally.
 
-Words and word pairs of all documents are counted into tables partitioned by
-their hashes. A pair in the table scores count(a b) / count(a); any other pair backs
-off to discount * count(b) / all words. Documents are exploded into distinct words
-and pairs, joined to the tables on the hash, and the logarithms are added up
-by document. :func:`score_documents` keeps pairs from a count on;
-:func:`score_with_all_counts` keeps every count.
+Runs of up to ``order`` words are counted into tables partitioned by their hash.
+A word scores count(run that ends with it) / count(that run without it), with the
+longest context that was counted; each word dropped from the context costs the
+factor ``discount``, and without context a word scores count / all words. Every
+count is kept, also of runs seen once. Documents are exploded into distinct runs
+with weights, joined to the tables on the hash, and logarithms are added up by
+document.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairlead.llm.stages import Stages
-from fairlead.llm.token_arrays import SLICE_BYTES, Words, split_words, text_slices
+from fairlead.llm.token_arrays import BASE, SLICE_BYTES, Words, mix, split_words, text_slices
 
 NO_ID = -(1 << 63)
 
+#: (text, run hash, weight) of the runs of some texts.
+Runs = tuple[np.ndarray, np.ndarray, np.ndarray]
+
 
 def tallied(keys: list[np.ndarray], weights: list[np.ndarray]) -> tuple[list, list]:
-    """Distinct rows of ``keys`` with the sums of ``weights``."""
-    order = np.lexsort(keys[::-1])
+    """Rows of ``keys`` with the sums of ``weights``, equal rows added up.
+
+    Rows are sorted by one number made of their keys. Where two different rows
+    share that number, a row may come in several parts; whoever adds up the
+    parts of other slices adds up these as well.
+    """
+    number = keys[0].astype(np.uint64)
+    for k in keys[1:]:
+        number = mix(number * np.uint64(BASE) + k)
+    order = np.argsort(number)
     keys = [k[order] for k in keys]
     fresh = np.ones(len(order), bool)
     if len(order):
@@ -36,172 +49,21 @@ def tallied(keys: list[np.ndarray], weights: list[np.ndarray]) -> tuple[list, li
     return [k[opens] for k in keys], sums
 
 
-def tallied_words(docs: DataFrame) -> DataFrame:
-    """(w, n): words of (doc_id, text) rows, already added up over slices of the input."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, data, offsets in text_slices(batch.column(1)):
-                hashes = split_words(data, offsets, lower=False).hashes
-                (w,), (n,) = tallied([hashes], [np.ones(len(hashes), np.int64)])
-                yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(n)], names=["w", "n"])
-
-    return docs.mapInArrow(run, "w bigint, n bigint")
-
-
-def tallied_pairs(docs: DataFrame) -> DataFrame:
-    """(a, b, n): pairs of neighbouring words, already added up over slices of the input."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, data, offsets in text_slices(batch.column(1), 4 * SLICE_BYTES):
-                words = split_words(data, offsets, lower=False)
-                inside = np.flatnonzero(words.texts[1:] == words.texts[:-1])
-                (a, b), (n,) = tallied(
-                    [words.hashes[inside], words.hashes[inside + 1]], [np.ones(len(inside), np.int64)]
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(n)], names=["a", "b", "n"]
-                )
-
-    return docs.mapInArrow(run, "a bigint, b bigint, n bigint")
-
-
-def exploded_words(docs: DataFrame) -> DataFrame:
-    """(doc_id, w, n, n_first) for the distinct words of every (doc_id, text) row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, end, data, offsets in text_slices(batch.column(1)):
-                words = split_words(data, offsets, lower=False)
-                first = np.zeros(len(words.hashes), np.int64)
-                first[words.bounds[:-1][np.diff(words.bounds) > 0]] = 1
-                (texts, w), (n, n_first) = tallied(
-                    [words.texts, words.hashes], [np.ones_like(first), first]
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(start, end - start).take(pa.array(texts)),
-                        pa.array(w.view(np.int64)),
-                        pa.array(n),
-                        pa.array(n_first),
-                    ],
-                    names=["doc_id", "w", "n", "n_first"],
-                )
-
-    return docs.mapInArrow(run, "doc_id bigint, w bigint, n bigint, n_first bigint")
-
-
-def exploded_pairs(docs: DataFrame) -> DataFrame:
-    """(doc_id, a, b, n) for the distinct pairs of neighbouring words of every row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, end, data, offsets in text_slices(batch.column(1)):
-                words = split_words(data, offsets, lower=False)
-                inside = np.flatnonzero(words.texts[1:] == words.texts[:-1])
-                (texts, a, b), (n,) = tallied(
-                    [words.texts[inside], words.hashes[inside], words.hashes[inside + 1]],
-                    [np.ones(len(inside), np.int64)],
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(start, end - start).take(pa.array(texts)),
-                        pa.array(a.view(np.int64)),
-                        pa.array(b.view(np.int64)),
-                        pa.array(n),
-                    ],
-                    names=["doc_id", "a", "b", "n"],
-                )
-
-    return docs.mapInArrow(run, "doc_id bigint, a bigint, b bigint, n bigint")
+def signed(hashes: np.ndarray) -> pa.Array:
+    return pa.array(hashes.view(np.int64))
 
 
-def score_documents(
-    docs: DataFrame,
-    store: Stages,
-    discount: float = 0.4,
-    min_count: int = 2,
-    hash_passes: int = 2,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """(doc_id, n_words, log_score, mean_log_score), one row per id.
-
-    log_score adds up the logarithms of the scores of all words in context:
-    the first word of a text scores count / all words, others as above. The
-    pair table keeps pairs seen ``min_count`` times or more in all documents.
-    Words are compared as they are. Null and empty texts have no words, score 0
-    and a null mean. Rows of one id are scored as one document (their pairs do
-    not run across rows); null ids form one document with a null id.
-
-    The exploded pairs travel as one hash and the words apart from them: a
-    pair that backs off needs its second word's count alone, so all words are
-    scored as if they backed off, and pairs in the table add the difference.
-    Pairs meet their table in ``hash_passes`` parts by hash, one after another,
-    which divides the disk that the largest shuffle takes.
-    """
-    slim = docs.select(
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("doc_id"),
-        F.col(text_col).alias("text"),
-    )
-    word_rows, pair_rows = exploded_words(slim), exploded_pairs(slim)
-    word_counts = store.keep(tallied_words(slim).groupBy("w").agg(F.sum("n").alias("c")), "word_counts")
-    total = word_counts.agg(F.sum("c")).first()[0] or 1
-
-    scratch = Stages(store.spark, store.root)
-    pair_counts = tallied_pairs(slim).groupBy("a", "b").agg(F.sum("n").alias("c")).where(F.col("c") >= min_count)
-    seen_pairs = scratch.keep(pair_counts, "pair_counts")
-    of_a = word_counts.select(F.col("w").alias("a"), F.col("c").alias("c_a"))
-    of_b = word_counts.select(F.col("w").alias("b"), F.col("c").alias("c_b"))
-    log_discount, log_total = F.ln(F.lit(discount)), F.ln(F.lit(float(total)))
-    gains = store.keep(
-        seen_pairs.join(of_a, "a")
-        .join(of_b, "b")
-        .select(
-            F.xxhash64("a", "b").alias("pair"),
-            (F.ln("c") - F.ln("c_a") - log_discount - F.ln("c_b") + log_total).alias("gain"),
-        ),
-        "pair_gains",
-    )
-    scratch.close()
-    backed_off = store.keep(
-        word_rows.join(word_counts, "w")
-        .groupBy("doc_id")
-        .agg(
-            F.sum("n").alias("n_words"),
-            F.sum(F.col("n") * (F.ln("c") - log_total) + (F.col("n") - F.col("n_first")) * log_discount).alias("base"),
-        ),
-        "backed_off",
-    )
-    hashed = pair_rows.select("doc_id", F.xxhash64("a", "b").alias("pair"), "n")
-    parts = []
-    for part in range(hash_passes):
-        here = F.pmod("pair", F.lit(hash_passes)) == part
-        gain = F.sum(F.col("n") * F.col("gain")).alias("gain")
-        met = hashed.where(here).join(gains.where(here), "pair")
-        parts.append(store.keep(met.groupBy("doc_id").agg(gain), "gained"))
-    gained = reduce(DataFrame.unionAll, parts).groupBy("doc_id").agg(F.sum("gain").alias("gain"))
-    log_score = F.coalesce("base", F.lit(0.0)) + F.coalesce("gain", F.lit(0.0))
-    n_words = F.coalesce("n_words", F.lit(0))
-    return (
-        slim.select("doc_id")
-        .distinct()
-        .join(backed_off, "doc_id", "left")
-        .join(gained, "doc_id", "left")
-        .select(
-            F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"),
-            n_words.alias("n_words"),
-            log_score.alias("log_score"),
-            F.try_divide(log_score, n_words).alias("mean_log_score"),
-        )
-    )
+def all_runs(words: Words, order: int) -> Runs:
+    """Every run of up to ``order`` words, each of weight one."""
+    windows = [words.windows(width) for width in range(1, order + 1)]
+    texts = np.concatenate([words.texts[first] for _, first in windows])
+    return texts, np.concatenate([h for h, _ in windows]), np.ones(len(texts), np.int64)
 
 
-def gram_weights(words: Words, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, gram hash, weight) such that a text scores the sum of weight * ln(count) - ln(all words).
+def weighted_runs(words: Words, order: int) -> Runs:
+    """Weights such that a counted text scores the sum of weight * ln(count) - ln(all words).
 
-    Over consecutive words the ratios count(a b) / count(a) cancel except for the runs
+    Where nothing backs off, the ratios over consecutive words cancel except for the runs
     of ``order`` words and, below the line, the shorter runs inside the text. A
     text of fewer words is one run.
     """
@@ -221,106 +83,267 @@ def gram_weights(words: Words, order: int) -> tuple[np.ndarray, np.ndarray, np.n
     return texts, hashes, weights
 
 
-def tallied_grams(docs: DataFrame, order: int, part: int, parts: int) -> DataFrame:
-    """(gram, n): runs of up to ``order`` words of one hash part, added up over slices of the input."""
+def found(table: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each hash is in the sorted ``table``, and where."""
+    if not len(table):
+        return np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64)
+    at = np.minimum(np.searchsorted(table, hashes), len(table) - 1)
+    return table[at] == hashes, at
+
+
+def tallied_runs(docs: DataFrame, order: int, part: int, parts: int) -> DataFrame:
+    """(gram, n): runs of one hash part of (doc_id, text) rows, added up over slices of the input."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in text_slices(batch.column(1), 4 * SLICE_BYTES):
-                words = split_words(data, offsets, lower=False)
-                hashes = np.concatenate([words.windows(width)[0] for width in range(1, order + 1)])
-                hashes = hashes[hashes % np.uint64(parts) == part]
-                (gram,), (n,) = tallied([hashes], [np.ones(len(hashes), np.int64)])
-                yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n)], names=["gram", "n"])
+            for _, _, data, offsets in text_slices(batch.column(1), 2 * SLICE_BYTES):
+                _, hashes, ones = all_runs(split_words(data, offsets, lower=False), order)
+                here = hashes % np.uint64(parts) == part
+                (gram,), (n,) = tallied([hashes[here]], [ones[here]])
+                yield pa.RecordBatch.from_arrays([signed(gram), pa.array(n)], names=["gram", "n"])
 
     return docs.mapInArrow(run, "gram bigint, n bigint")
 
 
-def exploded_grams(docs: DataFrame, order: int, part: int, parts: int) -> DataFrame:
-    """(doc_id, gram, n): weights of the distinct runs of every row in one hash part."""
+def tallied_contexts(docs: DataFrame, order: int) -> DataFrame:
+    """(width, gram, front, back, inner, n): runs with the runs they hold.
+
+    ``front`` lacks the last word, ``back`` the first, ``inner`` both; null where
+    nothing is left.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, offsets in text_slices(batch.column(1)):
+                words = split_words(data, offsets, lower=False)
+                at = {}
+                for width in range(1, order + 1):
+                    hashes, first = words.windows(width)
+                    at[width] = np.zeros(len(words.hashes) + 1, np.uint64)
+                    at[width][first] = hashes
+                    none = pa.nulls(len(first), pa.int64())
+                    held = [
+                        signed(at[w][first + skip]) if w else none
+                        for w, skip in ((width - 1, 0), (width - 1, 1), (max(width - 2, 0), 1))
+                    ]
+                    rows = pa.table([signed(hashes), *held], names=["gram", "front", "back", "inner"])
+                    counted = rows.group_by(rows.column_names).aggregate([([], "count_all")])
+                    counted = counted.rename_columns([*rows.column_names, "n"])
+                    widths = pa.array(np.full(len(counted), width, np.int32))
+                    yield from counted.add_column(0, "width", widths).combine_chunks().to_batches()
+
+    return docs.mapInArrow(
+        run, "width int, gram bigint, front bigint, back bigint, inner bigint, n bigint"
+    )
+
+
+def exploded_runs(
+    docs: DataFrame,
+    runs_of: Callable[[Words, int], Runs],
+    order: int,
+    part: int,
+    parts: int,
+    frequent: Broadcast | None = None,
+) -> DataFrame:
+    """(doc_id, gram, n): weights of the distinct runs of every row in one hash part, but the frequent ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, end, data, offsets in text_slices(batch.column(1)):
-                texts, hashes, weights = gram_weights(split_words(data, offsets, lower=False), order)
+                texts, hashes, weights = runs_of(split_words(data, offsets, lower=False), order)
                 here = hashes % np.uint64(parts) == part
-                (texts, gram), (n,) = tallied([texts[here], hashes[here]], [weights[here]])
+                texts, hashes, weights = texts[here], hashes[here], weights[here]
+                if frequent is not None:
+                    other = ~found(frequent.value[0], hashes)[0]
+                    texts, hashes, weights = texts[other], hashes[other], weights[other]
+                (texts, gram), (n,) = tallied([texts, hashes], [weights])
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(start, end - start).take(pa.array(texts)),
-                        pa.array(gram.view(np.int64)),
-                        pa.array(n),
-                    ],
+                    [batch.column(0).slice(start, end - start).take(pa.array(texts)), signed(gram), pa.array(n)],
                     names=["doc_id", "gram", "n"],
                 )
 
     return docs.mapInArrow(run, "doc_id bigint, gram bigint, n bigint")
 
 
-def word_totals(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_texts) of every row; n_texts is 1 for a text with words."""
+def text_totals(
+    docs: DataFrame, order: int, runs_of: Callable[[Words, int], Runs] | None = None, frequent: Broadcast | None = None
+) -> DataFrame:
+    """(doc_id, n_words, n_texts, n_longer, known) of every row.
+
+    n_texts is 1 for a text with words, n_longer counts its runs of 2 to
+    ``order`` words, known is what its frequent runs add to the score.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, end, data, offsets in text_slices(batch.column(1)):
-                n = np.diff(split_words(data, offsets, lower=False).bounds).astype(np.int64)
+                words = split_words(data, offsets, lower=False)
+                n = np.diff(words.bounds).astype(np.int64)
+                longer = sum(np.maximum(n - width, 0) for width in range(1, order))
+                known = np.zeros(len(n))
+                if frequent is not None:
+                    table, logs = frequent.value
+                    texts, hashes, weights = runs_of(words, order)
+                    hit, at = found(table, hashes)
+                    known = np.bincount(texts[hit], weights[hit] * logs[at[hit]], len(n)).astype(float)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, end - start), pa.array(n), pa.array((n > 0).astype(np.int64))],
-                    names=["doc_id", "n_words", "n_texts"],
+                    [
+                        batch.column(0).slice(start, end - start),
+                        *map(pa.array, (n, (n > 0).astype(np.int64), longer, known)),
+                    ],
+                    names=["doc_id", "n_words", "n_texts", "n_longer", "known"],
                 )
 
-    return docs.mapInArrow(run, "doc_id bigint, n_words bigint, n_texts bigint")
+    return docs.mapInArrow(run, "doc_id bigint, n_words bigint, n_texts bigint, n_longer bigint, known double")
 
 
-def score_with_all_counts(
+def most_frequent(counts: DataFrame, most: int) -> list[tuple[int, float]]:
+    """(gram, log_count) of the runs above the least power of two that at most ``most`` runs reach.
+
+    A histogram of 64 rows decides first, so no more than ``most`` rows come to the driver.
+    """
+    power = F.floor(F.log2(F.col("c").cast("double"))).cast("int")
+    sizes = {r["power"]: r["n"] for r in counts.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    least, held = 64, 0
+    for exponent in range(63, 0, -1):
+        held += sizes.get(exponent, 0)
+        if held > most:
+            break
+        least = exponent
+    if least > 63:
+        return []
+    rows = counts.where(F.col("c") >= F.lit(1 << least)).select("gram", F.ln("c").alias("log_count")).collect()
+    return [(r["gram"], r["log_count"]) for r in rows]
+
+
+def slim_docs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(
+        F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("doc_id"),
+        F.col(text_col).alias("text"),
+    )
+
+
+def scored(sizes: DataFrame, parts: list[DataFrame], log_score: Callable[[Column], Column]) -> DataFrame:
+    """Adds up the gains of all parts; ``log_score`` makes the score of a document's gain."""
+    gained = reduce(DataFrame.unionAll, parts).groupBy("doc_id").agg(F.sum("gain").alias("gain"))
+    score = log_score(F.coalesce("gain", F.lit(0.0)))
+    return sizes.join(gained, "doc_id", "left").select(
+        F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"),
+        "n_words",
+        score.alias("log_score"),
+        F.try_divide(score, "n_words").alias("mean_log_score"),
+    )
+
+
+def document_totals(totals: DataFrame) -> DataFrame:
+    """One row per id: rows of one id are scored as one document."""
+    return totals.groupBy("doc_id").agg(*(F.sum(c).alias(c) for c in totals.columns if c != "doc_id"))
+
+
+def score_documents(
     docs: DataFrame,
     store: Stages,
+    counted: DataFrame | None = None,
     order: int = 2,
-    hash_passes: int = 4,
+    discount: float = 0.4,
+    hash_passes: int = 2,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """(doc_id, n_words, log_score, mean_log_score) as :func:`score_documents`, without a least count.
-
-    The documents scored are those counted, so every run of words they hold has
-    a count and scores count(run) / count(run without its last word); a word
-    with fewer than ``order - 1`` words before it is scored after those.
-    Backing off never applies, so no discount enters. Runs counted once add
-    ln(1) = 0 and need no row in the table, which loses nothing: what the
-    table does not hold has count one. Counting and joining go in
-    ``hash_passes`` parts by hash, one after another.
+    """(doc_id, n_words, log_score, mean_log_score), one row per id of ``docs``.
+
+    Runs of words are counted over ``counted``, a table with the same columns;
+    without it over ``docs`` themselves, where every run is counted, so nothing
+    backs off and :func:`score_with_all_counts` gives the same scores with less
+    work. A word that was never counted scores as if seen once without context.
+
+    Words are compared as they are. Null and empty texts have no words, score 0
+    and a null mean. Rows of one id are scored as one document (their runs do
+    not go across rows); null ids form one document with a null id. No
+    documents give no rows; if nothing was counted, all words count as one.
+
+    A counted run of two or more words adds the logarithm of its score less that of
+    what it would back off to, discount included. All positions are scored as
+    if they backed off to the word alone, and as whatever a counted run holds
+    was counted too, the gains of the runs that end at a word lead to its
+    longest counted run. So each run meets the table on its own.
     """
     if order < 2:
         raise ValueError("order must be at least 2")
-    slim = docs.select(
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("doc_id"),
-        F.col(text_col).alias("text"),
+    if counted is None:
+        return score_with_all_counts(docs, store, order, hash_passes, id_col=id_col, text_col=text_col)
+    slim = slim_docs(docs, id_col, text_col)
+    parts_of = ("width", "gram", "front", "back", "inner")
+    table = store.keep(
+        tallied_contexts(slim_docs(counted, id_col, text_col), order)
+        .groupBy(*parts_of)
+        .agg(F.ln(F.sum("n")).alias("log_count"), F.sum("n").alias("c")),
+        "run_counts",
     )
-    sizes = store.keep(
-        word_totals(slim).groupBy("doc_id").agg(F.sum("n_words").alias("n_words"), F.sum("n_texts").alias("n_texts")),
-        "sizes",
+    total = table.where("width = 1").agg(F.sum("c")).first()[0] or 1
+    log_total, log_discount = F.ln(F.lit(float(total))), F.ln(F.lit(discount))
+    longer = table.where("width > 1")
+    for name in ("front", "back", "inner"):
+        shorter = table.where(F.col("width") < order)
+        longer = longer.join(shorter.select(F.col("gram").alias(name), F.col("log_count").alias(f"log_{name}")), name, "left")
+    gain = (
+        F.col("log_count") - F.col("log_front") - F.col("log_back") + F.coalesce("log_inner", log_total) - log_discount
     )
-    total = sizes.agg(F.sum("n_words")).first()[0] or 1
+    gains = store.keep(
+        table.where("width = 1").select("gram", F.col("log_count").alias("gain")).unionAll(longer.select("gram", gain.alias("gain"))),
+        "run_gains",
+    )
+    sizes = store.keep(document_totals(text_totals(slim, order)), "sizes")
     parts = []
     for part in range(hash_passes):
-        scratch = Stages(store.spark, store.root)
-        counts = scratch.keep(
-            tallied_grams(slim, order, part, hash_passes)
-            .groupBy("gram")
-            .agg(F.sum("n").alias("c"))
-            .where("c > 1")
-            .select("gram", F.ln("c").alias("log_count")),
-            "gram_counts",
+        met = exploded_runs(slim, all_runs, order, part, hash_passes).join(gains, "gram")
+        parts.append(store.keep(met.groupBy("doc_id").agg(F.sum(F.col("n") * F.col("gain")).alias("gain")), "gained"))
+    return scored(
+        sizes, parts, lambda gain: gain - F.col("n_words") * log_total + F.col("n_longer") * log_discount
+    )
+
+
+def score_with_all_counts(
+    docs: DataFrame,
+    store: Stages,
+    order: int = 2,
+    hash_passes: int = 2,
+    frequent_runs: int = 1 << 16,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """(doc_id, n_words, log_score, mean_log_score) as :func:`score_documents` of the documents counted.
+
+    Every run of words they hold has a count and scores count(run) / count(run
+    without its last word); a word with fewer than ``order - 1`` words before it
+    is scored after those. Runs counted once add ln(1) = 0 and need no row in
+    the table, which loses nothing: what the table does not hold has count one.
+    Counting and joining go in ``hash_passes`` parts by hash, one after
+    another. At most ``frequent_runs`` of the most frequent runs are sent to
+    all tasks and looked up where the texts are read; all others are joined.
+    Nulls, empty texts and repeated ids as there.
+    """
+    if order < 2:
+        raise ValueError("order must be at least 2")
+    slim = slim_docs(docs, id_col, text_col)
+    tables = [
+        store.keep(
+            tallied_runs(slim, order, part, hash_passes).groupBy("gram").agg(F.sum("n").alias("c")).where("c > 1"),
+            "run_counts",
         )
-        met = exploded_grams(slim, order, part, hash_passes).join(counts, "gram")
+        for part in range(hash_passes)
+    ]
+    top = sorted(most_frequent(reduce(DataFrame.unionAll, tables), frequent_runs), key=lambda r: r[0] % (1 << 64))
+    frequent = store.spark.sparkContext.broadcast(
+        (np.array([r[0] for r in top], np.int64).view(np.uint64), np.array([r[1] for r in top], np.float64))
+    )
+    sizes = store.keep(document_totals(text_totals(slim, order, weighted_runs, frequent)), "sizes")
+    total = sizes.agg(F.sum("n_words")).first()[0] or 1
+    parts = []
+    for part, table in enumerate(tables):
+        counts = table.select("gram", F.ln("c").alias("log_count"))
+        met = exploded_runs(slim, weighted_runs, order, part, hash_passes, frequent).join(counts, "gram")
         gained = met.groupBy("doc_id").agg(F.sum(F.col("n") * F.col("log_count")).alias("gain"))
         parts.append(store.keep(gained, "gained"))
-        scratch.close()
-    gained = reduce(DataFrame.unionAll, parts).groupBy("doc_id").agg(F.sum("gain").alias("gain"))
-    log_score = F.coalesce("gain", F.lit(0.0)) - F.col("n_texts") * F.ln(F.lit(float(total)))
-    return sizes.join(gained, "doc_id", "left").select(
-        F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"),
-        "n_words",
-        log_score.alias("log_score"),
-        F.try_divide(log_score, "n_words").alias("mean_log_score"),
-    )
+    log_total = F.ln(F.lit(float(total)))
+    return scored(sizes, parts, lambda gain: gain + F.col("known") - F.col("n_texts") * log_total)

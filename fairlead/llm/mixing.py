@@ -167,8 +167,8 @@ def mix(
     targets are 0. What a shard cannot take of its quota goes to other shards
     of its source. Equal rows take neighbouring places on the ring.
 
-    Shards are hash groups of about ``rows_per_shard`` rows, so no window
-    holds more than one shard of one source.
+    Shards are hash groups of about ``rows_per_shard`` rows by id and text, so no
+    window holds more than one shard of one source and rows of one id spread.
     """
     shards = max(1, math.ceil(docs.count() / rows_per_shard))
     sized = docs.select(
@@ -178,7 +178,7 @@ def mix(
         seeded(seed, F.col(id_col)).alias("place"),
         text_digest(F.col(text_col)).alias("row"),
         other_columns(docs, id_col, text_col, source_col).alias("rest_of_row"),
-    ).withColumn("shard", F.pmod(digest_number(F.col("place")), F.lit(shards)))
+    ).withColumn("shard", F.pmod(digest_number(seeded(seed + 2, F.col("doc_id"), F.col("row"))), F.lit(shards)))
 
     per_shard = sized.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"))
     per_source = per_shard.groupBy("source").agg(F.sum("shard_size").alias("source_size"))

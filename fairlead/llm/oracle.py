@@ -27,10 +27,10 @@ FROM marked GROUP BY doc_id
 MIXING = r"""
 WITH digests AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-         md5('7|' || doc_id) AS place, md5(coalesce(text, '')) AS row
+         md5('7|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place, md5(coalesce(text, '')) AS row
   FROM documents),
 sized AS (
-  SELECT *, CAST('0x' || substr(place, 1, 8) AS BIGINT)
+  SELECT *, CAST('0x' || substr(md5('9|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || row), 1, 8) AS BIGINT)
             % greatest(1, CAST(ceil((SELECT count(*) FROM documents) / 20000) AS BIGINT)) AS shard
   FROM digests),
 sources AS (
@@ -64,13 +64,22 @@ shard_quotients AS (
 shard_blocks AS (
   SELECT source, shard, count(*) FILTER (WHERE place <= blocks) AS quota
   FROM shard_quotients GROUP BY source, shard),
+given AS (
+  SELECT s.*, coalesce(q.quota, 0) * 32 AS words, s.shard_size * 2 - least(coalesce(q.quota, 0) * 32, s.shard_size * 2) AS room
+  FROM shards s LEFT JOIN shard_blocks q ON s.source IS NOT DISTINCT FROM q.source AND s.shard = q.shard),
+shared AS (  -- words that a shard cannot take go to the others of its source by their room
+  SELECT source, shard, shard_size, words, room, sum(room) OVER (PARTITION BY source) AS all_room,
+         sum(room) OVER (PARTITION BY source ORDER BY shard) AS room_to,
+         sum(words - least(words, shard_size * 2)) OVER (PARTITION BY source) AS over_limit
+  FROM given),
 budgets AS (
-  SELECT s.*, t.source_size, t.target,
-         least(coalesce(q.quota, 0) * 32, s.shard_size * 2) AS budget,
+  SELECT s.source, s.shard, s.shard_size, t.source_size, t.target,
+         CAST(least(words, s.shard_size * 2) + CASE WHEN least(over_limit, all_room) > 0
+           THEN least(over_limit, all_room) * room_to // all_room - least(over_limit, all_room) * (room_to - room) // all_room
+           ELSE 0 END AS BIGINT) AS budget,
          CAST('0x' || substr(md5('8|' || coalesce(s.source, '') || '|' || s.shard), 1, 8) AS BIGINT)
            % greatest(1, s.shard_size // 32) * 32 AS start
-  FROM shards s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
-  LEFT JOIN shard_blocks q ON s.source IS NOT DISTINCT FROM q.source AND s.shard = q.shard),
+  FROM shared s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
 placed AS (
   SELECT *, CAST(sum(size) OVER (PARTITION BY source, shard ORDER BY place, doc_id, row, size
                             ROWS UNBOUNDED PRECEDING) AS BIGINT) AS stop
@@ -169,7 +178,7 @@ tokens AS (SELECT doc_id, unnest(w) AS b, generate_subscripts(w, 1) AS pos, w FR
 placed AS (SELECT doc_id, pos, b, CASE WHEN pos > 1 THEN w[pos - 1] END AS a FROM tokens),
 word_counts AS (SELECT b AS w, count(*) AS c FROM placed GROUP BY b),
 pair_counts AS (
-  SELECT a, b, count(*) AS c FROM placed WHERE a IS NOT NULL GROUP BY a, b HAVING count(*) >= 2),
+  SELECT a, b, count(*) AS c FROM placed WHERE a IS NOT NULL GROUP BY a, b),
 total AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM placed),
 scored AS (
   SELECT p.doc_id,
@@ -185,29 +194,6 @@ SELECT d.doc_id, coalesce(n_words, 0) AS n_words, round(coalesce(s, 0), 6) AS lo
 FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN sums USING (doc_id)
 """
 
-LM_ALL_PAIRS = r"""
-WITH split AS (
-  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-tokens AS (SELECT doc_id, unnest(w) AS b, generate_subscripts(w, 1) AS pos, w FROM split),
-placed AS (SELECT doc_id, pos, b, CASE WHEN pos > 1 THEN w[pos - 1] END AS a FROM tokens),
-word_counts AS (SELECT b AS w, count(*) AS c FROM placed GROUP BY b),
-pair_counts AS (SELECT a, b, count(*) AS c FROM placed WHERE a IS NOT NULL GROUP BY a, b),
-total AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM placed),
-scored AS (
-  SELECT p.doc_id,
-         CASE WHEN p.a IS NULL THEN ln(cb.c / n)
-              WHEN pc.c IS NOT NULL THEN ln(pc.c / ca.c)
-              ELSE ln(0.4::DOUBLE * cb.c / n) END AS s
-  FROM placed p CROSS JOIN total JOIN word_counts cb ON p.b = cb.w
-  LEFT JOIN word_counts ca ON p.a = ca.w
-  LEFT JOIN pair_counts pc ON p.a = pc.a AND p.b = pc.b),
-sums AS (SELECT doc_id, count(*) AS n_words, sum(s) AS s FROM scored GROUP BY doc_id)
-SELECT d.doc_id, coalesce(n_words, 0) AS n_words, round(coalesce(s, 0), 6) AS log_score,
-       round(s / n_words, 9) AS mean_log_score
-FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN sums USING (doc_id)
-"""
-
-
 CONVERSATION_REPAIR = r"""
 WITH RECURSIVE keyed AS (
   SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
@@ -365,7 +351,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_quality_rules": QUALITY_RULES,
         "op3_lm_scoring": LM_SCORING,
-        "op3_lm_all_pairs": LM_ALL_PAIRS,
+        "op3_lm_all_pairs": LM_SCORING,
         "op4_source_mixing": MIXING,
         "op6_substring_dedup": SUBSTRING_DEDUP,
         "op7_minhash_dedup": NEAR_DEDUP,

@@ -1,10 +1,13 @@
 """Removal of word passages that an earlier document already holds.
 
-Reference shards are bounded sets of passages, each with the smallest id of a
-document that holds it. A suffix automaton over the words of a shard knows for
+Equal windows lie in passages of one route. Where a route holds a single distinct
+passage, its smallest document is the answer for all its windows. The passages of the
+other routes make up reference shards: bounded sets of passages, each with the smallest
+id of a document that holds it. A suffix automaton over the words of a shard knows for
 every window the smallest id it occurs under. Passages run through the automaton
 of their shard; what they match over the length threshold under a smaller id
-becomes part of a span to remove.
+becomes part of a span to remove. A route too large for a shard is told apart by
+its single windows, which are grouped instead.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -59,7 +63,11 @@ def anchor_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
                 words = split_words(data, offsets, lower=False)
                 first, _, grams = anchors(words, window, anchor)
                 texts = words.texts[first]
-                order = np.lexsort((grams, texts))
+                # Neighbouring windows mostly share an anchor; the rest is sorted by one number.
+                fresh = np.ones(len(grams), bool)
+                fresh[1:] = (grams[1:] != grams[:-1]) | (texts[1:] != texts[:-1])
+                grams, texts = grams[fresh], texts[fresh]
+                order = np.argsort(mix(grams + mix(texts.astype(np.uint64))))
                 grams, texts = grams[order], texts[order]
                 fresh = np.ones(len(grams), bool)
                 fresh[1:] = (grams[1:] != grams[:-1]) | (texts[1:] != texts[:-1])
@@ -77,12 +85,13 @@ def anchor_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
 
 def passages(hits: DataFrame, window: int, anchor: int) -> DataFrame:
-    """(doc_id, row, start, route, p1, p2, passage) around the shared anchors of each document.
+    """(doc_id, row, start, n, route, p1, p2, passage) around the shared anchors of each document.
 
     ``hits`` has (doc_id, row, text, grams, common). A passage covers the
     neighbouring windows of one anchor and goes where its anchor goes; for
     anchors in ``common``, which many documents hold, every window is a passage
-    of its own and goes where its own hash goes. p1 and p2 name the passage.
+    of its own and goes where its own hash goes. n counts the windows, p1 and p2
+    name the passage.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,7 +100,7 @@ def passages(hits: DataFrame, window: int, anchor: int) -> DataFrame:
                 words = split_words(data, offsets, lower=False)
                 first, place, grams = anchors(words, window, anchor)
                 texts = words.texts[first]
-                out = [[] for _ in range(7)]
+                out = [[] for _ in range(8)]
                 for i in range(end - start):
                     shared = np.array(batch.column(3)[start + i].as_py(), np.int64).view(np.uint64)
                     common = np.array(batch.column(4)[start + i].as_py(), bool)
@@ -116,17 +125,17 @@ def passages(hits: DataFrame, window: int, anchor: int) -> DataFrame:
                         name = hashlib.blake2b(text, digest_size=16).digest()
                         p1, p2 = (int.from_bytes(name[k : k + 8], "little", signed=True) for k in (0, 8))
                         route = p1 if single else int(grams[b].view(np.int64))
-                        values = (doc_id, row, int(first[b] - base), route, p1, p2, text.decode("utf-8"))
+                        values = (doc_id, row, int(first[b] - base), int(e - b) + 1, route, p1, p2, text.decode("utf-8"))
                         for column, value in zip(out, values, strict=True):
                             column.append(value)
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(c, pa.int64()) for c in out[:6]), pa.array(out[6], pa.string())],
-                    names=["doc_id", "row", "start", "route", "p1", "p2", "passage"],
+                    [*(pa.array(c, pa.int64()) for c in out[:7]), pa.array(out[7], pa.string())],
+                    names=["doc_id", "row", "start", "n", "route", "p1", "p2", "passage"],
                 )
 
     return hits.mapInArrow(
         run,
-        "doc_id bigint, row bigint, start bigint, route bigint, p1 bigint, p2 bigint, passage string",
+        "doc_id bigint, row bigint, start bigint, n bigint, route bigint, p1 bigint, p2 bigint, passage string",
     )
 
 
@@ -222,6 +231,19 @@ def earliest(shards: DataFrame, window: int) -> DataFrame:
     return shards.groupBy("shard").applyInArrow(run, "p1 bigint, p2 bigint, least array<bigint>")
 
 
+def earliest_by_window(crowded: DataFrame, window: int) -> DataFrame:
+    """(p1, p2, least) as :func:`earliest`, by grouping the windows themselves; no group is held in memory."""
+    tokens = F.split("passage", " ")
+    at = F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int")))
+    windows = crowded.select("p1", "p2", "doc_id", tokens.alias("tokens"), at.alias("at")).select(
+        "p1", "p2", "doc_id", "at", F.array_join(F.slice("tokens", F.col("at") + 1, window), " ").alias("window")
+    )
+    least = windows.groupBy("window").agg(F.min("doc_id").alias("least"))
+    placed = windows.drop("doc_id").join(least, "window").groupBy("p1", "p2")
+    found = F.array_sort(F.collect_list(F.struct("at", "least")))
+    return placed.agg(F.transform(found, lambda x: x["least"]).alias("least"))
+
+
 def repeated_windows(
     docs: DataFrame,
     store: StageStore,
@@ -237,9 +259,10 @@ def repeated_windows(
     ``row`` tells rows of one id apart. Anchors of windows are counted over all
     documents first; only documents with an anchor of at least two rows go on,
     and only the passages around such anchors. Distinct passages are gathered
-    before they meet an automaton, so copies, however many, cost one pass. A
-    shard has about ``passages_per_shard`` passages; anchors of more than
-    ``common_docs`` documents spread over shards by single windows.
+    first, so copies, however many, cost one pass, and routes of one distinct passage
+    need no automaton. A shard has about ``passages_per_shard`` passages; routes
+    of more of them are compared by windows. Anchors of more than ``common_docs``
+    documents spread by single windows, each a route of its own.
     """
     slim = docs.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))).alias("doc_id"),
@@ -276,11 +299,27 @@ def repeated_windows(
         "passages",
     )
     distinct = store.keep(
-        found.groupBy("route", "p1", "p2", "passage").agg(F.min("doc_id").alias("doc_id")), "distinct"
+        found.groupBy("route", "p1", "p2", "n", "passage").agg(F.min("doc_id").alias("doc_id")), "distinct"
+    )
+    own = ("p1", "p2", "n", "doc_id")
+    routes = store.keep(
+        distinct.groupBy("route").agg(F.count(F.lit(1)).alias("k"), *(F.first(c).alias(c) for c in own)), "routes"
     )
-    shards = max(1, math.ceil(distinct.count() / passages_per_shard))
-    sharded = distinct.withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards)))
-    least = store.keep(earliest(sharded.drop("route"), window), "least")
+    # One passage: its windows occur nowhere else.
+    alone = routes.where("k = 1").select("p1", "p2", F.array_repeat("doc_id", F.col("n").cast("int")).alias("least"))
+    in_shards = F.col("k") <= passages_per_shard
+    sizes = routes.where("k > 1").agg(
+        F.sum(F.when(in_shards, F.col("k"))).alias("sharded"), F.sum(F.when(~in_shards, F.col("k"))).alias("crowded")
+    ).first()
+    several = distinct.join(routes.where("k > 1").select("route", "k"), "route")
+    answers = [alone]
+    if sizes["sharded"]:
+        shards = math.ceil(sizes["sharded"] / passages_per_shard)
+        sharded = several.where(in_shards).withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards)))
+        answers.append(earliest(sharded.select("shard", "p1", "p2", "doc_id", "passage"), window))
+    if sizes["crowded"]:
+        answers.append(earliest_by_window(several.where(~in_shards), window))
+    least = store.keep(reduce(DataFrame.unionByName, answers), "least")
     flagged = (
         found.select("doc_id", "row", "start", "p1", "p2")
         .join(least, ["p1", "p2"])

@@ -2,11 +2,14 @@
 
 Texts lie behind one another in one byte buffer. Word boundaries come from
 byte masks and word hashes from prefix sums of a polynomial, so no loop runs
-over words. Callers pass slices of bounded size.
+over words. The polynomial is taken modulo two primes: modulo a power of two,
+crafted words (Thue-Morse strings) would share a hash whatever the base.
+Callers pass slices of bounded size, or one text that is larger.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,7 +17,10 @@ import numpy as np
 import pyarrow as pa
 
 BASE = 0x9E3779B97F4A7C15
-MASK = (1 << 64) - 1
+#: Prime and base of each half of a word's hash.
+FIELDS = (((1 << 31) - 1, 0x5BD1E995), ((1 << 31) - 19, 0x1B873593))
+#: Words from this many bytes on are hashed apart: sums of shorter ones fit into 64 bits.
+LONG_WORD = 1 << 24
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -37,17 +43,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 _powers: list[np.ndarray] = []
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """First ``n`` powers of the base and of its inverse, modulo 2**64."""
+def powers(n: int) -> list[np.ndarray]:
+    """First ``n`` powers of each base and of its inverse, modulo its prime."""
     if not _powers or len(_powers[0]) < n:
         size = max(n, 2 * SLICE_BYTES)
         made = []
-        for base in (BASE, pow(BASE, -1, 1 << 64)):
-            steps = np.full(size, base & MASK, np.uint64)
-            steps[0] = 1
-            made.append(np.cumprod(steps, dtype=np.uint64))
+        for prime, base in FIELDS:
+            for step in (base, pow(base, -1, prime)):
+                steps = np.ones(1, np.uint64)
+                while len(steps) < size:
+                    steps = np.concatenate([steps, steps * np.uint64(pow(step, len(steps), prime)) % np.uint64(prime)])
+                made.append(steps[:size].astype(np.uint32))
         _powers[:] = made
-    return _powers[0][:n], _powers[1][:n]
+    return [p[:n] for p in _powers]
 
 
 @dataclass
@@ -85,10 +93,18 @@ def split_words(data: np.ndarray, offsets: np.ndarray, lower: bool) -> Words:
     last = first[1:] | np.append(space[1:], True) if n else np.zeros(0, bool)
     starts = np.flatnonzero(~space & first[:n])
     ends = np.flatnonzero(~space & last) + 1
-    up, down = powers(n + 1)
+    letters, steps = data.astype(np.uint64) + np.uint64(1), powers(n + 1)
     prefix = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=prefix[1:])
-    hashes = mix((prefix[ends] - prefix[starts]) * down[starts])
+    hashes = np.zeros(len(starts), np.uint64)
+    for k, (prime, _) in enumerate(FIELDS):
+        up, down = steps[2 * k : 2 * k + 2]
+        np.cumsum(letters * up[:n], out=prefix[1:])
+        half = (prefix[ends] - prefix[starts]) % np.uint64(prime) * down[starts] % np.uint64(prime)
+        hashes |= half << np.uint64(32 * k)
+    hashes = mix(hashes)
+    for i in np.flatnonzero(ends - starts >= LONG_WORD):
+        name = hashlib.blake2b(data[starts[i] : ends[i]], digest_size=8).digest()
+        hashes[i] = int.from_bytes(name, "little")
     texts = np.searchsorted(offsets, starts, side="right") - 1
     bounds = np.searchsorted(starts, offsets)
     return Words(data, starts, ends, hashes, texts, bounds)

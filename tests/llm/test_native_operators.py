@@ -8,11 +8,12 @@ import struct
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from fairlead.llm import line_dedup, mixing, quality_rules, sharding
+from fairlead.llm import line_dedup, mixing, oracle, quality_rules, sharding
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -173,6 +174,28 @@ def test_small_shards_hand_on_what_they_cannot_take(spark):
     assert sum(r.taken for r in got) == 4500 // 32 * 32
 
 
+def test_mix_of_many_shards_equals_sql(spark, make_docs):
+    """Small shards, a hot source and repeated ids; words over a shard's limit are handed on."""
+    con = duckdb.connect()
+    rows = [(i % 260, "w " * (i * 7919 % 40), "en", ("a", "b", "hot", None)[min(i % 7, 3)], 1) for i in range(500)]
+    rows += [(None, None, None, None, None), (None, "x y", None, "b", 3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    con.register("documents", docs.toArrow())
+    for per_shard in (20, 5):
+        sql = oracle.MIXING.replace("/ 20000", f"/ {per_shard}")
+        want = con.execute(f"SELECT doc_id, source, size, target, taken FROM ({sql})").fetchall()
+        got = mixing.mix(docs, rows_per_shard=per_shard).select("doc_id", "source", "size", "target", "taken").collect()
+        assert Counter(map(tuple, got)) == Counter(want)
+    assert sum(r.taken for r in got) == sum(r[0] for r in {(w[3], w[1]) for w in want}) // 32 * 32
+
+
+def test_rows_of_one_id_spread_over_shards(spark):
+    rows = [(None if i % 3 else 7, f"text {i}", "s") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    taken = mixing.mix(docs, rows_per_shard=100, share=0.5).agg(F.sum("taken"), F.max("passes")).first()
+    assert taken[0] == 3000 // 32 * 32 and taken[1] == 0
+
+
 def test_mixing_edge_cases(edge_docs, no_docs, edge_rows):
     rows = mixing.mix(edge_docs).collect()
     assert len(rows) == len(edge_rows)

@@ -45,58 +45,90 @@ def test_array_words_match_the_pattern(most):
 # Language-model scores
 
 
-def test_lm_scores_match_brute_force(edge_docs, edge_rows, no_docs, store):
-    rows = [(d, tokens_of(t)) for d, t, *_ in edge_rows]
-    words = Counter(w for _, ws in rows for w in ws)
-    pairs = Counter(p for _, ws in rows for p in zip(ws, ws[1:], strict=False))
-    total = sum(words.values())
-    want = defaultdict(float)
-    for d, ws in rows:
-        want[d] += 0.0
-        for i, b in enumerate(ws):
-            if i == 0:
-                want[d] += math.log(words[b] / total)
-            elif pairs[ws[i - 1], b] >= 2:
-                want[d] += math.log(pairs[ws[i - 1], b] / words[ws[i - 1]])
-            else:
-                want[d] += math.log(0.4 * words[b] / total)
-    got = lm_scoring.score_documents(edge_docs, store).collect()
-    assert {r.doc_id: r.log_score for r in got} == pytest.approx(dict(want))
-    assert len(got) == len(want)
-    assert {r.doc_id for r in got if r.mean_log_score is None} == {d for d in want if not any(ws for x, ws in rows if x == d)}
-    assert lm_scoring.score_documents(no_docs, store).count() == 0
+def test_crafted_words_have_hashes_of_their_own():
+    """Thue-Morse strings agree modulo a power of two under any base."""
+    one, other = "a", "b"
+    for _ in range(11):
+        one, other = one + other, other + one
+    (_, _, data, offsets), = text_slices(pa.array([f"{one} {other} {one}"]))
+    a, b, again = split_words(data, offsets, lower=False).hashes.tolist()
+    assert a == again != b
+
+
+def test_words_hashed_apart(monkeypatch):
+    from fairlead.llm import token_arrays
 
+    monkeypatch.setattr(token_arrays, "LONG_WORD", 4)
+    (_, _, data, offsets), = text_slices(pa.array(["abc abcdef xyz abcdef abcdeg"]))
+    hashes = split_words(data, offsets, lower=False).hashes.tolist()
+    assert hashes[1] == hashes[3] and len(set(hashes)) == 4
 
-def brute_scores(rows, order):
-    """log score by id, every run of words counted."""
+
+def brute_scores(rows, order, counted=None, discount=0.4):
+    """log score by id: the longest counted run decides, each dropped word costs the discount."""
+    counted = rows if counted is None else counted
     counts = Counter(
-        tuple(ws[i : i + k]) for _, ws in rows for k in range(1, order + 1) for i in range(len(ws) - k + 1)
+        tuple(ws[i : i + k]) for _, ws in counted for k in range(1, order + 1) for i in range(len(ws) - k + 1)
     )
-    total = sum(len(ws) for _, ws in rows)
-    want = defaultdict(float)
+    total = sum(len(ws) for _, ws in counted) or 1
+    want, backed_off = defaultdict(float), 0
     for d, ws in rows:
         want[d] += 0.0
         for i in range(len(ws)):
-            context = tuple(ws[max(0, i - order + 1) : i])
-            want[d] += math.log(counts[(*context, ws[i])] / (counts[context] if context else total))
-    return want
+            context, factor = tuple(ws[max(0, i - order + 1) : i]), 1.0
+            while context and not counts[(*context, ws[i])]:
+                context, factor, backed_off = context[1:], factor * discount, backed_off + 1
+            run = (*context, ws[i])
+            want[d] += math.log(factor * (counts[run] or 1) / (counts[context] if context else total))
+    return want, backed_off
+
 
+def score_of(rows):
+    return {r.doc_id: r.log_score for r in rows}
 
-def test_pairs_seen_once_count(edge_docs, edge_rows, no_docs, make_docs, store):
-    want = brute_scores([(d, tokens_of(t)) for d, t, *_ in edge_rows], 2)
-    got = lm_scoring.score_with_all_counts(edge_docs, store).collect()
-    assert {r.doc_id: r.log_score for r in got} == pytest.approx(dict(want))
+
+def test_lm_scores_match_brute_force(edge_docs, edge_rows, no_docs, make_docs, store):
+    rows = [(d, tokens_of(t)) for d, t, *_ in edge_rows]
+    want, _ = brute_scores(rows, 2)
+    got = lm_scoring.score_documents(edge_docs, store).collect()
+    assert score_of(got) == pytest.approx(dict(want))
     assert len(got) == len(want)
-    (rare,) = lm_scoring.score_with_all_counts(make_docs(["a b a c"]), store).collect()
+    assert {r.doc_id for r in got if r.mean_log_score is None} == {d for d in want if not any(ws for x, ws in rows if x == d)}
+    assert lm_scoring.score_documents(no_docs, store).count() == 0
+    (rare,) = lm_scoring.score_documents(make_docs(["a b a c"]), store).collect()
     assert rare.log_score == pytest.approx(math.log(2 / 4) + math.log(1 / 2) + math.log(1 / 1) + math.log(1 / 2))
-    assert lm_scoring.score_with_all_counts(no_docs, store).count() == 0
+
+
+@pytest.mark.parametrize("frequent", [0, 1, 5, 1 << 16])
+def test_frequent_runs_change_no_score(edge_docs, edge_rows, store, frequent):
+    want, _ = brute_scores([(d, tokens_of(t)) for d, t, *_ in edge_rows], 2)
+    got = lm_scoring.score_with_all_counts(edge_docs, store, hash_passes=3, frequent_runs=frequent).collect()
+    assert score_of(got) == pytest.approx(dict(want))
 
 
 def test_longer_contexts_count(make_docs, store):
     texts = ["a b c a b d a b c", "x a b c", "a b", "c", ""]
-    want = brute_scores([(i, tokens_of(t)) for i, t in enumerate(texts)], 3)
-    got = lm_scoring.score_with_all_counts(make_docs(texts), store, order=3, hash_passes=2).collect()
-    assert {r.doc_id: r.log_score for r in got} == pytest.approx(dict(want))
+    want, _ = brute_scores([(i, tokens_of(t)) for i, t in enumerate(texts)], 3)
+    docs = make_docs(texts)
+    assert score_of(lm_scoring.score_with_all_counts(docs, store, order=3).collect()) == pytest.approx(dict(want))
+    assert score_of(lm_scoring.score_documents(docs, store, docs, order=3).collect()) == pytest.approx(dict(want))
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_other_documents_back_off(make_docs, no_docs, store, order):
+    rng = random.Random(order)
+    letters = "abcde"
+    known = [" ".join(rng.choices(letters, k=rng.randint(0, 12))) for _ in range(12)]
+    fresh = [" ".join(rng.choices(letters + "xy", k=rng.randint(0, 20))) for _ in range(20)] + [None, "", "x"]
+    rows = [(i, tokens_of(t)) for i, t in enumerate(fresh)]
+    want, backed_off = brute_scores(rows, order, [(0, tokens_of(t)) for t in known])
+    assert backed_off > 20
+    got = lm_scoring.score_documents(make_docs(fresh), store, make_docs(known), order=order).collect()
+    assert score_of(got) == pytest.approx(dict(want))
+    # Nothing counted: every word counts as one.
+    empty, _ = brute_scores(rows, order, [])
+    got = lm_scoring.score_documents(make_docs(fresh), store, no_docs, order=order).collect()
+    assert score_of(got) == pytest.approx(dict(empty))
 
 
 # Byte-pair coding
@@ -179,6 +211,37 @@ def test_substring_dedup_matches_brute_force(make_docs, store, options):
     assert Counter(map(tuple, got)) == brute_repeats(list(enumerate(texts)), 13)
 
 
+def test_one_anchor_in_many_varied_passages(make_docs, store, monkeypatch):
+    """A route larger than a shard meets no automaton; single passages need none."""
+    def hash_of(run):
+        (_, _, data, offsets), = text_slices(pa.array([run]))
+        return int(substring_dedup.mix(split_words(data, offsets, lower=False).windows(5)[0])[0])
+
+    run = min((f"q{i} one two three four" for i in range(20_000)), key=hash_of)
+    rng = random.Random(8)
+    texts = []
+    for _ in range(300):
+        around = [" ".join(f"{side}{rng.randint(0, 1)}" for _ in range(12)) for side in "lr"]
+        texts.append(f"{around[0]} {run} {around[1]} " + " ".join(f"z{rng.randint(0, 10**6)}" for _ in range(8)))
+    shards = []
+    build = substring_dedup.earliest
+
+    def watched(sharded, window):
+        shards.extend(r["count"] for r in sharded.groupBy("shard").count().collect())
+        return build(sharded, window)
+
+    monkeypatch.setattr(substring_dedup, "earliest", watched)
+    got = substring_dedup.remove_repeats(make_docs(texts), store, passages_per_shard=40)
+    got = got.select("doc_id", "n_words", "n_removed", "kept").collect()
+    want = brute_repeats(list(enumerate(texts)), 13)
+    assert Counter(map(tuple, got)) == want and any(removed for _, _, removed, _ in want)
+    assert all(n <= 4 * 40 for n in shards)
+    shards.clear()
+    copies = ["  ".join(f"w{i}" for i in range(200))] * 5
+    got = substring_dedup.remove_repeats(make_docs(copies), store).select("doc_id", "n_removed").collect()
+    assert sorted(map(tuple, got)) == [(0, 0), *((d, 200) for d in range(1, 5))] and not shards
+
+
 def test_substring_edge_cases(edge_docs, edge_rows, no_docs, store):
     got = substring_dedup.remove_repeats(edge_docs, store).select("doc_id", "n_words", "n_removed", "kept").collect()
     assert Counter(map(tuple, got)) == brute_repeats([(d, t) for d, t, *_ in edge_rows], 13)
