@@ -21,6 +21,7 @@ from fairlead.sources import day_tables, position_files
 from fairlead.sources.event_feed import ais_points
 from fairlead.sources.position_files import FEED_DATE_FORMAT
 from fairlead.sources.stages import StageStore
+from fairlead.streaming.proximity import land_near_pairs, near_pairs_on_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -251,6 +252,18 @@ def near_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(near, distance_m=3)
 
 
+def near_pairs_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near pairs by the stream join over the files of the clean points."""
+    store, clean = StageStore(spark), _clean(spark, sf_dir).select(*proximity.PLACE_COLUMNS)
+    points, out = store.path("clean_points"), store.path("near_pairs")
+    clean.write.parquet(points)
+    stream = spark.readStream.schema(clean.schema).parquet(points)
+    land_near_pairs(stream, out, store.path("checkpoint"), cfg=CFG).awaitTermination()
+    schema = near_pairs_on_stream(clean, cfg=CFG).schema
+    near = spark.read.schema(schema).parquet(out).select(*PAIR_ROW, "distance_m")
+    return rounded(near, distance_m=3)
+
+
 def closest_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis(spark, sf_dir).closest_pairs
 
@@ -407,6 +420,7 @@ def queries() -> dict[str, Query]:
         "overlapping_windows": overlapping_windows,
         "pair_band_join": pair_band_join,
         "near_pairs": near_pairs,
+        "near_pairs_stream": near_pairs_stream,
         "closest_pair": closest_pair,
         "candidate_windows": candidate_windows,
         "pair_points": pair_points,

@@ -353,6 +353,10 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {_PAIR_ROW}, round(distance_nm * {METRES_PER_NM}, 3) AS distance_m FROM near",
             "near",
         ),
+        "near_pairs_stream": sql(
+            f"SELECT {_PAIR_ROW}, round(distance_nm * {METRES_PER_NM}, 3) AS distance_m FROM near",
+            "near",
+        ),
         "closest_pair": sql(
             """SELECT file_day, mmsi AS mmsi_1, b_mmsi AS mmsi_2, name AS name_1,
                  b_name AS name_2, ts AS ts_1, b_ts AS ts_2, time_diff_sec,
