@@ -91,6 +91,16 @@ def test_pipeline_stages_match_brute_force(spark, store):
     assert all(r.n_tokens == len(np.frombuffer(r.ids, "<u4")) for r in kept["bpe_encoding"])
 
 
+def test_pipeline_decodes_what_it_encodes(spark, make_docs):
+    """The last stage is the whole method: ids and the text they decode to."""
+    texts = ["Hello, world 42!", None, "", "naïve <|endoftext|> 漢字"]
+    rows = corpus_pipeline.bpe_encoding(spark, make_docs(texts), SMALL).collect()
+    coder = bpe.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert {r.doc_id: (bytes(r.ids), r.decoded) for r in rows} == {
+        i: (coder.encode(t or ""), coder.decode(coder.encode(t or ""))) for i, t in enumerate(texts)
+    }
+
+
 def test_pipeline_run_gives_the_last_stage(spark):
     rows = corpus_pipeline.run(spark, SMALL).agg(F.count("*"), F.sum("n_tokens")).first()
     assert rows[0] > 0 and rows[1] > 0
