@@ -453,3 +453,36 @@ def test_headers_of_many_files_take_one_job(spark, tmp_path):
     assert jobs <= 2  # one lists the files, one reads
     assert spark.conf.get("spark.sql.files.openCostInBytes") != position_files.FIRST_LINES["spark.sql.files.openCostInBytes"]
     assert {h: len(f) for h, f in position_files.by_layout(spark, paths).items()} == {"a,b": 134, "b,a,c": 67}
+
+
+def test_headers_start_no_python_process(spark, tmp_path, monkeypatch):
+    """With thousands of daily files a process per file takes most of the time."""
+    paths = [write_file(tmp_path / f"{i}.csv", "1,2", "3,4", header=f"a,b{i}") for i in range(3)]
+
+    def refuse(*_):
+        raise AssertionError("a Python process per file")
+
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", refuse)
+    found = position_files.headers(spark, [str(p) for p in paths])
+    assert sorted(found.values()) == ["a,b0", "a,b1", "a,b2"]
+
+
+def test_many_small_days_are_written_by_several_tasks(spark, tmp_path):
+    """One task opens no file for each of many days, and each day is one file still."""
+    days = [f"2021-12-{d:02}" for d in range(1, 32)]
+    table = DayTable(spark, str(tmp_path), "small", "x int, file_day string")
+    merging = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    table.write(spark.createDataFrame([(1, d) for d in days], "x int, file_day string"), {d: [d] for d in days})
+    files = [f.name for f in tmp_path.glob("small/version=*/file_day=*/part-*.parquet")]
+    assert len(files) == len(days)
+    assert len({name.split("-")[1] for name in files}) > 2
+    assert sorted(r.file_day for r in table.read().collect()) == days
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == merging
+
+
+def test_label_is_split_off_without_trying_each_place(spark, tmp_path):
+    """Before, a pattern on the whole path took most of the time of reading."""
+    rows = position_files.read_feed(spark, str(write_file(tmp_path / "a.b-2021-12-01.csv", "1,2", header="a,b")))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "([^/]*)/*$" not in plan
+    assert [r.file_day for r in rows.collect()] == ["2021-12-01"]
