@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from fairlead.llm import bpe, classifier, fingerprint, lm_scoring, minhash, substring_dedup
@@ -541,3 +542,27 @@ def test_fingerprints_of_one_id_are_dealt_to_many_ranges(spark):
     assert sum(sizes) == len(rows) + len(sizes) and max(sizes) < 600
     got = fingerprint.fingerprint_documents(docs, bytes_per_range=4_096).collect()
     assert Counter((r.doc_id, r.n_chars, r.edited) for r in got) == brute_edited(rows)
+
+
+def test_counts_take_one_pass_however_many_parts_are_joined(spark, make_docs, store, monkeypatch):
+    passes, tally = [], lm_scoring.tallied_runs
+    monkeypatch.setattr(lm_scoring, "tallied_runs", lambda *given: passes.append(given) or tally(*given))
+    texts = ["a b a c", "b a c a", "", None, "c c c a b"]
+    joined = lm_scoring.HASH_JOIN_BYTES
+    before = spark.conf.get(joined, "0")
+    scores = [
+        sorted((r.doc_id, r.n_words, round(r.log_score, 9)) for r in lm_scoring.score_with_all_counts(
+            make_docs(texts), store, hash_passes=parts, frequent_runs=1).collect())
+        for parts in (1, 3)
+    ]
+    assert scores[0] == scores[1] and len(scores[0]) == len(texts)
+    assert len(passes) == 2
+    assert spark.conf.get(joined, "0") == before
+
+
+def test_parts_follow_the_unsigned_hash(spark):
+    grams = [0, 1, -1, 7, -7, (1 << 63) - 1, -(1 << 63)]
+    rows = spark.createDataFrame([(g,) for g in grams], "gram bigint")
+    for parts in (1, 2, 3, 7):
+        got = {r.gram: r.part for r in rows.select("gram", lm_scoring.hash_part(F.col("gram"), parts).alias("part")).collect()}
+        assert got == {g: g % (1 << 64) % parts for g in grams}
