@@ -23,12 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairlead.llm.common import row_hash
-from fairlead.llm.token_arrays import Words, mix, split_words, text_slices
+from fairlead.llm.token_arrays import IS_SPACE, Words, mix, split_words, text_slices, word_bounds
 from fairlead.sources.stages import StageStore
 
 WINDOW = 13
 ANCHOR = 5
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Text bytes handled together; their arrays fit into a processor's cache.
+PART_BYTES = 1 << 18
 
 
 def anchors(words: Words, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -43,15 +45,18 @@ def anchors(words: Words, window: int, anchor: int) -> tuple[np.ndarray, np.ndar
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(0, np.uint64)
     hashes, first = words.windows(anchor)
-    at = np.full(n, NONE)
-    at[first] = mix(hashes)
+    best = np.full(n, NONE)
+    best[first] = mix(hashes)
+    place = np.arange(n)
+    # The smallest of up to twice as many anchors at each step, the first of equal ones.
+    covered, most = 1, window - anchor + 1
+    while covered < most:
+        by = min(covered, most - covered)
+        lower = best[by:] < best[:-by]
+        best, place = np.where(lower, best[by:], best[:-by]), np.where(lower, place[by:], place[:-by])
+        covered += by
     starts = np.flatnonzero(words.texts[: n - window + 1] == words.texts[window - 1 :])
-    best, place = at[starts], np.zeros(len(starts), np.int64)
-    for k in range(1, window - anchor + 1):
-        value = at[starts + k]
-        lower = value < best
-        best, place = np.where(lower, value, best), np.where(lower, k, place)
-    return starts, starts + place, best
+    return starts, place[starts], best[starts]
 
 
 def anchor_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
@@ -59,7 +64,7 @@ def anchor_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, end, data, offsets in text_slices(batch.column(2)):
+            for start, end, data, offsets in text_slices(batch.column(2), PART_BYTES):
                 words = split_words(data, offsets, lower=False)
                 first, _, grams = anchors(words, window, anchor)
                 texts = words.texts[first]
@@ -84,52 +89,76 @@ def anchor_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     return docs.mapInArrow(run, "gram bigint, doc_id bigint, row bigint")
 
 
+def single_spaced(words: Words) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The texts with one space between words, and the byte range of each word there."""
+    data = words.data.copy()
+    kept = ~IS_SPACE[data]
+    after = words.ends[words.ends < len(data)]
+    after = after[~kept[after]]  # else the next text starts here
+    kept[after] = True
+    data[after] = 0x20
+    place = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(kept, out=place[1:])
+    return data[kept].tobytes(), place[words.starts], place[words.ends]
+
+
 def passages(hits: DataFrame, window: int, anchor: int) -> DataFrame:
     """(doc_id, row, start, n, route, p1, p2, passage) around the shared anchors of each document.
 
-    ``hits`` has (doc_id, row, text, grams, common). A passage covers the
-    neighbouring windows of one anchor and goes where its anchor goes; for
-    anchors in ``common``, which many documents hold, every window is a passage
-    of its own and goes where its own hash goes. n counts the windows, p1 and p2
-    name the passage.
+    ``hits`` has (doc_id, row, text, grams), grams with the fields (gram, common).
+    A passage covers the neighbouring windows of one anchor and goes where its
+    anchor goes; for common anchors, which many documents hold, every window is
+    a passage of its own and goes where its own hash goes. n counts the windows,
+    p1 and p2 name the passage.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, end, data, offsets in text_slices(batch.column(2)):
+            found = batch.column(3)
+            found_bounds, fields = found.offsets.to_numpy(), found.values.flatten()
+            shared = fields[0].to_numpy().view(np.uint64)
+            common = fields[1].to_numpy(zero_copy_only=False)
+            for start, end, data, offsets in text_slices(batch.column(2), PART_BYTES):
                 words = split_words(data, offsets, lower=False)
                 first, place, grams = anchors(words, window, anchor)
                 texts = words.texts[first]
-                out = [[] for _ in range(8)]
+                bounds = np.searchsorted(texts, np.arange(end - start + 1))
+                held, alone = np.zeros(len(first), bool), np.zeros(len(first), bool)
                 for i in range(end - start):
-                    shared = np.array(batch.column(3)[start + i].as_py(), np.int64).view(np.uint64)
-                    common = np.array(batch.column(4)[start + i].as_py(), bool)
-                    low, high = np.searchsorted(texts, [i, i + 1])
-                    at = np.searchsorted(shared, grams[low:high])
-                    at[at == len(shared)] = 0
-                    held = shared[at] == grams[low:high]
-                    where = np.flatnonzero(held)
-                    if not len(where):
-                        continue
-                    alone = common[at[where]]
-                    where = where + low
-                    opens = np.ones(len(where), bool)
-                    opens[1:] = (place[where[1:]] != place[where[:-1]]) | alone[1:]
-                    begins = where[opens]
-                    ends = where[np.append(np.flatnonzero(opens)[1:] - 1, len(where) - 1)]
-                    base = words.bounds[i]
-                    tokens = data[offsets[i] : offsets[i + 1]].tobytes().split()
-                    doc_id, row = batch.column(0)[start + i].as_py(), batch.column(1)[start + i].as_py()
-                    for b, e, single in zip(begins, ends, alone[opens], strict=True):
-                        text = b" ".join(tokens[first[b] - base : first[e] - base + window])
-                        name = hashlib.blake2b(text, digest_size=16).digest()
-                        p1, p2 = (int.from_bytes(name[k : k + 8], "little", signed=True) for k in (0, 8))
-                        route = p1 if single else int(grams[b].view(np.int64))
-                        values = (doc_id, row, int(first[b] - base), int(e - b) + 1, route, p1, p2, text.decode("utf-8"))
-                        for column, value in zip(out, values, strict=True):
-                            column.append(value)
+                    low, high = bounds[i : i + 2]
+                    a, b = found_bounds[start + i : start + i + 2]
+                    order = a + np.argsort(shared[a:b])
+                    own = shared[order]
+                    at = np.searchsorted(own, grams[low:high])
+                    at[at == len(own)] = 0
+                    held[low:high] = own[at] == grams[low:high]
+                    alone[low:high] = common[order][at]
+                where = np.flatnonzero(held)
+                if not len(where):
+                    continue
+                alone = alone[where]
+                # An anchor starts at one place, so neither texts nor gaps in between share one.
+                opens = np.ones(len(where), bool)
+                opens[1:] = (place[where[1:]] != place[where[:-1]]) | alone[1:]
+                begins = where[opens]
+                ends = where[np.append(np.flatnonzero(opens)[1:] - 1, len(where) - 1)]
+                plain, word_starts, word_ends = single_spaced(words)
+                low, high = word_starts[first[begins]], word_ends[first[ends] + window - 1]
+                parts = [plain[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+                names = b"".join([hashlib.blake2b(part, digest_size=16).digest() for part in parts])
+                p1, p2 = np.frombuffer(names, "<i8").reshape(-1, 2).T
+                whose = texts[begins]
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(c, pa.int64()) for c in out[:7]), pa.array(out[7], pa.string())],
+                    [
+                        batch.column(0).slice(start, end - start).take(pa.array(whose)),
+                        batch.column(1).slice(start, end - start).take(pa.array(whose)),
+                        pa.array(first[begins] - words.bounds[whose]),
+                        pa.array(ends - begins + 1),
+                        pa.array(np.where(alone[opens], p1, grams[begins].view(np.int64))),
+                        pa.array(np.ascontiguousarray(p1)),
+                        pa.array(np.ascontiguousarray(p2)),
+                        pa.array(parts, pa.binary()).view(pa.string()),
+                    ],
                     names=["doc_id", "row", "start", "n", "route", "p1", "p2", "passage"],
                 )
 
@@ -142,50 +171,59 @@ def passages(hits: DataFrame, window: int, anchor: int) -> DataFrame:
 class SuffixAutomaton:
     """Suffix automaton of word sequences with the smallest id below each state.
 
-    Sequences are divided by separators that occur once, so no match crosses.
+    Every sequence is read from the start state, along what is known already, so
+    no match crosses from one into the next.
     """
 
     def __init__(self, sequences: list[list], ids: list[int]):
-        self.next: list[dict] = [{}]
-        self.link = [-1]
-        self.length = [0]
-        self.least = [math.inf]
-        last = 0
-        for k, (sequence, doc_id) in enumerate(zip(sequences, ids, strict=True)):
+        self.next = following = [{}]
+        self.link = link = [-1]
+        self.length = length = [0]
+        self.least = least = [math.inf]
+        for sequence, doc_id in zip(sequences, ids, strict=True):
+            last = 0
             for symbol in sequence:
-                last = self._extend(last, symbol, doc_id)
-            last = self._extend(last, k, math.inf)  # numbers are separators, words are strings
-        for state in sorted(range(1, len(self.length)), key=self.length.__getitem__, reverse=True):
-            up = self.link[state]
-            if self.least[state] < self.least[up]:
-                self.least[up] = self.least[state]
-
-    def _extend(self, last: int, symbol, doc_id: float) -> int:
-        following, link, length, least = self.next, self.link, self.length, self.least
-        state = len(length)
-        following.append({})
-        link.append(0)
-        length.append(length[last] + 1)
-        least.append(doc_id)
-        p = last
-        while p >= 0 and symbol not in following[p]:
-            following[p][symbol] = state
-            p = link[p]
-        if p >= 0:
-            q = following[p][symbol]
-            if length[q] == length[p] + 1:
-                link[state] = q
-            else:
-                copy = len(length)
-                following.append(following[q].copy())
-                link.append(link[q])
+                p, step = last, following[last]
+                last = step.get(symbol)
+                if last is not None:
+                    if length[last] != length[p] + 1:
+                        last = self._split(p, symbol)
+                    if doc_id < least[last]:
+                        least[last] = doc_id
+                    continue
+                last = len(length)
+                following.append({})
+                link.append(0)
                 length.append(length[p] + 1)
-                least.append(math.inf)
-                while p >= 0 and following[p].get(symbol) == q:
-                    following[p][symbol] = copy
+                least.append(doc_id)
+                while symbol not in step:
+                    step[symbol] = last
                     p = link[p]
-                link[q] = link[state] = copy
-        return state
+                    if p < 0:
+                        break
+                    step = following[p]
+                else:
+                    q = step[symbol]
+                    link[last] = q if length[q] == length[p] + 1 else self._split(p, symbol)
+        for state in np.argsort(length)[:0:-1].tolist():
+            up = link[state]
+            if least[state] < least[up]:
+                least[up] = least[state]
+
+    def _split(self, p: int, symbol) -> int:
+        """A state of its own for what is read up to state ``p`` and ``symbol``."""
+        following, link, length = self.next, self.link, self.length
+        q = following[p][symbol]
+        copy = len(length)
+        following.append(following[q].copy())
+        link.append(link[q])
+        length.append(length[p] + 1)
+        self.least.append(math.inf)
+        while p >= 0 and following[p].get(symbol) == q:
+            following[p][symbol] = copy
+            p = link[p]
+        link[q] = copy
+        return copy
 
     def least_ids(self, sequence: list, window: int) -> list[float]:
         """For every window of ``sequence``, the smallest id it occurs under, else infinity.
@@ -193,46 +231,67 @@ class SuffixAutomaton:
         The walk keeps the matching statistic: the longest suffix read so far
         that occurs in the automaton.
         """
+        following, link, length, least = self.next, self.link, self.length, self.least
         out = []
         state = matched = 0
-        for i, symbol in enumerate(sequence):
-            while state and symbol not in self.next[state]:
-                state = self.link[state]
-                matched = self.length[state]
-            if symbol in self.next[state]:
-                state = self.next[state][symbol]
+        for i, symbol in enumerate(sequence, 1):
+            step = following[state].get(symbol)
+            while step is None and state:
+                state = link[state]
+                matched = length[state]
+                step = following[state].get(symbol)
+            if step is not None:
+                state = step
                 matched += 1
-            if i + 1 >= window:
+            if i >= window:
                 if matched < window:
                     out.append(math.inf)
                     continue
-                while self.length[self.link[state]] >= window:
-                    state = self.link[state]
-                    matched = self.length[state]
-                out.append(self.least[state])
+                while length[link[state]] >= window:
+                    state = link[state]
+                    matched = length[state]
+                out.append(least[state])
         return out
 
 
 def earliest(shards: DataFrame, window: int) -> DataFrame:
-    """(p1, p2, least): for every window of a passage the smallest id of its shard that holds it."""
+    """(p1, p2, runs): the smallest id of its shard that holds each window of a passage.
+
+    A run (at, n, least) is n neighbouring windows of one smallest id.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         sequences = [t.split(" ") for t in table.column("passage").to_pylist()]
         automaton = SuffixAutomaton(sequences, table.column("doc_id").to_pylist())
-        least = [automaton.least_ids(s, window) for s in sequences]
+        found = [np.array(automaton.least_ids(s, window), np.int64) for s in sequences]
+        bounds = np.cumsum([0, *map(len, found)])
+        least = np.concatenate(found)
+        opens = np.ones(len(least), bool)
+        opens[1:] = least[1:] != least[:-1]
+        opens[bounds[:-1]] = True
+        first = np.flatnonzero(opens)
+        whose = np.searchsorted(bounds, first, side="right") - 1
+        fields = {
+            "at": (first - bounds[whose]).astype(np.int32),
+            "n": np.diff(np.append(first, len(least))).astype(np.int32),
+            "least": least[first],
+        }
+        runs = pa.StructArray.from_arrays(list(map(pa.array, fields.values())), names=list(fields))
         return pa.table(
             {
                 "p1": table.column("p1"),
                 "p2": table.column("p2"),
-                "least": pa.array(least, pa.list_(pa.int64())),
+                "runs": pa.ListArray.from_arrays(pa.array(np.searchsorted(first, bounds).astype(np.int32)), runs),
             }
         )
 
-    return shards.groupBy("shard").applyInArrow(run, "p1 bigint, p2 bigint, least array<bigint>")
+    return shards.groupBy("shard").applyInArrow(
+        run, "p1 bigint, p2 bigint, runs array<struct<at: int, n: int, least: bigint>>"
+    )
 
 
 def earliest_by_window(crowded: DataFrame, window: int) -> DataFrame:
-    """(p1, p2, least) as :func:`earliest`, by grouping the windows themselves; no group is held in memory."""
+    """(p1, p2, runs) as :func:`earliest`, by grouping the windows themselves; no group is held in memory."""
     tokens = F.split("passage", " ")
     at = F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int")))
     windows = crowded.select("p1", "p2", "doc_id", tokens.alias("tokens"), at.alias("at")).select(
@@ -240,8 +299,7 @@ def earliest_by_window(crowded: DataFrame, window: int) -> DataFrame:
     )
     least = windows.groupBy("window").agg(F.min("doc_id").alias("least"))
     placed = windows.drop("doc_id").join(least, "window").groupBy("p1", "p2")
-    found = F.array_sort(F.collect_list(F.struct("at", "least")))
-    return placed.agg(F.transform(found, lambda x: x["least"]).alias("least"))
+    return placed.agg(F.collect_list(F.struct("at", F.lit(1).alias("n"), "least")).alias("runs"))
 
 
 def repeated_windows(
@@ -254,7 +312,7 @@ def repeated_windows(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """(doc_id, row, starts): first words of the windows an earlier document holds.
+    """(doc_id, row, runs): runs (first, n) of n neighbouring windows that an earlier document holds.
 
     ``row`` tells rows of one id apart. Anchors of windows are counted over all
     documents first; only documents with an anchor of at least two rows go on,
@@ -269,75 +327,59 @@ def repeated_windows(
         row_hash(F.col(text_col)).alias("row"),
         F.col(text_col).alias("text"),
     )
-    grams = anchor_rows(slim.select("doc_id", "row", "text"), window, anchor)
-    shared = store.keep(
-        grams.groupBy("gram")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("gram", (F.col("n") > common_docs).alias("common")),
-        "shared_anchors",
-    )
-    # Sorted as unsigned numbers, as the search in a document needs them.
-    sign = F.lit(-(1 << 63))
-    hits = (
-        grams.join(shared, "gram")
-        .groupBy("doc_id", "row")
-        .agg(F.array_sort(F.collect_set(F.struct(F.col("gram").bitwiseXOR(sign).alias("g"), "common"))).alias("found"))
-        .select(
-            "doc_id",
-            "row",
-            F.transform("found", lambda x: x["g"].bitwiseXOR(sign)).alias("grams"),
-            F.transform("found", lambda x: x["common"]).alias("common"),
+    # Tables of a scratch store go as soon as the next one is written.
+    with type(store)(store.spark, store.root) as scratch:
+        grams = scratch.keep(anchor_rows(slim.select("doc_id", "row", "text"), window, anchor), "anchors")
+        shared = scratch.keep(
+            grams.groupBy("gram")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .where("n > 1")
+            .select("gram", (F.col("n") > common_docs).alias("common")),
+            "shared_anchors",
         )
-    )
-    found = store.keep(
-        passages(
-            slim.join(hits, ["doc_id", "row"]).select("doc_id", "row", "text", "grams", "common"),
-            window,
-            anchor,
-        ),
-        "passages",
-    )
-    distinct = store.keep(
-        found.groupBy("route", "p1", "p2", "n", "passage").agg(F.min("doc_id").alias("doc_id")), "distinct"
-    )
-    own = ("p1", "p2", "n", "doc_id")
-    routes = store.keep(
-        distinct.groupBy("route").agg(F.count(F.lit(1)).alias("k"), *(F.first(c).alias(c) for c in own)), "routes"
-    )
-    # One passage: its windows occur nowhere else.
-    alone = routes.where("k = 1").select("p1", "p2", F.array_repeat("doc_id", F.col("n").cast("int")).alias("least"))
-    in_shards = F.col("k") <= passages_per_shard
-    sizes = routes.where("k > 1").agg(
-        F.sum(F.when(in_shards, F.col("k"))).alias("sharded"), F.sum(F.when(~in_shards, F.col("k"))).alias("crowded")
-    ).first()
-    several = distinct.join(routes.where("k > 1").select("route", "k"), "route")
-    answers = [alone]
-    if sizes["sharded"]:
-        shards = math.ceil(sizes["sharded"] / passages_per_shard)
-        sharded = several.where(in_shards).withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards)))
-        answers.append(earliest(sharded.select("shard", "p1", "p2", "doc_id", "passage"), window))
-    if sizes["crowded"]:
-        answers.append(earliest_by_window(several.where(~in_shards), window))
-    least = store.keep(reduce(DataFrame.unionByName, answers), "least")
+        hits = (
+            grams.join(shared.hint("shuffle_hash"), "gram")
+            .groupBy("doc_id", "row")
+            .agg(F.collect_set(F.struct("gram", "common")).alias("grams"))
+        )
+        found = store.keep(
+            passages(slim.join(hits, ["doc_id", "row"]).select("doc_id", "row", "text", "grams"), window, anchor),
+            "passages",
+        )
+    with type(store)(store.spark, store.root) as scratch:
+        distinct = scratch.keep(
+            found.groupBy("route", "p1", "p2", "n", "passage").agg(F.min("doc_id").alias("doc_id")), "distinct"
+        )
+        own = ("p1", "p2", "n", "doc_id")
+        routes = scratch.keep(
+            distinct.groupBy("route").agg(F.count(F.lit(1)).alias("k"), *(F.first(c).alias(c) for c in own)), "routes"
+        )
+        # One passage: its windows occur nowhere else.
+        whole = F.struct(F.lit(0).alias("at"), F.col("n").cast("int").alias("n"), F.col("doc_id").alias("least"))
+        alone = routes.where("k = 1").select("p1", "p2", F.array(whole).alias("runs"))
+        in_shards = F.col("k") <= passages_per_shard
+        sizes = routes.where("k > 1").agg(
+            F.sum(F.when(in_shards, F.col("k"))).alias("sharded"),
+            F.sum(F.when(~in_shards, F.col("k"))).alias("crowded"),
+        ).first()
+        several = distinct.join(routes.where("k > 1").select("route", "k").hint("shuffle_hash"), "route")
+        answers = [alone]
+        if sizes["sharded"]:
+            shards = math.ceil(sizes["sharded"] / passages_per_shard)
+            sharded = several.where(in_shards).withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards)))
+            answers.append(earliest(sharded.select("shard", "p1", "p2", "doc_id", "passage"), window))
+        if sizes["crowded"]:
+            answers.append(earliest_by_window(several.where(~in_shards), window))
+        least = store.keep(reduce(DataFrame.unionByName, answers), "least")
     flagged = (
         found.select("doc_id", "row", "start", "p1", "p2")
         .join(least, ["p1", "p2"])
-        .select(
-            "doc_id",
-            "row",
-            F.array_compact(
-                F.transform(
-                    "least",
-                    lambda x, i: F.when(x < F.col("doc_id"), (F.col("start") + i).cast("int")),
-                )
-            ).alias("starts"),
-        )
-        .where(F.size("starts") > 0)
-    )
-    return flagged.groupBy("doc_id", "row").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("starts")))).alias("starts")
+        .select("doc_id", "row", "start", F.inline("runs"))
+        .where("least < doc_id")
     )
+    # A set, as above: equal rows find the same, and each of them is joined with it.
+    first = (F.col("start") + F.col("at")).alias("first")
+    return flagged.groupBy("doc_id", "row").agg(F.collect_set(F.struct(first, "n")).alias("runs"))
 
 
 def cut(
@@ -354,34 +396,57 @@ def cut(
         row_hash(F.col(text_col)).alias("row"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
-    joined = slim.join(repeated, ["doc_id", "row"], "left").select("given_id", "text", "starts")
+    joined = slim.join(repeated, ["doc_id", "row"], "left").select("given_id", "text", "runs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, removed, spans, kept = [], [], [], []
-            for text, starts in zip(batch.column(1), batch.column(2), strict=True):
-                tokens = text.as_py().encode("utf-8").split()
-                gone = np.zeros(len(tokens) + 2, np.int64)
-                if starts.is_valid:
-                    first = np.array(starts.as_py())
-                    np.add.at(gone, first, 1)
-                    np.add.at(gone, first + window, -1)
-                covered = np.cumsum(gone)[: len(tokens)] > 0
-                edges = np.flatnonzero(np.diff(np.concatenate([[0], covered.view(np.int8), [0]])))
-                counts.append(len(tokens))
-                removed.append(int(covered.sum()))
-                spans.append([{"first": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)])
-                kept.append(b" ".join(t for t, c in zip(tokens, covered, strict=True) if not c).decode("utf-8"))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(counts, pa.int64()),
-                    pa.array(removed, pa.int64()),
-                    pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))),
-                    pa.array(kept, pa.string()),
-                ],
-                names=["doc_id", "n_words", "n_removed", "spans", "kept"],
-            )
+            runs = batch.column(2)
+            run_bounds, fields = runs.offsets.to_numpy(), runs.values.flatten()
+            run_first, run_n = (f.to_numpy() for f in fields)
+            for start, end, data, offsets in text_slices(batch.column(1), PART_BYTES):
+                starts, ends = word_bounds(data, offsets)
+                bounds = np.searchsorted(starts, offsets)
+                low, high = run_bounds[start], run_bounds[end]
+                first = run_first[low:high] + np.repeat(bounds[:-1], np.diff(run_bounds[start : end + 1]))
+                gone = np.zeros(len(starts) + 1, np.int64)
+                np.add.at(gone, first, 1)
+                np.add.at(gone, first + run_n[low:high] + (window - 1), -1)
+                covered = np.cumsum(gone)[:-1] > 0
+                texts = np.searchsorted(offsets, starts, side="right") - 1
+                # Spans: runs of covered words, cut where a text ends.
+                same = covered[1:] & covered[:-1] & (texts[1:] == texts[:-1])
+                opens = np.flatnonzero(covered & ~np.append(False, same))
+                closes = np.flatnonzero(covered & ~np.append(same, False)) + 1
+                base = bounds[texts[opens]]
+                spans = pa.StructArray.from_arrays(
+                    [pa.array((opens - base).astype(np.int32)), pa.array((closes - base).astype(np.int32))],
+                    names=["first", "end"],
+                )
+                # Kept bytes: the other words, and the space after each but the last one of its text.
+                words = np.flatnonzero(~covered)
+                change = np.zeros(len(data) + 1, np.int8)
+                change[starts[words]] = 1
+                change[ends[words]] -= 1
+                kept = np.cumsum(change[:-1], dtype=np.int8).view(bool)
+                inner = ends[words[:-1][texts[words[1:]] == texts[words[:-1]]]]
+                plain = data.copy()
+                plain[inner] = 0x20
+                kept[inner] = True
+                place = np.zeros(len(data) + 1, np.int64)
+                np.cumsum(kept, out=place[1:])
+                removed = np.append(0, np.cumsum(covered))[bounds]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(start, end - start),
+                        pa.array(np.diff(bounds)),
+                        pa.array(np.diff(removed)),
+                        pa.ListArray.from_arrays(pa.array(np.searchsorted(opens, bounds).astype(np.int32)), spans),
+                        pa.StringArray.from_buffers(
+                            end - start, pa.py_buffer(place[offsets].astype(np.int32)), pa.py_buffer(plain[kept])
+                        ),
+                    ],
+                    names=["doc_id", "n_words", "n_removed", "spans", "kept"],
+                )
 
     return joined.mapInArrow(
         run,

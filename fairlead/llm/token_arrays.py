@@ -81,18 +81,23 @@ class Words:
         return mix(total[whole]), whole
 
 
-def split_words(data: np.ndarray, offsets: np.ndarray, lower: bool) -> Words:
-    """Words of the texts ``data[offsets[i]:offsets[i + 1]]``; A-Z folded if ``lower``."""
-    if lower:
-        data = LOWERED[data]
+def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte ranges of the words of the texts ``data[offsets[i]:offsets[i + 1]]``, in order."""
     n = len(data)
     space = IS_SPACE[data]
     first = np.ones(n + 1, bool)
     first[1:n] = space[: n - 1] if n else False
     first[offsets] = True  # a text starts; also marks the end of the one before
     last = first[1:] | np.append(space[1:], True) if n else np.zeros(0, bool)
-    starts = np.flatnonzero(~space & first[:n])
-    ends = np.flatnonzero(~space & last) + 1
+    return np.flatnonzero(~space & first[:n]), np.flatnonzero(~space & last) + 1
+
+
+def split_words(data: np.ndarray, offsets: np.ndarray, lower: bool) -> Words:
+    """Words of the texts ``data[offsets[i]:offsets[i + 1]]``; A-Z folded if ``lower``."""
+    if lower:
+        data = LOWERED[data]
+    n = len(data)
+    starts, ends = word_bounds(data, offsets)
     letters, steps = data.astype(np.uint64) + np.uint64(1), powers(n + 1)
     prefix = np.zeros(n + 1, np.uint64)
     hashes = np.zeros(len(starts), np.uint64)

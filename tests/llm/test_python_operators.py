@@ -249,6 +249,62 @@ def test_substring_edge_cases(edge_docs, edge_rows, no_docs, store):
     assert substring_dedup.remove_repeats(no_docs, store).count() == 0
 
 
+def test_anchors_are_taken_from_every_text_once(spark, make_docs, store, monkeypatch):
+    """Counting the anchors and finding the shared ones both read the written anchors."""
+    texts = repeating_texts(6, 30)
+    read = spark.sparkContext.accumulator(0)
+    whole = substring_dedup.anchor_rows
+
+    def watched(docs, window, anchor):
+        def seen(batches):
+            for batch in batches:
+                read.add(batch.num_rows)
+                yield batch
+
+        return whole(docs.mapInArrow(seen, docs.schema), window, anchor)
+
+    monkeypatch.setattr(substring_dedup, "anchor_rows", watched)
+    got = substring_dedup.remove_repeats(make_docs(texts), store).select("doc_id", "n_words", "n_removed", "kept").collect()
+    assert Counter(map(tuple, got)) == brute_repeats(list(enumerate(texts)), 13)
+    assert read.value == len(texts)
+
+
+def test_cutting_any_white_space_and_long_texts(make_docs, store):
+    """Words of several bytes, runs of white space at every place, texts over the bytes handled together."""
+    rng = random.Random(9)
+    texts = [" ".join(f"wörd{rng.randint(0, 10**9)}" for _ in range(30_000))]
+    for t in repeating_texts(7, 40):
+        gap = lambda: "".join(rng.choice(" \t\n\x0b\x0c\r") for _ in range(rng.randint(1, 3)))
+        texts.append(rng.choice(["", gap()]) + "".join(w.replace("w", "漢") + gap() for w in t.split(" ")).removesuffix(rng.choice([" ", "\n"])))
+    texts += [f"{texts[0]} {texts[3]}", None, "", " \n", "\x85 \xa0 one", texts[0][5000:300_000]]
+    assert len(texts[0].encode()) > substring_dedup.PART_BYTES
+    got = substring_dedup.remove_repeats(make_docs(texts), store).collect()
+    want = brute_repeats(list(enumerate(texts)), 13)
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got) == want
+    for r in got:
+        words = tokens_of(texts[r.doc_id])
+        assert all(a["end"] < b["first"] for a, b in zip(r.spans, r.spans[1:], strict=False))
+        gone = {i for s in r.spans for i in range(s["first"], s["end"])}
+        assert len(gone) == r.n_removed and " ".join(w for i, w in enumerate(words) if i not in gone) == r.kept
+
+
+def test_equal_rows_find_their_windows_once(spark, store):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text), *[(2, f"x {text}")] * 30]
+    found = substring_dedup.repeated_windows(spark.createDataFrame(rows, "doc_id bigint, text string"), store).collect()
+    assert [r.doc_id for r in found] == [2]
+    starts = [s for run in found[0].runs for s in range(run["first"], run["first"] + run["n"])]
+    assert sorted(starts) == list(range(1, 29))
+
+
+def test_copies_add_no_states_to_an_automaton():
+    sequence = [f"w{i % 7}" for i in range(40)]
+    alone = substring_dedup.SuffixAutomaton([sequence], [3])
+    copies = substring_dedup.SuffixAutomaton([sequence] * 50, list(range(50, 0, -1)))
+    assert len(copies.length) == len(alone.length)
+    assert copies.least_ids(sequence, 13) == [1] * 28
+
+
 def test_automaton_knows_the_smallest_id_of_every_window():
     rng = random.Random(3)
     sequences = [[rng.choice("abc") for _ in range(rng.randint(4, 25))] for _ in range(30)]
